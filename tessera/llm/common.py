@@ -64,7 +64,7 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
-def map_rows(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str, batch: int = 2000) -> DataFrame:
+def map_rows(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
     """mapInArrow for a generator of dicts of equally long column lists."""
     struct = df.sparkSession.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -73,6 +73,6 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for cols in rows(batches):
-            yield pa.RecordBatch.from_arrays([pa.array(cols[f.name], type=f.type) for f in arrow], schema=arrow)
+            yield pa.RecordBatch.from_arrays([cols[f.name] if isinstance(cols[f.name], pa.Array) else pa.array(cols[f.name], type=f.type) for f in arrow], schema=arrow)
 
     return df.mapInArrow(run, struct)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import quality_rules
+from tessera.llm import best_fit_packing, quality_rules, token_store, trie_bpe, whole_token_counts
 from tessera.llm.common import documents, id_text, prepare
 
 
@@ -41,5 +41,27 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM j
 """
 
-QUERIES = {"op6_quality_rules": op6_quality_rules}
+def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_store.stored(id_text(documents(prepare(spark), sf_dir)), end_id=2)
+
+
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whole_token_counts.count_tokens(id_text(documents(prepare(spark), sf_dir)))
+
+
+def op8_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_bpe.round_trip(id_text(documents(prepare(spark), sf_dir)))
+
+
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_packing.pack_documents(id_text(documents(prepare(spark), sf_dir)), capacity=2048, end_id=0)
+
+
+QUERIES = {
+    "op2_token_store": op2_token_store,
+    "op3_token_counts": op3_token_counts,
+    "op8_trie_bpe": op8_trie_bpe,
+    "op10_best_fit_packing": op10_best_fit_packing,
+    "op6_quality_rules": op6_quality_rules,
+}
 SQL = {"op6_quality_rules": OP6_SQL}
