@@ -146,7 +146,7 @@ def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id:
             if ids and not store:
                 store, name = open_store(uri)
                 store.create_dir(name.rsplit("/", 1)[0], recursive=True)
-                sink = store.open_output_stream(name)
+                sink = store.open_output_stream(name, compression=None)
                 writer = ShardWriter(sink, encoder.tokenizer.get_vocab_size())
             for a, b in slices(texts):
                 for doc_id, coded in zip(ids[a:b], encoder.encode(texts[a:b]), strict=True):
