@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import best_fit_packing, quality_rules, token_store, trie_bpe, whole_token_counts
+from tessera.llm import best_fit_packing, license_scan, quality_rules, simhash, token_store, trie_bpe, whole_token_counts
 from tessera.llm.common import documents, id_text, prepare
 
 
@@ -49,10 +50,19 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole_token_counts.count_tokens(id_text(documents(prepare(spark), sf_dir)))
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(id_text(documents(prepare(spark), sf_dir)))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op8_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_bpe.round_trip(id_text(documents(prepare(spark), sf_dir)))
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan_documents(id_text(documents(prepare(spark), sf_dir)))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_packing.pack_documents(id_text(documents(prepare(spark), sf_dir)), capacity=2048, end_id=0)
 
@@ -60,6 +70,8 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_token_store": op2_token_store,
     "op3_token_counts": op3_token_counts,
+    "op5_simhash": op5_simhash,
+    "op9_license_scan": op9_license_scan,
     "op8_trie_bpe": op8_trie_bpe,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op6_quality_rules": op6_quality_rules,
