@@ -8,16 +8,16 @@ dictionary of bounded size. Other texts, and texts holding a special token's str
 
 from __future__ import annotations
 
+import os
 import re
 from collections.abc import Sequence
 from functools import lru_cache
-from itertools import accumulate, chain
 
 import numpy as np
 
 BYTE_BPE = "byte_bpe_50k.json"
-#: Entries after which a worker's dictionary is emptied, and the longest piece kept between batches.
-MEMO_ENTRIES, MEMO_CHARS = 400_000, 48
+#: Entries after which a generation of a worker's dictionary is full; pieces that share one call of the library.
+MEMO_ENTRIES, LINES = 200_000, 2000
 #: Characters of text handled at once, which bounds the lists of pieces.
 SLICE_CHARS = 2_000_000
 
@@ -42,39 +42,71 @@ def slices(texts: Sequence[str], chars: int = SLICE_CHARS):
         yield start, len(texts)
 
 
+class Memo:
+    """A dictionary of bounded size in two generations: entries not asked for while a generation fills are forgotten."""
+
+    def __init__(self, entries: int = MEMO_ENTRIES) -> None:
+        self.entries = entries
+        self.now: dict = {}
+        self.old: dict = {}
+
+    def learn(self, keys: set, make) -> dict:
+        """A dictionary that holds all keys; make gives the values of a list of new ones. Valid until the next call."""
+        if len(self.now) > self.entries:
+            self.old, self.now = self.now, {}
+        new = keys.difference(self.now)
+        again = new.intersection(self.old)
+        for k in again:
+            self.now[k] = self.old[k]
+        new = list(new.difference(again))
+        if new:
+            self.now.update(zip(new, make(new), strict=True))
+        return self.now
+
+
 class WordEncoder:
     """encode(texts) -> for each text its ids as little-endian unsigned 32-bit integers."""
 
     def __init__(self, path: str) -> None:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.heads: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        if not texts:
-            return []
-        ids = [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-        flat = np.fromiter(chain.from_iterable(ids), dtype="<u4").tobytes()
-        ends = [4 * n for n in accumulate(map(len, ids))]
-        return [flat[a:b] for a, b in zip([0, *ends], ends)]
-
-    def _learn(self, memo: dict[str, bytes], pieces: set[str], lead: str) -> None:
-        new = list(pieces.difference(memo))
-        if new:
-            memo.update(zip(new, self._library([lead + p for p in new]), strict=True))
-
-    def _trim(self, memo: dict[str, bytes], pieces: set[str]) -> None:
-        if len(memo) > MEMO_ENTRIES:
-            memo.clear()
-        else:
-            for p in pieces:
-                if len(p) > MEMO_CHARS:
-                    memo.pop(p, None)
+        self.line = self._ids("\n")
+        self.heads, self.tails = Memo(), Memo()
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+    def _texts(self, texts: list[str]) -> list[bytes]:
+        return [self._ids(t).tobytes() for t in texts]
+
+    def _tails(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces with a space in front: those without a line end in a few long texts, a line for each piece.
+
+        A line end between two pieces is a token of its own, so the ids fall apart at that token.
+        """
+        out: list[bytes] = [b""] * len(pieces)
+        plain = [i for i, p in enumerate(pieces) if "\n" not in p]
+        for a in range(0, len(plain), LINES):
+            some = plain[a : a + LINES]
+            ids = self._ids("".join([f" {pieces[i]}\n" for i in some]) + ".")[:-1]
+            ends = np.flatnonzero(ids == self.line[0])
+            if len(self.line) != 1 or len(ends) != len(some):  # another vocabulary
+                for i in some:
+                    out[i] = self._ids(" " + pieces[i]).tobytes()
+                continue
+            data, at = ids.tobytes(), 0
+            for i, end in zip(some, (4 * ends).tolist(), strict=True):
+                out[i] = data[at:end]
+                at = end + 4
+        for i, p in enumerate(pieces):
+            if "\n" in p:
+                out[i] = self._ids(" " + p).tobytes()
+        return out
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -83,20 +115,16 @@ class WordEncoder:
         return out
 
     def _encode(self, texts: Sequence[str]) -> list[bytes]:
-        cut: list[list[str] | None] = [None if _GAP_BEFORE_SPACE.search(t) or t.endswith(" ") or any(s in t for s in self.special) else t.split(" ") for t in texts]
-        heads, tails = set(), set()
-        for pieces in cut:
-            if pieces:
-                heads.add(pieces[0])
-                tails.update(pieces[1:])
-        self._learn(self.heads, heads, "")
-        self._learn(self.tails, tails, " ")
-        whole = iter(self._library([t for t, pieces in zip(texts, cut, strict=True) if pieces is None]))
-        tail = self.tails.__getitem__
-        out = [next(whole) if pieces is None else self.heads[pieces[0]] + b"".join(map(tail, pieces[1:])) for pieces in cut]
-        self._trim(self.heads, heads)
-        self._trim(self.tails, tails)
-        return out
+        cut = [t.split(" ") if splittable(t, self.special) else None for t in texts]
+        heads = self.heads.learn({c[0] for c in cut if c}, self._texts)
+        tails = self.tails.learn(set().union(*[c[1:] for c in cut if c]), self._tails)
+        get = tails.__getitem__
+        return [self._ids(t).tobytes() if c is None else heads[c[0]] + b"".join(map(get, c[1:])) for t, c in zip(texts, cut, strict=True)]
+
+
+def splittable(text: str, special: Sequence[str]) -> bool:
+    """Whether the ids of a text are those of its pieces between spaces."""
+    return not (_GAP_BEFORE_SPACE.search(text) or text.endswith(" ") or any(s in text for s in special))
 
 
 @lru_cache(maxsize=2)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import best_fit_packing, license_scan, quality_rules, simhash, token_store, trie_bpe, whole_token_counts
+from tessera.llm import best_fit_packing, license_scan, quality_rules, simhash, suffix_dedup, token_store, trie_bpe, whole_token_counts
 from tessera.llm.common import documents, id_text, prepare
 
 
@@ -55,6 +55,10 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.report(id_text(documents(prepare(spark), sf_dir)))
+
+
 def op8_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie_bpe.round_trip(id_text(documents(prepare(spark), sf_dir)))
 
@@ -72,6 +76,7 @@ QUERIES = {
     "op3_token_counts": op3_token_counts,
     "op5_simhash": op5_simhash,
     "op9_license_scan": op9_license_scan,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_trie_bpe": op8_trie_bpe,
     "op10_best_fit_packing": op10_best_fit_packing,
     "op6_quality_rules": op6_quality_rules,

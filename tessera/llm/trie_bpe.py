@@ -22,7 +22,7 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from tessera.llm.byte_bpe import MEMO_CHARS, MEMO_ENTRIES, _GAP_BEFORE_SPACE, slices, tokenizer_path
+from tessera.llm.byte_bpe import Memo, slices, splittable, tokenizer_path
 from tessera.llm.common import map_rows
 
 #: The published pre-token pattern of this family of vocabularies, with Unicode White_Space spelled out.
@@ -60,9 +60,7 @@ class TrieBpe:
         self.longest = max(map(len, self.usable))
         self.fits: dict[int, bool] = {}
         self.pattern = regex.compile(PRETOKEN)
-        self.words: dict[str, bytes] = {}
-        self.heads: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {}
+        self.words, self.heads, self.tails = Memo(), Memo(), Memo()
 
     def merge(self, word: bytes) -> list[int]:
         """Plain merging, lowest rank first; used on pairs of tokens and to prove tokens usable."""
@@ -110,46 +108,34 @@ class TrieBpe:
             before = word
         return out
 
-    def _learn_words(self, words: set[str]) -> None:
-        new = {w: w.encode() for w in words.difference(self.words)}
-        found = self.encode_words(new.values())
-        for w, b in new.items():
-            self.words[w] = np.array(found[b], dtype="<u4").tobytes()
+    def _words(self, words: list[str]) -> list[bytes]:
+        coded = [w.encode() for w in words]
+        found = self.encode_words(coded)
+        return [np.array(found[b], dtype="<u4").tobytes() for b in coded]
 
-    def _learn_pieces(self, memo: dict[str, bytes], pieces: set[str], lead: str) -> None:
-        cut = {p: self.pattern.findall(lead + p) for p in pieces.difference(memo)}
-        self._learn_words(set().union(*cut.values()))
-        for p, words in cut.items():
-            memo[p] = b"".join([self.words[w] for w in words])
+    def _pieces(self, pieces: list[str], lead: str = "") -> list[bytes]:
+        cut = [self.pattern.findall(lead + p) for p in pieces]
+        words = self.words.learn(set().union(*cut), self._words)
+        return [b"".join([words[w] for w in c]) for c in cut]
+
+    def _tails(self, pieces: list[str]) -> list[bytes]:
+        return self._pieces(pieces, " ")
 
     def _with_special(self, text: str) -> bytes:
-        split = regex.split("(" + "|".join(map(regex.escape, self.special)) + ")", text) if self.special else [text]
-        parts = [[p] if k % 2 else self.pattern.findall(p) for k, p in enumerate(split)]
-        self._learn_words({w for k, p in enumerate(parts) if not k % 2 for w in p})
-        return b"".join(np.array([self.special[w]], dtype="<u4").tobytes() if k % 2 else self.words[w] for k, p in enumerate(parts) for w in p)
+        parts = regex.split("(" + "|".join(map(regex.escape, self.special)) + ")", text) if self.special else [text]
+        coded = self._pieces(parts[::2])
+        between = [np.array([self.special[p]], dtype="<u4").tobytes() for p in parts[1::2]]
+        return b"".join([x for pair in zip(coded, [*between, b""], strict=True) for x in pair])
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """For each text its ids as little-endian unsigned 32-bit integers."""
         out: list[bytes] = []
         for a, b in slices(texts):
-            part = texts[a:b]
-            plain = [not (_GAP_BEFORE_SPACE.search(t) or t.endswith(" ") or any(s in t for s in self.special)) for t in part]
-            cut = [t.split(" ") if ok else None for t, ok in zip(part, plain, strict=True)]
-            self._learn_pieces(self.heads, {c[0] for c in cut if c}, "")
-            tails: set[str] = set()
-            for c in cut:
-                if c:
-                    tails.update(c[1:])
-            self._learn_pieces(self.tails, tails, " ")
-            get = self.tails.__getitem__
-            out += [self.heads[c[0]] + b"".join(map(get, c[1:])) if c else self._with_special(t) for c, t in zip(cut, part, strict=True)]
-            for memo in (self.words, self.heads, self.tails):
-                if len(memo) > MEMO_ENTRIES:
-                    memo.clear()
-            for memo in (self.heads, self.tails, self.words):
-                for p in [p for p in tails if len(p) > MEMO_CHARS]:
-                    memo.pop(p, None)
-                    memo.pop(" " + p, None)
+            cut = [t.split(" ") if splittable(t, self.special) else None for t in texts[a:b]]
+            heads = self.heads.learn({c[0] for c in cut if c}, self._pieces)
+            tails = self.tails.learn(set().union(*[c[1:] for c in cut if c]), self._tails)
+            get = tails.__getitem__
+            out += [self._with_special(t) if c is None else heads[c[0]] + b"".join(map(get, c[1:])) for c, t in zip(cut, texts[a:b], strict=True)]
         return out
 
     def decode(self, ids: bytes) -> str:

@@ -17,7 +17,7 @@ from functools import lru_cache
 
 from pyspark.sql import DataFrame
 
-from tessera.llm.byte_bpe import MEMO_CHARS, MEMO_ENTRIES, slices, tokenizer_path
+from tessera.llm.byte_bpe import MEMO_ENTRIES, Memo, slices, tokenizer_path
 from tessera.llm.common import map_rows
 
 MODEL = "piece_bpe_32k.model"
@@ -36,7 +36,7 @@ class PieceCounter:
         self.whole = self.proven(pieces)
         # a lone space sign is a pre-token too, which the library cannot be given as a word
         self.start = dict.fromkeys(self.whole, 1) | {"": 1 if SPACE in pieces else len(SPACE.encode())}
-        self.memo: dict[str, int] = dict(self.start)
+        self.memo = Memo(MEMO_ENTRIES + len(self.start))
 
     def proven(self, pieces: Sequence[str]) -> frozenset[str]:
         """Words (without their leading space sign) that the library encodes as one token when they stand alone."""
@@ -51,18 +51,14 @@ class PieceCounter:
         out: list[int] = []
         for a, b in slices(texts):
             cut = [self._words(t) for t in texts[a:b]]
-            new = list(set().union(*cut).difference(self.memo))
-            self.memo.update(zip(new, self._merge(new), strict=True))
-            get = self.memo.__getitem__
+            get = self.memo.learn(set().union(*cut), self._known_or_merged).__getitem__
             out += [sum(map(get, words)) for words in cut]
-            if len(self.memo) > MEMO_ENTRIES:
-                self.memo = dict(self.start)
-            else:
-                for w in new:
-                    if len(w) > MEMO_CHARS:
-                        self.memo.pop(w, None)
         return out
 
+    def _known_or_merged(self, words: list[str]) -> list[int]:
+        merged = iter(self._merge([w for w in words if w not in self.start]))
+        return [self.start[w] if w in self.start else next(merged) for w in words]
+
     @staticmethod
     def _words(text: str) -> list[str]:
         if not text:
