@@ -1,9 +1,10 @@
 """Exact byte-level BPE ids of whole texts through the tokenizers library, each distinct word encoded once.
 
-The file's pre-tokenizer never lets a token cross from a non-space character to a following space, so in a text in which
-no white space stands before a space, the pieces ``text.split(" ")`` (each but the first with its space in front) encode
-independently: the ids of the text are those of its pieces, one after the other. Pieces are memoised per worker in a
-dictionary of bounded size. Other texts, and texts holding a special token's string, go to the library whole.
+The file's pre-tokenizer never lets a token cross from other characters to a following white-space character, nor over a
+single line end, so in a text without two white-space characters in a row, pieces cut in front of each space and line end
+encode independently: the ids of the text are those of its pieces, one after the other. Nor does a token reach from a letter
+to punctuation behind it. Distinct pieces are encoded once and memoised per worker in a dictionary of bounded size. Other
+texts, and texts holding a special token's string, go to the library whole.
 """
 
 from __future__ import annotations
@@ -17,11 +18,13 @@ import numpy as np
 
 BYTE_BPE = "byte_bpe_50k.json"
 #: Entries after which a generation of a worker's dictionary is full; pieces that share one call of the library.
-MEMO_ENTRIES, LINES = 200_000, 2000
+MEMO_ENTRIES, LINES = 200_000, 250
 #: Characters of text handled at once, which bounds the lists of pieces.
 SLICE_CHARS = 2_000_000
 
-_GAP_BEFORE_SPACE = re.compile(r"[\s\x85] ")
+_TWO_GAPS = re.compile(r"[\s\x85]{2}")
+#: Marks that may be cut off behind a letter; no apostrophe, which can belong to a contraction.
+_MARKS = ".,;:!?)"
 
 
 def tokenizer_path(name: str = BYTE_BPE) -> str:
@@ -76,38 +79,41 @@ class WordEncoder:
         self.tokenizer.no_padding()
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.line = self._ids("\n")
-        self.heads, self.tails = Memo(), Memo()
+        if len(self.line) != 1:
+            raise ValueError("a line end is not one token of this vocabulary")
+        self.heads, self.tails, self.cores, self.marks = Memo(), Memo(), Memo(), Memo()
 
     def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4")
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
     def _texts(self, texts: list[str]) -> list[bytes]:
         return [self._ids(t).tobytes() for t in texts]
 
-    def _tails(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces with a space in front: those without a line end in a few long texts, a line for each piece.
-
-        A line end between two pieces is a token of its own, so the ids fall apart at that token.
-        """
-        out: list[bytes] = [b""] * len(pieces)
-        plain = [i for i, p in enumerate(pieces) if "\n" not in p]
-        for a in range(0, len(plain), LINES):
-            some = plain[a : a + LINES]
-            ids = self._ids("".join([f" {pieces[i]}\n" for i in some]) + ".")[:-1]
-            ends = np.flatnonzero(ids == self.line[0])
-            if len(self.line) != 1 or len(ends) != len(some):  # another vocabulary
-                for i in some:
-                    out[i] = self._ids(" " + pieces[i]).tobytes()
-                continue
+    def _lines(self, words: list[str]) -> list[bytes]:
+        """Ids of words without white space inside (a space in front allowed), many to one call: a line end between two
+        words is a token of its own, at which the ids fall apart again."""
+        out: list[bytes] = []
+        for a in range(0, len(words), LINES):
+            some = words[a : a + LINES]
+            ids = self._ids("\n".join([*some, "."]))[:-1]
+            ends = 4 * np.flatnonzero(ids == self.line[0])
             data, at = ids.tobytes(), 0
-            for i, end in zip(some, (4 * ends).tolist(), strict=True):
-                out[i] = data[at:end]
+            for end in ends.tolist():
+                out.append(data[at:end])
                 at = end + 4
-        for i, p in enumerate(pieces):
-            if "\n" in p:
-                out[i] = self._ids(" " + p).tobytes()
         return out
 
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """Ids of pieces: a leading line end stays, anything else has lost the space in front of it."""
+        words = [p[1:] if p[:1] == "\n" else " " + p for p in pieces]
+        cores = [w.rstrip(_MARKS) for w in words]
+        cores = [c if c[-1:].isalpha() else w for c, w in zip(cores, words, strict=True)]
+        marks = [w[len(c) :] for c, w in zip(cores, words, strict=True)]
+        known = self.cores.learn({*cores} - {""}, self._lines)
+        after = self.marks.learn({*marks} - {""}, self._texts)
+        line = self.line.tobytes()
+        return [(line if p[:1] == "\n" else b"") + (known[c] if c else b"") + (after[m] if m else b"") for p, c, m in zip(pieces, cores, marks, strict=True)]
+
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         out: list[bytes] = []
         for a, b in slices(texts):
@@ -115,16 +121,18 @@ class WordEncoder:
         return out
 
     def _encode(self, texts: Sequence[str]) -> list[bytes]:
-        cut = [t.split(" ") if splittable(t, self.special) else None for t in texts]
+        cut = [pieces_of(t, self.special) for t in texts]
         heads = self.heads.learn({c[0] for c in cut if c}, self._texts)
-        tails = self.tails.learn(set().union(*[c[1:] for c in cut if c]), self._tails)
+        tails = self.tails.learn(set().union(*[c[1:] for c in cut if c]), self._pieces)
         get = tails.__getitem__
         return [self._ids(t).tobytes() if c is None else heads[c[0]] + b"".join(map(get, c[1:])) for t, c in zip(texts, cut, strict=True)]
 
 
-def splittable(text: str, special: Sequence[str]) -> bool:
-    """Whether the ids of a text are those of its pieces between spaces."""
-    return not (_GAP_BEFORE_SPACE.search(text) or text.endswith(" ") or any(s in text for s in special))
+def pieces_of(text: str, special: Sequence[str]) -> list[str] | None:
+    """Pieces whose ids make up those of the text: the head as it is, others without their space or with their line end."""
+    if _TWO_GAPS.search(text) or text.endswith(" ") or any(s in text for s in special):
+        return None
+    return text.replace("\n", " \n").split(" ")
 
 
 @lru_cache(maxsize=2)

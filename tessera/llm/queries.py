@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import best_fit_packing, license_scan, quality_rules, simhash, suffix_dedup, token_store, trie_bpe, whole_token_counts
+from tessera.llm import best_fit_packing, cotraining, embedding_dedup, license_scan, quality_rules, simhash, suffix_dedup, token_store, trie_bpe, whole_token_counts
 from tessera.llm.common import documents, id_text, prepare
 
 
@@ -42,6 +42,10 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM j
 """
 
+def op1_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.classify(documents(prepare(spark), sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.stored(id_text(documents(prepare(spark), sf_dir)), end_id=2)
 
@@ -50,6 +54,10 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whole_token_counts.count_tokens(id_text(documents(prepare(spark), sf_dir)))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(prepare(spark).read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(id_text(documents(prepare(spark), sf_dir)))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -72,8 +80,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_cotraining": op1_cotraining,
     "op2_token_store": op2_token_store,
     "op3_token_counts": op3_token_counts,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_simhash": op5_simhash,
     "op9_license_scan": op9_license_scan,
     "op7_suffix_dedup": op7_suffix_dedup,

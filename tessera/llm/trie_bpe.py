@@ -22,7 +22,7 @@ import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from tessera.llm.byte_bpe import Memo, slices, splittable, tokenizer_path
+from tessera.llm.byte_bpe import Memo, pieces_of, slices, tokenizer_path
 from tessera.llm.common import map_rows
 
 #: The published pre-token pattern of this family of vocabularies, with Unicode White_Space spelled out.
@@ -113,13 +113,13 @@ class TrieBpe:
         found = self.encode_words(coded)
         return [np.array(found[b], dtype="<u4").tobytes() for b in coded]
 
-    def _pieces(self, pieces: list[str], lead: str = "") -> list[bytes]:
-        cut = [self.pattern.findall(lead + p) for p in pieces]
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        cut = [self.pattern.findall(p) for p in pieces]
         words = self.words.learn(set().union(*cut), self._words)
         return [b"".join([words[w] for w in c]) for c in cut]
 
     def _tails(self, pieces: list[str]) -> list[bytes]:
-        return self._pieces(pieces, " ")
+        return self._pieces([p if p[:1] == "\n" else " " + p for p in pieces])
 
     def _with_special(self, text: str) -> bytes:
         parts = regex.split("(" + "|".join(map(regex.escape, self.special)) + ")", text) if self.special else [text]
@@ -131,7 +131,7 @@ class TrieBpe:
         """For each text its ids as little-endian unsigned 32-bit integers."""
         out: list[bytes] = []
         for a, b in slices(texts):
-            cut = [t.split(" ") if splittable(t, self.special) else None for t in texts[a:b]]
+            cut = [pieces_of(t, self.special) for t in texts[a:b]]
             heads = self.heads.learn({c[0] for c in cut if c}, self._pieces)
             tails = self.tails.learn(set().union(*[c[1:] for c in cut if c]), self._tails)
             get = tails.__getitem__
