@@ -21,6 +21,7 @@ from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,17 +30,20 @@ from tessera.llm.common import map_rows
 
 HASH_BITS = 18
 N_FEATURES = 512
-ROUNDS = 5
+ROUNDS = 4
 MAX_LABELLED, MAX_POOL = 4000, 4000
 LANG_BUCKETS, SOURCE_BUCKETS = 8, 32
 SYMBOLS = frozenset("#*$%&|<>")
 
 
 def word_features(word: str) -> tuple[int, ...]:
-    """Hashed features of a word: its letters, and the marks behind or around them."""
+    """Hashed features of a word: its letters, beginnings of long ones, and the marks behind or around them."""
     core = "".join(c for c in word if c.isalnum())
     marks = "".join(c for c in word if not c.isalnum())
-    found = [f"w{core.lower()}"] if core else []
+    low = core.lower()
+    found = [f"w{low}"] if core else []
+    if len(low) > 6:
+        found += [f"p{low[:4]}", f"p{low[:6]}"]
     if marks:
         found.append(f"m{marks[:4]}")
     if len(core) > 3 and core.isupper():
@@ -104,19 +108,19 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1.0 / (1.0 + np.exp(-np.clip(x, -30, 30)))
 
 
-def logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 200) -> np.ndarray:
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float, steps: int = 250) -> np.ndarray:
     """Weights (the last one is the intercept) by accelerated gradient steps on the balanced ridge loss."""
-    x1 = np.c_[x, np.ones(len(x))]
-    weight = np.where(y > 0.5, 0.5 / max(1e-9, y.mean()), 0.5 / max(1e-9, 1 - y.mean()))
+    x1 = np.c_[x, np.ones(len(x))].astype("f4")
+    weight = np.where(y > 0.5, 0.5 / max(1e-9, y.mean()), 0.5 / max(1e-9, 1 - y.mean())).astype("f4")
     bound = 0.25 * float((weight[:, None] * x1**2).sum(axis=1).max())
-    w = v = np.zeros(x1.shape[1])
+    w = v = np.zeros(x1.shape[1], dtype="f4")
     for k in range(steps):
         grad = x1.T @ (weight * (sigmoid(x1 @ v) - y)) / len(x1)
         grad[:-1] += ridge * v[:-1]
         step = w
-        w = v - grad / (bound + ridge)
-        v = w + k / (k + 3) * (w - step)
-    return w
+        w = (v - grad / (bound + ridge)).astype("f4")
+        v = w + np.float32(k / (k + 3)) * (w - step)
+    return w.astype("f8")
 
 
 def platt(score: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -138,7 +142,7 @@ class View:
     calibration: np.ndarray = field(default_factory=lambda: np.array([1.0, 0.0]))
 
     def fit(self, x: np.ndarray, y: np.ndarray, ridge: float) -> None:
-        self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + 1e-3
+        self.mean, self.scale = x.mean(axis=0), np.maximum(x.std(axis=0), 0.2)  # no rare feature may stretch the steps
         self.weights = logistic((x - self.mean) / self.scale, y, ridge)
 
     def score(self, x: np.ndarray) -> np.ndarray:
@@ -206,7 +210,7 @@ def cotrain(found: list[list[int]], meta: np.ndarray, y: np.ndarray, held: np.nd
     rows = {"text": train, "meta": train}
     labels = {"text": y[train], "meta": y[train]}
     given = {"text": np.zeros(len(y), bool), "meta": np.zeros(len(y), bool)}
-    views = {"text": (model.text, x, 1e-2), "meta": (model.meta, meta, 1e-2)}
+    views = {"text": (model.text, x, 1e-3), "meta": (model.meta, meta, 1e-2)}
     for turn in range(rounds + 1):
         for name, (view, data, ridge) in views.items():
             view.fit(data[rows[name]], labels[name], ridge)
@@ -262,26 +266,53 @@ def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, ma
     return cotrain([list(got[r["doc_id"]]["found"]) for r in rows], np.array([got[r["doc_id"]]["meta"] for r in rows]), y, held)
 
 
+class Scorer:
+    """Scores of batches of documents by a fitted model."""
+
+    def __init__(self, model: Model) -> None:
+        self.model, self.maker = model, TextFeatures(model.features)
+
+    def of(self, texts: list[str], langs: list, sources: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Calibrated probabilities by text, by metadata and by both."""
+        model = self.model
+        if model.features is None:
+            half = np.full(len(texts), 0.5)
+            return half, half, half
+        t = model.text.log_odds(model.text_matrix(self.maker.of(texts)))
+        m = model.meta.log_odds(np.array([layout(*r) for r in zip(texts, langs, sources, strict=True)]))
+        return sigmoid(t), sigmoid(m), model.combined(t, m)
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, p_text, p_meta, score, kept for every document."""
 
     def rows(batches):
-        maker = TextFeatures(model.features)
+        scorer = Scorer(model)
         for batch in batches:
             ids, texts, langs, sources = (batch.column(c).to_pylist() for c in ("doc_id", "text", "lang", "source"))
             for a, b in slices(texts):
-                if model.features is None:
-                    half = [0.5] * (b - a)
-                    yield {"doc_id": ids[a:b], "p_text": half, "p_meta": half, "score": half, "kept": [True] * (b - a)}
-                    continue
-                t = model.text.log_odds(model.text_matrix(maker.of(texts[a:b])))
-                m = model.meta.log_odds(np.array([layout(*r) for r in zip(texts[a:b], langs[a:b], sources[a:b], strict=True)]))
-                p = model.combined(t, m)
-                yield {"doc_id": ids[a:b], "p_text": sigmoid(t), "p_meta": sigmoid(m), "score": p, "kept": p >= model.threshold}
+                t, m, p = scorer.of(texts[a:b], langs[a:b], sources[a:b])
+                yield {"doc_id": ids[a:b], "p_text": t, "p_meta": m, "score": p, "kept": p >= model.threshold}
 
     whole = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), _meta_col(docs, "lang"), _meta_col(docs, "source"))
     return map_rows(whole, rows, "doc_id long, p_text double, p_meta double, score double, kept boolean")
 
 
+def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of docs, with all their columns, that the classifier fitted on them keeps."""
+    model = fit(docs, labels)
+
+    def good(batches):
+        scorer = Scorer(model)
+        for batch in batches:
+            texts = [t or "" for t in batch.column("text").to_pylist()]
+            lang, source = (batch.column(c).to_pylist() if c in batch.schema.names else [None] * len(texts) for c in ("lang", "source"))
+            p = [scorer.of(texts[a:b], lang[a:b], source[a:b])[2] for a, b in slices(texts)]
+            if p:
+                yield batch.filter(pa.array(np.concatenate(p) >= model.threshold))
+
+    return docs.mapInArrow(good, docs.schema)
+
+
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return score(docs, fit(docs, labels))

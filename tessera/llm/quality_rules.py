@@ -131,3 +131,9 @@ def judge(docs: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_ROW
     order = plan_cascade(statistics(docs.limit(sample_rows), text_col), rules, sample_rows)
     judged = apply_cascade(statistics(docs, text_col), order)
     return judged.withColumn("kept", F.col("rejected_by").isNull())
+
+
+def keep_good(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of docs, with all their columns whatever their names, that no rule rejects."""
+    row = docs.select(F.struct("*").alias("__row"), F.col(text_col).alias("text"))
+    return judge(row).filter("kept").select("__row.*")

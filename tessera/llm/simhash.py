@@ -10,6 +10,9 @@ survivors are verified by counting differing bits. Blocks of more than TILE fing
 first pivot's distance and compared tile by tile in separate tasks, leaving out tiles too far apart in that distance. Tasks
 return, of the links they verify, a spanning forest: enough for components, and never all pairs of a group.
 
+Several fingerprints of shingles of different width can be asked for; then a link needs each of them within its own radius,
+the first one deals out the blocks and the others are further conditions on survivors.
+
 Defined cases: a text without words (null, empty, blank) has fingerprint zero and links like any other; fewer words than a
 shingle count as one shingle; repeated rows share a fingerprint and so a group; a null id is kept but never represents a
 group unless all its ids are null (then the group's id is null).
@@ -17,6 +20,7 @@ group unless all its ids are null (then the group's id is null).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from itertools import combinations, repeat
 
 import numpy as np
@@ -47,16 +51,18 @@ def fingerprint(text: str, width: int = 3, seed: int = 42) -> int:
     return int.from_bytes(np.packbits(2 * votes > n, bitorder="little").tobytes(), "little")
 
 
-def fingerprints(docs: DataFrame, width: int = 3, seed: int = 42) -> DataFrame:
-    """doc_id and fp (the fingerprint as a signed long) of a table of (doc_id, text)."""
+def fingerprints(docs: DataFrame, widths: Sequence[int] = (3,), seed: int = 42) -> DataFrame:
+    """doc_id, th (hash of the text) and fp, a struct of the fingerprints f0, f1, ... (as signed longs) of (doc_id, text)."""
+    names = [f"f{k}" for k in range(len(widths))]
 
     def rows(batches):
         for batch in batches:
-            texts, ids = [t or "" for t in batch.column("text").to_pylist()], batch.column("doc_id").to_pylist()
+            texts, ids, th = [t or "" for t in batch.column("text").to_pylist()], batch.column("doc_id").to_pylist(), batch.column("th")
             for a, b in slices(texts):
-                yield {"doc_id": ids[a:b], "fp": np.array([fingerprint(t, width, seed) for t in texts[a:b]], dtype="u8").view("i8")}
+                yield {"doc_id": ids[a:b], "th": th.slice(a, b - a)} | {f: np.array([fingerprint(t, w, seed) for t in texts[a:b]], dtype="u8").view("i8") for f, w in zip(names, widths, strict=True)}
 
-    return map_rows(docs.select("doc_id", "text"), rows, "doc_id long, fp long")
+    marked = map_rows(docs.select("doc_id", "text", F.xxhash64("text").alias("th")), rows, "doc_id long, th long, " + ", ".join(f"{f} long" for f in names))
+    return marked.select("doc_id", "th", F.struct(*names).alias("fp"))
 
 
 def band_masks(n: int, radius: int = RADIUS) -> list[int]:
@@ -73,13 +79,15 @@ def pivot_table(fp: np.ndarray) -> np.ndarray:
     return np.bitwise_count(fp[:, None] ^ PIVOTS[None, :]).astype("i1")
 
 
-def survivors(fp: np.ndarray, table: np.ndarray, i: np.ndarray, j: np.ndarray, radius: int) -> np.ndarray:
+def survivors(fps: np.ndarray, table: np.ndarray, i: np.ndarray, j: np.ndarray, radii: Sequence[int]) -> np.ndarray:
     """Which of the pairs (i, j) are links: coordinate after coordinate of the pivot table, then the bits themselves."""
     alive = np.arange(len(i))
     for k in range(0, table.shape[1], 6):
-        near = np.abs(table[i[alive], k : k + 6] - table[j[alive], k : k + 6]).max(axis=1) <= radius
+        near = np.abs(table[i[alive], k : k + 6] - table[j[alive], k : k + 6]).max(axis=1) <= radii[0]
         alive = alive[near]
-    return alive[np.bitwise_count(fp[i[alive]] ^ fp[j[alive]]) <= radius]
+    for fp, radius in zip(fps, radii, strict=True):
+        alive = alive[np.bitwise_count(fp[i[alive]] ^ fp[j[alive]]) <= radius]
+    return alive
 
 
 class Forest:
@@ -100,67 +108,68 @@ class Forest:
         return x != y
 
 
-def block_links(fp: np.ndarray, key: np.ndarray, side: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning links of rows sorted by key: rows of one key are compared, of two tiles (side 1 and 2) only across."""
-    table = pivot_table(fp)
+def block_links(fps: np.ndarray, key: np.ndarray, side: np.ndarray, radii: Sequence[int]) -> np.ndarray:
+    """Spanning links (pairs of rows) of rows sorted by key: rows of one key are compared, of two tiles (1, 2) only across."""
+    table = pivot_table(fps[0])
     starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     sizes = np.diff(np.r_[starts, len(key)])
     block = np.repeat(np.arange(len(starts)), sizes)
     order = np.lexsort((table[:, 0], block))
     d0 = table[order, 0]
     end = np.repeat(starts + sizes, sizes)
-    forest = Forest(len(fp))
+    forest = Forest(len(key))
     out: list[tuple[int, int]] = []
-    live = np.arange(len(fp))
+    live = np.arange(len(key))
     shift = 1
     while len(live):
         live = live[live + shift < end[live]]
-        live = live[d0[live + shift] - d0[live] <= radius]  # sorted: further rows of the block are further still
+        live = live[d0[live + shift] - d0[live] <= radii[0]]  # sorted: further rows of the block are further still
         i, j = order[live], order[live + shift]
         across = (side[i] != side[j]) | (side[i] == 0)
         i, j = i[across], j[across]
-        hit = survivors(fp, table, i, j, radius)
+        hit = survivors(fps, table, i, j, radii)
         out += [(x, y) for x, y in zip(i[hit].tolist(), j[hit].tolist(), strict=True) if forest.join(x, y)]
         shift += 1
-    pairs = np.array(out, dtype="i8").reshape(-1, 2)
-    return fp[pairs[:, 0]], fp[pairs[:, 1]]
-
-
-def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """Links (a, b) between different fingerprints of a stored table with one row (fp) each; connected as all links are."""
-    masks = band_masks(distinct.count(), radius)
-    mask_cols = F.array(*[F.struct(F.lit(k).alias("band"), F.lit(m - (1 << 64) if m >> 63 else m).alias("mask")) for k, m in enumerate(masks)])
-    pivot = int(PIVOTS[0]) - (1 << 64) if int(PIVOTS[0]) >> 63 else int(PIVOTS[0])
-    dealt = distinct.select("fp", F.bit_count(F.col("fp").bitwiseXOR(F.lit(pivot))).alias("d0"), F.explode(mask_cols).alias("m"))
-    dealt = dealt.select("fp", "d0", F.xxhash64("m.band", F.col("fp").bitwiseAND(F.col("m.mask"))).alias("key"))
-    sizes = dealt.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = staged(sizes, "simhash-blocks")
+    return np.array(out, dtype="i8").reshape(-1, 2)
+
+
+def links(distinct: DataFrame, radii: Sequence[int] = (RADIUS,), tile: int = TILE) -> DataFrame:
+    """Links (a, b) between different fp of a stored table with one row each; connected as all links are."""
+    masks = band_masks(distinct.count(), radii[0])
+    signed = lambda m: m - (1 << 64) if m >> 63 else m
+    mask_cols = F.array(*[F.struct(F.lit(k).alias("band"), F.lit(signed(m)).alias("mask")) for k, m in enumerate(masks)])
+    first = F.col("fp.f0")
+    dealt = distinct.select("fp", F.bit_count(first.bitwiseXOR(F.lit(signed(int(PIVOTS[0]))))).alias("d0"), F.explode(mask_cols).alias("m"))
+    dealt = dealt.select("fp", "d0", F.xxhash64("m.band", first.bitwiseAND(F.col("m.mask"))).alias("key"))
+    shared = staged(dealt.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "simhash-blocks")
     rows_ = dealt.join(shared, "key")
     small = rows_.filter(F.col("n") <= tile).select("key", "fp", F.lit(0).alias("side"))
-    return _compared(small, radius).unionAll(_tiled(rows_.filter(F.col("n") > tile), shared.filter(F.col("n") > tile), radius, tile)).distinct()
+    return _compared(small, radii).unionAll(_tiled(rows_.filter(F.col("n") > tile), radii, tile)).distinct()
 
 
-def _tiled(large: DataFrame, keys: DataFrame, radius: int, tile: int) -> DataFrame:
+def _tiled(large: DataFrame, radii: Sequence[int], tile: int) -> DataFrame:
     """Large blocks, cut into tiles of one pivot distance and of bounded size; pairs of tiles that may hold links."""
-    dealt = large.withColumn("tile", F.pmod(F.xxhash64("fp"), F.greatest(F.lit(1), F.ceil(F.col("n") / tile)).cast("long")).cast("int"))
+    dealt = large.withColumn("tile", F.pmod(F.xxhash64("fp"), F.ceil(F.col("n") / tile).cast("long")).cast("int"))
     tiles = staged(dealt.groupBy("key", "d0", "tile").agg(F.count("*").alias("rows")), "simhash-tiles")
     left = tiles.select("key", F.col("d0").alias("d1"), F.col("tile").alias("t1"))
     right = tiles.select("key", F.col("d0").alias("d2"), F.col("tile").alias("t2"))
-    pairs = left.join(right, "key").filter((F.col("d2") - F.col("d1")).between(0, radius) & ((F.col("d1") < F.col("d2")) | (F.col("t1") <= F.col("t2"))))
+    pairs = left.join(right, "key").filter((F.col("d2") - F.col("d1")).between(0, radii[0]) & ((F.col("d1") < F.col("d2")) | (F.col("t1") <= F.col("t2"))))
     pairs = pairs.withColumn("pair", F.xxhash64("key", "d1", "t1", "d2", "t2")).withColumn("one", (F.col("d1") == F.col("d2")) & (F.col("t1") == F.col("t2")))
     sides = pairs.select("key", F.col("d1").alias("d0"), F.col("t1").alias("tile"), "pair", F.when(F.col("one"), 0).otherwise(1).alias("side")).unionAll(
         pairs.filter(~F.col("one")).select("key", F.col("d2").alias("d0"), F.col("t2").alias("tile"), "pair", F.lit(2).alias("side"))
     )
-    return _compared(dealt.join(sides, ["key", "d0", "tile"]).select(F.col("pair").alias("key"), "fp", "side"), radius)
+    return _compared(dealt.join(sides, ["key", "d0", "tile"]).select(F.col("pair").alias("key"), "fp", "side"), radii)
+
 
+def _compared(dealt: DataFrame, radii: Sequence[int]) -> DataFrame:
+    names = [f"f{k}" for k in range(len(radii))]
 
-def _compared(dealt: DataFrame, radius: int) -> DataFrame:
     def rows(batches):
         held: list[np.ndarray] = []
         for batch in batches:
             if not batch.num_rows:
                 continue
-            part = np.stack([batch.column("key").to_numpy(), batch.column("fp").to_numpy(), batch.column("side").to_numpy().astype("i8")])
+            part = np.stack([batch.column(c).to_numpy().astype("i8") for c in ("key", "side", *names)])
             # whole blocks are compared as soon as a later key has come; only the last, open block is held back
             last = np.searchsorted(part[0], part[0, -1], "left")
             if last or (held and held[-1][0, -1] != part[0, -1]):
@@ -171,20 +180,37 @@ def _compared(dealt: DataFrame, radius: int) -> DataFrame:
             yield from compare(np.concatenate(held, axis=1))
 
     def compare(block: np.ndarray):
-        if block.shape[1] > 1:
-            a, b = block_links(block[1].view("u8"), block[0], block[2], radius)
-            if len(a):
-                yield {"a": a.view("i8"), "b": b.view("i8")}
-
-    return map_rows(dealt.repartition("key").sortWithinPartitions("key"), rows, "a long, b long")
-
-
-def near_duplicates(docs: DataFrame, width: int = 3, radius: int = RADIUS, seed: int = 42, tile: int = TILE) -> DataFrame:
-    """doc_id, fp, component_id (smallest doc_id of the group), kept (whether the row's id is that one)."""
-    marked = staged(fingerprints(docs, width, seed), "simhash-fingerprints")
-    classes = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-classes")
-    roots = staged(components(links(classes.select("fp"), radius, tile)), "simhash-roots")
-    group = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    least = group.groupBy("root").agg(F.min("first").alias("component_id"))
-    by_fp = staged(group.join(least, "root").select("fp", "component_id"), "simhash-groups")
-    return marked.join(by_fp, "fp").select("doc_id", "fp", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+        fps = block[2:]
+        pairs = block_links(fps.view("u8"), block[0], block[1], radii) if block.shape[1] > 1 else ()
+        if len(pairs):
+            yield {f"{side}{k}": fps[k, pairs[:, at]] for at, side in enumerate("ab") for k in range(len(names))}
+
+    flat = dealt.select("key", "side", *[F.col("fp")[f].alias(f) for f in names])
+    found = map_rows(flat.repartition("key").sortWithinPartitions("key"), rows, ", ".join(f"{side}{k} long" for side in "ab" for k in range(len(names))))
+    return found.select(*[F.struct(*[F.col(f"{side}{k}").alias(f) for k, f in enumerate(names)]).alias(side) for side in "ab"])
+
+
+def near_duplicates(docs: DataFrame, widths: Sequence[int] = (3,), radii: Sequence[int] = (RADIUS,), seed: int = 42, tile: int = TILE) -> DataFrame:
+    """doc_id, th, fp, component_id (smallest doc_id of the group), first (th of the row that stands for the group)."""
+    marked = staged(fingerprints(docs, widths, seed), "simhash-fingerprints")
+    lead = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
+    classes = staged(marked.groupBy("fp").agg(F.min(lead).alias("lead")), "simhash-classes")
+    roots = staged(components(links(classes.select("fp"), radii, tile)), "simhash-roots")
+    group = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "lead", F.coalesce("root", "fp").alias("root"))
+    least = group.groupBy("root").agg(F.min("lead").alias("lead"))
+    by_fp = staged(group.select("fp", "root").join(least, "root").select("fp", F.col("lead.doc_id").alias("component_id"), F.col("lead.th").alias("first")), "simhash-groups")
+    return marked.join(by_fp, "fp").select("doc_id", "th", "fp", "component_id", "first")
+
+
+def keep_one(docs: DataFrame, widths: Sequence[int], radii: Sequence[int]) -> DataFrame:
+    """The rows of docs, with all their columns, that stand for their group: of each group one, with the smallest doc_id."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    found = staged(near_duplicates(docs.select(F.col("doc_id").cast("long"), text.alias("text")), widths, radii), "simhash-found")
+    leads = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("th") == F.col("first")))
+    stay = leads.groupBy("doc_id", "th").agg(F.count("*").alias("n"))
+    stay = staged(stay.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("__id"), F.col("th").alias("__th"), "n"), "simhash-stay")
+    marked = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "__th": F.xxhash64(text)})
+    kept = marked.join(stay.select("__id", "__th"), ["__id", "__th"], "left_semi")
+    if stay.filter("n > 1").limit(1).count():  # rows that repeat as a whole
+        kept = kept.dropDuplicates(["__id", "__th"])
+    return kept.select(*docs.columns)

@@ -26,6 +26,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -371,23 +372,21 @@ def whole_characters(data: bytes, lo: int, hi: int) -> tuple[int, int]:
 
 
 def cleaned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
-    """A table (doc_id, text, ...) with its repeated passages cut out of text; other columns stay, null texts too."""
+    """A table (doc_id, text, ...) with its repeated passages cut out of text, in whole characters; other columns and null
+    texts stay as they are, and so do rows of which nothing is left but an empty text."""
     marked = docs.withColumns({"__did": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "__th": F.xxhash64(F.coalesce("text", F.lit("")))})
     spans = repeated_intervals(keyed(docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))), length, gram, group)
     spans = spans.select(F.col("did").alias("__did"), F.col("th").alias("__th"), F.col("spans").alias("__spans"))
+    joined = marked.join(spans, ["__did", "__th"], "left").select(*docs.columns, "__spans")
+    place = docs.columns.index("text")
 
-    @F.pandas_udf("string")
-    def cut(text, found):
-        def one(t, s):
-            if t is None or s is None:
-                return t
-            data = t.encode()
-            runs = [whole_characters(data, lo, hi) for lo, hi in merged([x if isinstance(x, dict) else x.asDict() for x in s])]
-            return without(data, runs).decode()
-
-        import pandas as pd
-
-        return pd.Series([one(t, s) for t, s in zip(text, found, strict=True)], dtype=object)
-
-    joined = marked.join(spans, ["__did", "__th"], "left")
-    return joined.withColumn("text", F.when(F.col("__spans").isNull(), F.col("text")).otherwise(cut("text", "__spans"))).select(*docs.columns)
+    def cut(batches):
+        for batch in batches:
+            texts = batch.column("text").to_pylist()
+            for k, found in enumerate(batch.column("__spans").to_pylist()):
+                if found and texts[k] is not None:
+                    data = texts[k].encode()
+                    texts[k] = without(data, [whole_characters(data, lo, hi) for lo, hi in merged(found)]).decode()
+            yield batch.drop_columns(["__spans"]).set_column(place, batch.schema.field(place), pa.array(texts, type=batch.schema.field(place).type))
+
+    return joined.mapInArrow(cut, docs.schema)
