@@ -22,7 +22,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.byte_bpe import slices, tokenizer_path, word_encoder
+from tessera.llm.byte_bpe import tokenizer_path, word_encoder
 from tessera.llm.common import map_rows, staged
 
 
@@ -110,12 +110,11 @@ def pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, path: str | N
         encoder = word_encoder(path)
         end = np.array([end_id], dtype="<u4").tobytes()
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]
-            for a, b in slices(texts):
+            ids = batch.column("doc_id").to_pylist()
+            for a, b, coded in encoder.encode_slices(batch.column("text")):
                 out: list[tuple] = []
-                for doc_id, coded in zip(ids[a:b], encoder.encode(texts[a:b]), strict=True):
-                    data = coded + end
-                    n = len(data) // 4
+                for doc_id, own in zip(ids[a:b], coded, strict=True):
+                    data, n = own.tobytes() + end, len(own) + 1
                     cut = [0, *range((n - 1) % capacity + 1, n + 1, capacity)]
                     out += [(doc_id, k, x, y - x, zlib.crc32(data[4 * x : 4 * y])) for k, (x, y) in enumerate(zip(cut, cut[1:]))]
                 yield dict(zip(("doc_id", "piece", "start", "length", "ids_crc32"), zip(*out, strict=True), strict=True))

@@ -2,29 +2,30 @@
 
 The file's pre-tokenizer never lets a token cross from other characters to a following white-space character, nor over a
 single line end, so in a text without two white-space characters in a row, pieces cut in front of each space and line end
-encode independently: the ids of the text are those of its pieces, one after the other. Nor does a token reach from a letter
-to punctuation behind it. Distinct pieces are encoded once and memoised per worker in a dictionary of bounded size. Other
-texts, and texts holding a special token's string, go to the library whole.
+encode independently: the ids of the text are those of its pieces, one after the other. Distinct pieces are encoded once and memoised per worker in a dictionary of bounded size. Other
+texts, and texts holding a special token's string, go to the library whole. Cutting and finding the distinct pieces are
+Arrow kernels over whole columns, putting ids together is numpy; only distinct pieces are seen by Python code.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 BYTE_BPE = "byte_bpe_50k.json"
 #: Entries after which a generation of a worker's dictionary is full; pieces that share one call of the library.
-MEMO_ENTRIES, LINES = 200_000, 250
-#: Characters of text handled at once, which bounds the lists of pieces.
-SLICE_CHARS = 2_000_000
+MEMO_ENTRIES, LINES = 600_000, 250
+#: Characters of text handled at once, which bounds lists of words; bytes of a column that the encoder takes at once.
+SLICE_CHARS, ENCODE_BYTES = 2_000_000, 5_000_000
 
-_TWO_GAPS = re.compile(r"[\s\x85]{2}")
-#: Marks that may be cut off behind a letter; no apostrophe, which can belong to a contraction.
-_MARKS = ".,;:!?)"
+#: White space as the pre-tokenizer or Python understand it.
+_GAP = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
 def tokenizer_path(name: str = BYTE_BPE) -> str:
@@ -53,22 +54,80 @@ class Memo:
         self.now: dict = {}
         self.old: dict = {}
 
-    def learn(self, keys: set, make) -> dict:
-        """A dictionary that holds all keys; make gives the values of a list of new ones. Valid until the next call."""
+    def learn(self, keys: Iterable, make: Callable[[list], Iterable]) -> dict:
+        """A dictionary that holds all (distinct) keys; make gives the values of a list of new ones. Valid until the next call."""
         if len(self.now) > self.entries:
             self.old, self.now = self.now, {}
-        new = keys.difference(self.now)
-        again = new.intersection(self.old)
-        for k in again:
-            self.now[k] = self.old[k]
-        new = list(new.difference(again))
+        now, old = self.now, self.old
+        new = [k for k in keys if k not in now]
+        if old and new:
+            now.update((k, old[k]) for k in new if k in old)
+            new = [k for k in new if k not in old]
         if new:
-            self.now.update(zip(new, make(new), strict=True))
-        return self.now
+            now.update(zip(new, make(new), strict=True))
+        return now
+
+
+class PieceEncoder:
+    """Ids of whole texts from the ids of their pieces. A piece starts with the line end that stood in front of it, or else
+    has lost the space that did; a text is taken as if a line end stood before it, whose id is dropped again."""
+
+    def __init__(self, special: Sequence[str]) -> None:
+        self.pieces = Memo()
+        self.odd = "|".join([f"{_GAP}{{2}}", f"^{_GAP}", f"{_GAP}$", *map(re.escape, special)]).replace("$", r"\z").replace("^", r"\A")
+
+    def piece_ids(self, pieces: list[str]) -> Iterable[bytes]:
+        raise NotImplementedError
+
+    def whole_ids(self, text: str) -> np.ndarray:
+        raise NotImplementedError
+
+    def encode_column(self, texts: pa.Array) -> list[np.ndarray]:
+        """For each text of a column its ids as unsigned 32-bit integers."""
+        odd = pc.match_substring_regex(texts, self.odd)
+        plain = self._plain(texts.filter(pc.invert(odd)))
+        if not pc.any(odd).as_py():
+            return plain
+        rest = iter(plain)
+        return [self.whole_ids(texts[k].as_py()) if whole else next(rest) for k, whole in enumerate(odd.to_pylist())]
+
+    def _plain(self, texts: pa.Array) -> list[np.ndarray]:
+        if not len(texts):
+            return []
+        cut = pc.split_pattern(pc.binary_join_element_wise("\n", pc.replace_substring(texts, "\n", " \n"), ""), " ")
+        coded = cut.flatten().dictionary_encode()
+        pieces, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        known = self.pieces.learn(pieces, self.piece_ids)
+        values = list(map(known.__getitem__, pieces))
+        size = np.fromiter(map(len, values), dtype="i4", count=len(values)) // 4
+        begin = np.cumsum(size, dtype="i4") - size
+        size_at = size[at]
+        ends = np.cumsum(size_at, dtype="i4")  # of a slice of bounded size
+        place = np.repeat(begin[at] - (ends - size_at), size_at)
+        place += np.arange(len(place), dtype="i4")
+        ids = np.frombuffer(b"".join(values), dtype="<u4")[place]
+        offsets = cut.offsets.to_numpy()
+        bounds = np.r_[0, ends][offsets - offsets[0]].tolist()
+        return [ids[a + 1 : b] for a, b in zip(bounds, bounds[1:])]
+
+    def encode_slices(self, texts: pa.Array, most: int = ENCODE_BYTES) -> Iterator[tuple[int, int, list[np.ndarray]]]:
+        """(first row, end row, ids) of a column in ranges of bounded size; null texts count as empty."""
+        texts = pc.fill_null(texts, "")
+        start, size = 0, 0
+        for k, n in enumerate(pc.binary_length(texts).to_pylist()):
+            if size and size + n > most:
+                yield start, k, self.encode_column(texts.slice(start, k - start))
+                start, size = k, 0
+            size += n
+        if len(texts):
+            yield start, len(texts), self.encode_column(texts.slice(start))
+
+    def encode(self, texts: Sequence[str]) -> list[bytes]:
+        return [x.tobytes() for _, _, ids in self.encode_slices(pa.array(texts, type=pa.string())) for x in ids]
 
 
-class WordEncoder:
-    """encode(texts) -> for each text its ids as little-endian unsigned 32-bit integers."""
+class WordEncoder(PieceEncoder):
+    """Pieces by the tokenizers library."""
 
     def __init__(self, path: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -77,62 +136,31 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.line = self._ids("\n")
+        super().__init__([t.content for t in self.tokenizer.get_added_tokens_decoder().values()])
+        self.line = self.whole_ids("\n")
         if len(self.line) != 1:
             raise ValueError("a line end is not one token of this vocabulary")
-        self.heads, self.tails, self.cores, self.marks = Memo(), Memo(), Memo(), Memo()
 
-    def _ids(self, text: str) -> np.ndarray:
+    def whole_ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
-    def _texts(self, texts: list[str]) -> list[bytes]:
-        return [self._ids(t).tobytes() for t in texts]
-
     def _lines(self, words: list[str]) -> list[bytes]:
         """Ids of words without white space inside (a space in front allowed), many to one call: a line end between two
         words is a token of its own, at which the ids fall apart again."""
         out: list[bytes] = []
         for a in range(0, len(words), LINES):
-            some = words[a : a + LINES]
-            ids = self._ids("\n".join([*some, "."]))[:-1]
-            ends = 4 * np.flatnonzero(ids == self.line[0])
+            ids = self.whole_ids("\n".join([*words[a : a + LINES], "."]))[:-1]
             data, at = ids.tobytes(), 0
-            for end in ends.tolist():
+            for end in (4 * np.flatnonzero(ids == self.line[0])).tolist():
                 out.append(data[at:end])
                 at = end + 4
         return out
 
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces: a leading line end stays, anything else has lost the space in front of it."""
+    def piece_ids(self, pieces: list[str]) -> list[bytes]:
         words = [p[1:] if p[:1] == "\n" else " " + p for p in pieces]
-        cores = [w.rstrip(_MARKS) for w in words]
-        cores = [c if c[-1:].isalpha() else w for c, w in zip(cores, words, strict=True)]
-        marks = [w[len(c) :] for c, w in zip(cores, words, strict=True)]
-        known = self.cores.learn({*cores} - {""}, self._lines)
-        after = self.marks.learn({*marks} - {""}, self._texts)
+        found = iter(self._lines([w for w in words if w]))
         line = self.line.tobytes()
-        return [(line if p[:1] == "\n" else b"") + (known[c] if c else b"") + (after[m] if m else b"") for p, c, m in zip(pieces, cores, marks, strict=True)]
-
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
-        out: list[bytes] = []
-        for a, b in slices(texts):
-            out += self._encode(texts[a:b])
-        return out
-
-    def _encode(self, texts: Sequence[str]) -> list[bytes]:
-        cut = [pieces_of(t, self.special) for t in texts]
-        heads = self.heads.learn({c[0] for c in cut if c}, self._texts)
-        tails = self.tails.learn(set().union(*[c[1:] for c in cut if c]), self._pieces)
-        get = tails.__getitem__
-        return [self._ids(t).tobytes() if c is None else heads[c[0]] + b"".join(map(get, c[1:])) for t, c in zip(texts, cut, strict=True)]
-
-
-def pieces_of(text: str, special: Sequence[str]) -> list[str] | None:
-    """Pieces whose ids make up those of the text: the head as it is, others without their space or with their line end."""
-    if _TWO_GAPS.search(text) or text.endswith(" ") or any(s in text for s in special):
-        return None
-    return text.replace("\n", " \n").split(" ")
+        return [(line if p[:1] == "\n" else b"") + (next(found) if w else b"") for p, w in zip(pieces, words, strict=True)]
 
 
 @lru_cache(maxsize=2)

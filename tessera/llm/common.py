@@ -13,13 +13,14 @@ from pyspark.sql import functions as F
 #: Separator class of the word definition used by several contracts: space and \t \n \v \f \r.
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
-#: Rows handed to Python at once; bounds a batch of ordinary texts to a few MB.
-ARROW_ROWS = 1000
+#: Rows and bytes handed to Python at once.
+ARROW_ROWS, ARROW_BYTES = 2000, 16 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings that the Python stages rely on: small Arrow batches, whatever the length of texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return spark
 
 

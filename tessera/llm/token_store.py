@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.byte_bpe import slices, tokenizer_path, word_encoder
+from tessera.llm.byte_bpe import tokenizer_path, word_encoder
 from tessera.llm.common import map_rows, scratch, staged
 
 #: Fixed values of the published zstandard frame and seekable formats.
@@ -140,17 +140,17 @@ def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id:
         part = TaskContext.get().partitionId()
         uri = f"{folder}/shard-{part:06d}-{uuid.uuid4().hex}.zst"
         store = n_docs = n_tokens = 0
-        end = np.array([end_id], dtype="<u4").tobytes()
+        end = np.array([end_id], dtype="<u4")
         for batch in batches:
-            ids, texts = batch.column("doc_id").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]
+            ids = batch.column("doc_id").to_pylist()
             if ids and not store:
                 store, name = open_store(uri)
                 store.create_dir(name.rsplit("/", 1)[0], recursive=True)
                 sink = store.open_output_stream(name, compression=None)
                 writer = ShardWriter(sink, encoder.tokenizer.get_vocab_size())
-            for a, b in slices(texts):
-                for doc_id, coded in zip(ids[a:b], encoder.encode(texts[a:b]), strict=True):
-                    tokens = np.frombuffer(coded + end, dtype="<u4")
+            for a, b, coded in encoder.encode_slices(batch.column("text")):
+                for doc_id, own in zip(ids[a:b], coded, strict=True):
+                    tokens = np.concatenate([own, end])
                     writer.add(doc_id, tokens)
                     n_docs, n_tokens = n_docs + 1, n_tokens + len(tokens)
         if store:

@@ -15,14 +15,14 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
 import regex
 from pyspark.sql import DataFrame
 
-from tessera.llm.byte_bpe import Memo, pieces_of, slices, tokenizer_path
+from tessera.llm.byte_bpe import Memo, PieceEncoder, tokenizer_path
 from tessera.llm.common import map_rows
 
 #: The published pre-token pattern of this family of vocabularies, with Unicode White_Space spelled out.
@@ -37,7 +37,7 @@ def printable_bytes() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + k): b for k, b in enumerate(rest)}
 
 
-class TrieBpe:
+class TrieBpe(PieceEncoder):
     def __init__(self, path: str) -> None:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -60,7 +60,8 @@ class TrieBpe:
         self.longest = max(map(len, self.usable))
         self.fits: dict[int, bool] = {}
         self.pattern = regex.compile(PRETOKEN)
-        self.words, self.heads, self.tails = Memo(), Memo(), Memo()
+        self.words = Memo(300_000)
+        super().__init__(list(self.special))
 
     def merge(self, word: bytes) -> list[int]:
         """Plain merging, lowest rank first; used on pairs of tokens and to prove tokens usable."""
@@ -113,34 +114,22 @@ class TrieBpe:
         found = self.encode_words(coded)
         return [np.array(found[b], dtype="<u4").tobytes() for b in coded]
 
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        cut = [self.pattern.findall(p) for p in pieces]
+    def piece_ids(self, pieces: list[str]) -> list[bytes]:
+        return self._coded([p if p[:1] == "\n" else " " + p for p in pieces])
+
+    def _coded(self, parts: list[str]) -> list[bytes]:
+        cut = [self.pattern.findall(p) for p in parts]
         words = self.words.learn(set().union(*cut), self._words)
         return [b"".join([words[w] for w in c]) for c in cut]
 
-    def _tails(self, pieces: list[str]) -> list[bytes]:
-        return self._pieces([p if p[:1] == "\n" else " " + p for p in pieces])
-
-    def _with_special(self, text: str) -> bytes:
+    def whole_ids(self, text: str) -> np.ndarray:
         parts = regex.split("(" + "|".join(map(regex.escape, self.special)) + ")", text) if self.special else [text]
-        coded = self._pieces(parts[::2])
         between = [np.array([self.special[p]], dtype="<u4").tobytes() for p in parts[1::2]]
-        return b"".join([x for pair in zip(coded, [*between, b""], strict=True) for x in pair])
-
-    def encode(self, texts: Sequence[str]) -> list[bytes]:
-        """For each text its ids as little-endian unsigned 32-bit integers."""
-        out: list[bytes] = []
-        for a, b in slices(texts):
-            cut = [pieces_of(t, self.special) for t in texts[a:b]]
-            heads = self.heads.learn({c[0] for c in cut if c}, self._pieces)
-            tails = self.tails.learn(set().union(*[c[1:] for c in cut if c]), self._tails)
-            get = tails.__getitem__
-            out += [self._with_special(t) if c is None else heads[c[0]] + b"".join(map(get, c[1:])) for c, t in zip(cut, texts[a:b], strict=True)]
-        return out
+        return np.frombuffer(b"".join([x for pair in zip(self._coded(parts[::2]), [*between, b""], strict=True) for x in pair]), dtype="<u4")
 
-    def decode(self, ids: bytes) -> str:
-        """Text of ids given as little-endian unsigned 32-bit integers; malformed UTF-8 becomes U+FFFD."""
-        return b"".join(map(self.bytes_of.__getitem__, np.frombuffer(ids, dtype="<u4").tolist())).decode("utf-8", "replace")
+    def decode(self, ids: np.ndarray) -> str:
+        """Text of ids; malformed UTF-8 becomes U+FFFD."""
+        return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
 
 
 @lru_cache(maxsize=2)
@@ -155,10 +144,8 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     def rows(batches):
         bpe = trie_bpe(path)
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            ids = batch.column("doc_id").to_pylist()
-            for a, b in slices(texts):
-                coded = bpe.encode(texts[a:b])
-                yield {"doc_id": ids[a:b], "n_tokens": [len(c) // 4 for c in coded], "ids_sha256": [hashlib.sha256(c).hexdigest() for c in coded], "decoded_sha256": [hashlib.sha256(bpe.decode(c).encode()).hexdigest() for c in coded]}
+            doc_ids = batch.column("doc_id")
+            for a, b, coded in bpe.encode_slices(batch.column("text")):
+                yield {"doc_id": doc_ids.slice(a, b - a), "n_tokens": list(map(len, coded)), "ids_sha256": [hashlib.sha256(c.tobytes()).hexdigest() for c in coded], "decoded_sha256": [hashlib.sha256(bpe.decode(c).encode()).hexdigest() for c in coded]}
 
     return map_rows(docs.select("doc_id", "text"), rows, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
