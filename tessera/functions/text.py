@@ -9,9 +9,11 @@ import re
 import unicodedata
 from collections import Counter
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as S
 
 from tessera import constants as C
 
@@ -22,7 +24,7 @@ CJK = r"぀-ヿ㐀-䶿一-鿿가-힣"
 TOKEN = rf"[A-Za-z_][A-Za-z0-9_]*|\p{{Nd}}+|[{CJK}]+|[\p{{L}}\p{{Nl}}\p{{No}}&&[^{CJK}]]+"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(S.StringType())
 def _nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: x if x is None else unicodedata.normalize("NFC", x))
 
@@ -134,8 +136,23 @@ def query_terms(text: Column) -> Column:
     return F.array_distinct(index_terms(text))
 
 
-def shingles(text: Column, width: int = C.SHINGLE) -> Column:
-    return F.when(F.length(text) >= width, F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(text) - (width - 1)), lambda i: F.substring(text, i, F.lit(width))))).otherwise(F.expr("cast(array() as array<string>)"))
+@F.pandas_udf(S.ArrayType(S.StringType()))
+def shingles(s: pd.Series) -> pd.Series:
+    """Distinct pieces of SHINGLE characters, in order; an Arrow UDF because a JVM substring walks a text from its start."""
+    w = C.SHINGLE
+    return s.map(lambda t: list(dict.fromkeys(t[i : i + w] for i in range(len(t) - w + 1))) if t else [])
+
+
+@F.pandas_udf(S.ArrayType(S.LongType()))
+def shingle_keys(s: pd.Series) -> pd.Series:
+    """64-bit hashes of the distinct pieces: what set comparisons need, at a fraction of the size."""
+    w = C.SHINGLE
+
+    def keys(t):
+        pieces = {t[i : i + w] for i in range(len(t) - w + 1)} if t else ()
+        return np.fromiter((int.from_bytes(hashlib.blake2b(p.encode(), digest_size=8).digest(), "little", signed=True) for p in pieces), dtype="i8", count=len(pieces))
+
+    return s.map(keys)
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -168,7 +185,7 @@ def label(text: Column, statute: bool = False) -> Column:
     return F.regexp_replace(out, "-", " ") if statute else out
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(S.StringType())
 def decode_any(data: pd.Series) -> pd.Series:
     """UTF-8, else EUC-KR, else UTF-8 with replacement."""
 
@@ -185,7 +202,7 @@ def decode_any(data: pd.Series) -> pd.Series:
     return data.map(one)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(S.DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([difflib.SequenceMatcher(None, x or "", y or "", autojunk=False).ratio() for x, y in zip(a, b, strict=True)])
 
@@ -216,13 +233,13 @@ def hashed_vector(text: str, dim: int = C.EMBED_DIM) -> list[float]:
 
 
 def hash_embed(dim: int = C.EMBED_DIM):
-    @F.pandas_udf("array<float>")
+    @F.pandas_udf(S.ArrayType(S.FloatType()))
     def run(s: pd.Series) -> pd.Series:
         return s.map(lambda x: hashed_vector(x or "", dim))
 
     return run
 
 
-@F.pandas_udf("map<string,int>")
+@F.pandas_udf(S.MapType(S.StringType(), S.IntegerType()))
 def feature_map(s: pd.Series) -> pd.Series:
     return s.map(lambda x: dict(features(x or "")))

@@ -78,7 +78,7 @@ def passages(related_docs: DataFrame, chunks: DataFrame, query_hits: DataFrame,
     """The passages that stand for each related document, by the best tier it has: hits of the query, hits of its
     connectives that share a term with it, chunks that share a term, the head of the document."""
     own = chunks.join(related_docs.select(F.col("doc").alias("doc_id"), "connectives"), "doc_id")
-    wanted = F.concat(F.array(*[F.lit(t) for t in query_terms]) if query_terms else F.expr("cast(array() as array<string>)"), F.flatten(F.transform("connectives", T.query_terms)))
+    wanted = F.concat(F.array(*[F.lit(t) for t in query_terms]) if query_terms else F.expr("cast(array() as array<string>)"), T.query_terms(F.array_join("connectives", "\n")))
     shared = F.size(F.array_intersect(T.index_terms(F.col("content")), wanted)) > 0
     marked = own.join(query_hits.select("chunk_id", F.col("rank").alias("q")), "chunk_id", "left").join(connective_hits.select("chunk_id", F.col("rank").alias("c")), "chunk_id", "left")
     tier = F.when(F.col("q").isNotNull() & shared, 1).when(F.col("c").isNotNull() & shared, 2).when(shared, 3).otherwise(4)

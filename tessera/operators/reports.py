@@ -49,7 +49,7 @@ def undeclared(files: DataFrame, manifest: DataFrame) -> DataFrame:
     return files.join(manifest.select("collection", "filename", F.col("sha256").alias("declared")), ["collection", "filename"]).filter(~F.expr("startswith(sha256, declared)"))
 
 
-def score_stats(scores: DataFrame, score: str = "score", limit: float = 0.92) -> DataFrame:
+def score_stats(scores, score: str = "score", limit: float = 0.92) -> DataFrame:
     return scores.agg(F.round(F.median(score), 6).alias("median"), F.count_if(F.col(score) < limit).alias("below"), F.count("*").alias("n"))
 
 

@@ -1,6 +1,9 @@
-"""Name -> query and name -> SQL of the engine's own operators."""
+"""Name -> query and name -> SQL of the engine's own operators; each query runs over its whole tables."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-SQL: dict = {}
+from tessera.plans import queries_graph, queries_layers, queries_parse, queries_search
+
+PARTS = (queries_layers, queries_search, queries_graph, queries_parse)
+QUERIES: dict = {name: run for part in PARTS for name, run in part.QUERIES.items()}
+SQL: dict = {name: sql for part in PARTS for name, sql in part.SQL.items()}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,9 +77,9 @@ def filing_windows(spans: DataFrame, days: int = 90) -> DataFrame:
 
 def matching_filings(filings: DataFrame, terms: Sequence[str]) -> DataFrame:
     """Filings whose report name holds any of the terms."""
+    folded = ["".join(unicodedata.normalize("NFC", t).split()).lower() for t in terms]
     name = T.company_key(F.col("report_name"))
-    wanted = F.array(*[T.company_key(F.lit(t)) for t in terms])
-    return filings.filter(F.exists(wanted, lambda t: F.contains(name, t)))
+    return filings.filter(reduce(lambda a, b: a | b, [F.contains(name, F.lit(t)) for t in folded], F.lit(False)))
 
 
 def companies(names: DataFrame, needle: str, limit: int = 10) -> DataFrame:
