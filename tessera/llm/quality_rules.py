@@ -23,6 +23,7 @@ from tessera.llm.common import WORD_GAP, staged
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 8
+STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 #: Rows of the sample on which cost and selectivity are estimated.
 SAMPLE_ROWS = 2000
 
@@ -61,14 +62,17 @@ def statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words and base_failed added."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.rlike(x, F.lit(r"[^\x20\x09-\x0D]")))
-    with_words = docs.withColumn("__words", words_of(text))
-    counted = with_words.withColumns({
-        "n_words": F.size("__words").cast("long"),
-        "word_chars": F.length(F.regexp_replace(text, WORD_GAP, "")).cast("long"),
-        "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
-        "n_dup_lines": let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long"),
-        "n_repeat_words": repeated_words(F.col("__words")).cast("long"),
-    }).drop("__words")
+    words = F.col("__words")
+    counts = F.struct(
+        F.size(words).cast("long").alias("n_words"),
+        F.length(F.regexp_replace(text, WORD_GAP, "")).cast("long").alias("word_chars"),
+        (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+        let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
+        repeated_words(words).cast("long").alias("n_repeat_words"),
+    )
+    rest = [c for c in docs.columns if c not in STATISTICS]
+    # a generator of one row: filters on the counts stay behind it and do not compute them again
+    counted = docs.withColumn("__words", words_of(text)).select(*rest, F.inline(F.array(counts)))
     return counted.withColumn("base_failed", (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words")))
 
 
