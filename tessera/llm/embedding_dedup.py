@@ -54,7 +54,7 @@ def matrix(column, width: int) -> np.ndarray:
 
 def axes(classes: DataFrame, width: int) -> np.ndarray:
     """Principal axes of a bounded sample, strongest first."""
-    rows = classes.select("v").limit(max(1, min(AXES_ROWS, AXES_NUMBERS // width))).toArrow().column("v").combine_chunks()
+    rows = classes.select("v").coalesce(1).limit(max(1, min(AXES_ROWS, AXES_NUMBERS // width))).toArrow().column("v").combine_chunks()
     x = matrix(rows, width)
     return np.linalg.eigh(x.T @ x)[1][:, ::-1]
 

@@ -103,9 +103,9 @@ def production_rules(text_col: str = "text") -> list[Rule]:
     ]
 
 
-def plan_cascade(stats: DataFrame, rules: Sequence[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """Rules by rejections per cost, both estimated on at most sample_rows rows (a bounded sample; nothing but the order depends on it)."""
-    sample = staged(stats.limit(sample_rows), "cascade-sample")
+def plan_cascade(stats: DataFrame, rules: Sequence[Rule]) -> list[Rule]:
+    """Rules by rejections per cost, both estimated on stats, a bounded sample; nothing but the order depends on it."""
+    sample = staged(stats, "cascade-sample")
 
     def run(cond: Column) -> tuple[float, int]:
         began = time.perf_counter()
@@ -132,7 +132,8 @@ def apply_cascade(stats: DataFrame, rules: Sequence[Rule], out_col: str = "rejec
 def judge(docs: DataFrame, text_col: str = "text", sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """docs with statistics, rejected_by (first rule met in the planned order) and kept."""
     rules = production_rules(text_col)
-    order = plan_cascade(statistics(docs.limit(sample_rows), text_col), rules, sample_rows)
+    # one task that stops after so many rows: no other partition is opened, whatever the size of the table
+    order = plan_cascade(statistics(docs.coalesce(1).limit(sample_rows), text_col), rules)
     judged = apply_cascade(statistics(docs, text_col), order)
     return judged.withColumn("kept", F.col("rejected_by").isNull())
 
