@@ -39,7 +39,7 @@ def test_order_changes_no_verdict(spark):
     one = quality_rules.apply_cascade(df, rules).filter("rejected_by is null")
     two = quality_rules.apply_cascade(df, rules[::-1]).filter("rejected_by is null")
     assert sorted(r.doc_id for r in one.collect()) == sorted(r.doc_id for r in two.collect()) == [8]
-    planned = quality_rules.plan_cascade(df, rules, 12)
+    planned = quality_rules.plan_cascade(df, rules)
     assert sorted(r.name for r in planned) == sorted(r.name for r in rules)
 
 
