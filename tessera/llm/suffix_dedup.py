@@ -323,7 +323,10 @@ def repeated_intervals(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     ranges = staged(ranges.groupBy("hash", "ch").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")), "suffix-ranges")
     hits = found.select("did", "th", "q", "hash", "ch").join(ranges, ["hash", "ch"])
     spans = hits.select("did", "th", F.explode(F.transform("ranges", lambda r: F.struct((F.col("q") + r["lo"]).alias("lo"), (F.col("q") + r["hi"] + length).alias("hi")))).alias("span"))
-    return staged(spans.groupBy("did", "th").agg(F.collect_set("span").alias("spans")), "suffix-spans")
+    out = staged(spans.groupBy("did", "th").agg(F.collect_set("span").alias("spans")), "suffix-spans")
+    for done in (found, contexts, crowded, ranges):
+        drop_staged(done)
+    return out
 
 
 def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
