@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from tessera import constants as C
@@ -44,7 +45,8 @@ scored AS (SELECT query_id, chunk_id, round(sum(greatest(ln((n - df + 0.5) / (df
 
 
 def posts_of(spark, sf_dir):
-    return search.postings(line_chunks(spark, sf_dir), T.simple_tokens(F.col("content")))
+    """Postings of all chunks, kept on the executors' disks: counts, frequencies and scores read them several times."""
+    return search.postings(line_chunks(spark, sf_dir), T.simple_tokens(F.col("content"))).persist(StorageLevel.DISK_ONLY)
 
 
 def benchmark_terms(spark, sf_dir):
