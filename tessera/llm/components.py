@@ -9,14 +9,21 @@ from tessera.llm.common import drop_staged, staged
 
 
 def star(edges: DataFrame, large: bool) -> DataFrame:
-    """One contraction: hang larger neighbours (or the smaller ones and the node itself) on the smallest neighbour."""
+    """One contraction: hang larger neighbours (or the smaller ones and the node itself) on the smallest neighbour.
+
+    The smallest neighbours are stored before they are joined: both sides of the join are then plain exchanges, which
+    adaptive execution can split where one centre holds very many links.
+    """
     if large:
-        both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        return both.filter("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
-    return down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(least.select("a", F.col("m").alias("b")))
+        rows = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = rows.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
+        rows = rows.filter("b > a")
+    else:
+        rows = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
+        least = rows.groupBy("a").agg(F.min("b").alias("m"))
+    least = staged(least, "least-neighbours")
+    hung = rows.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+    return hung if large else hung.unionAll(least.select("a", F.col("m").alias("b")))
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:

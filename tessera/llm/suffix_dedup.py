@@ -11,7 +11,7 @@ A suffix matters only through its first ``length`` bytes (its window). Two steps
    are left are exactly the repeated windows. Equal contexts are merged and counted first. An anchor with very many
    different contexts is cut down before: its contexts are sorted over all executors by what follows and by what precedes
    the anchor, common prefixes with both neighbours tell how far any other context agrees, and all bytes beyond are cut off,
-   after which contexts of one shared passage are equal and merge.
+   after which contexts of one shared passage are equal and merge. Anchors crowded even then are counted window by window.
 
 All bytes covered by a repeated window are removed, its first occurrence included. Hashes are 64-bit and several must agree,
 so a false match is out of question at any realistic size.
@@ -231,6 +231,28 @@ def repeated_ranges(contexts: DataFrame, length: int, gram: int) -> DataFrame:
     return map_rows(ordered, rows, "hash long, ch long, lo int, hi int")
 
 
+def exploded_ranges(contexts: DataFrame, length: int, gram: int) -> DataFrame:
+    """As repeated_ranges, for anchors that are still crowded: a row for each window, counted with partial sums."""
+
+    def rows(batches):
+        for batch in batches:
+            h, d, n, ch = (batch.column(c).to_numpy() for c in ("hash", "d", "n", "ch"))
+            for k, ctx in enumerate(batch.column("ctx").to_pylist()):
+                digits = gram_hashes(np.frombuffer(ctx, dtype="u1"), gram)
+                j = np.arange(len(ctx) - length + 1)
+                one = mixed((d[k] - j).astype("i8").view("u8"))
+                two = one + np.uint64(1)
+                for at in [*range(0, length - gram, gram), length - gram]:
+                    one = mixed(one * np.uint64(_BASE) + digits[j + at])
+                    two = mixed(two * np.uint64(_BASE) + digits[j + at])
+                yield {"hash": np.full(len(j), h[k]), "ch": np.full(len(j), ch[k]), "j": j.astype("i4"), "n": np.full(len(j), n[k]), "one": one.view("i8"), "two": two.view("i8")}
+
+    windows = staged(map_rows(contexts.select("hash", "d", "n", "ch", "ctx"), rows, "hash long, ch long, j int, n long, one long, two long"), "suffix-windows")
+    key = ["hash", "one", "two"]
+    repeated = staged(windows.groupBy(*key).agg(F.sum("n").alias("of")).filter("of > 1").select(*key), "suffix-repeated")
+    return windows.join(repeated, key).select("hash", "ch", F.col("j").alias("lo"), F.col("j").alias("hi"))
+
+
 def _agreement(contexts: DataFrame, side: str, out: str) -> DataFrame:
     """The most bytes that a context's side ("after" or "before" the anchor) shares with another one's of the same anchor.
 
@@ -316,8 +338,10 @@ def repeated_intervals(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     ranges = repeated_ranges(usual, length, gram)
     if crowded.limit(1).count():
         cut = staged(cut_down(contexts.join(crowded, "hash"), length), "suffix-cut")
-        merged = cut.groupBy("hash", "d", "c").agg(F.sum("n").alias("n"), F.first("ctx").alias("ctx")).withColumnRenamed("c", "ch")
-        inner = repeated_ranges(merged, length, gram).withColumnRenamed("ch", "c")
+        merged = staged(cut.groupBy("hash", "d", "c").agg(F.sum("n").alias("n"), F.first("ctx").alias("ctx")).withColumnRenamed("c", "ch"), "suffix-merged")
+        still = staged(merged.groupBy("hash").agg(F.count("*").alias("of")).filter(F.col("of") > group).select("hash"), "suffix-still")
+        few, many = merged.join(still, "hash", "left_anti"), merged.join(still, "hash", "left_semi")
+        inner = repeated_ranges(few, length, gram).unionAll(exploded_ranges(many, length, gram)).withColumnRenamed("ch", "c")
         back = cut.select("hash", "c", "ch", "s").join(inner, ["hash", "c"])
         ranges = ranges.unionAll(back.select("hash", "ch", (F.col("lo") + F.col("s")).alias("lo"), (F.col("hi") + F.col("s")).alias("hi")))
     ranges = staged(ranges.groupBy("hash", "ch").agg(F.collect_list(F.struct("lo", "hi")).alias("ranges")), "suffix-ranges")
