@@ -65,7 +65,10 @@ def sql_for(sql: str, spark: bool) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table; text in a file that cannot be split is dealt over the cores once, larger tables are read as they lie."""
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if name in ("documents", "pages") and df.rdd.getNumPartitions() < cores else df
 
 
 def view(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
