@@ -118,6 +118,7 @@ def pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, path: str | N
                     cut = [0, *range((n - 1) % capacity + 1, n + 1, capacity)]
                     out += [(doc_id, k, x, y - x, zlib.crc32(data[4 * x : 4 * y])) for k, (x, y) in enumerate(zip(cut, cut[1:]))]
                 yield dict(zip(("doc_id", "piece", "start", "length", "ids_crc32"), zip(*out, strict=True), strict=True))
+        encoder.rest()
 
     return map_rows(docs.select("doc_id", "text"), rows, "doc_id long, piece int, start long, length long, ids_crc32 long")
 

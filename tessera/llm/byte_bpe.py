@@ -13,6 +13,7 @@ import os
 import re
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +22,7 @@ import pyarrow.compute as pc
 BYTE_BPE = "byte_bpe_50k.json"
 #: Entries after which a generation of a worker's dictionary is full; pieces that share one call of the library.
 MEMO_ENTRIES, LINES = 600_000, 250
+IDLE_ENTRIES = 200_000
 #: Characters of text handled at once, which bounds lists of words; bytes of a column that the encoder takes at once.
 SLICE_CHARS, ENCODE_BYTES = 2_000_000, 5_000_000
 
@@ -68,6 +70,13 @@ class Memo:
         return now
 
 
+    def rest(self) -> None:
+        """Keep only the earliest entries, which tend to be the most frequent, until the next task."""
+        self.old = {}
+        if len(self.now) > IDLE_ENTRIES:
+            self.now = dict(islice(self.now.items(), IDLE_ENTRIES))
+
+
 class PieceEncoder:
     """Ids of whole texts from the ids of their pieces. A piece starts with the line end that stood in front of it, or else
     has lost the space that did; a text is taken as if a line end stood before it, whose id is dropped again."""
@@ -122,6 +131,10 @@ class PieceEncoder:
         if len(texts):
             yield start, len(texts), self.encode_column(texts.slice(start))
 
+    def rest(self) -> None:
+        """Called at the end of a task."""
+        self.pieces.rest()
+
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         return [x.tobytes() for _, _, ids in self.encode_slices(pa.array(texts, type=pa.string())) for x in ids]
 

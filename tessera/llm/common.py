@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -57,7 +59,10 @@ def drop_staged(df: DataFrame) -> None:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """The documents; a file that cannot be split is dealt over the cores once, larger tables are read as they lie."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return docs.repartition(cores) if docs.rdd.getNumPartitions() < cores else docs
 
 
 def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -65,6 +70,25 @@ def id_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def give_back() -> None:
+    """Return what a finished task has freed to the system: workers stay alive between stages and share an executor's memory."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """mapInArrow whose tasks give their memory back at the end."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return df.mapInArrow(whole, schema)
+
+
 def map_rows(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
     """mapInArrow for a generator of dicts of equally long column lists."""
     struct = df.sparkSession.createDataFrame([], schema).schema
@@ -76,4 +100,4 @@ def map_rows(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[
         for cols in rows(batches):
             yield pa.RecordBatch.from_arrays([cols[f.name] if isinstance(cols[f.name], pa.Array) else pa.array(cols[f.name], type=f.type) for f in arrow], schema=arrow)
 
-    return df.mapInArrow(run, struct)
+    return map_batches(df, run, struct)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.byte_bpe import Memo, slices
-from tessera.llm.common import map_rows
+from tessera.llm.common import map_batches, map_rows
 
 HASH_BITS = 18
 N_FEATURES = 512
@@ -63,7 +63,7 @@ class TextFeatures:
 
     def __init__(self, wanted: np.ndarray | None = None) -> None:
         self.wanted = None if wanted is None else frozenset(wanted.tolist())
-        self.memo = Memo()
+        self.memo = Memo(100_000)
 
     def _make(self, words: list[str]) -> list[tuple[int, ...]]:
         found = map(word_features, words)
@@ -311,7 +311,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
             if p:
                 yield batch.filter(pa.array(np.concatenate(p) >= model.threshold))
 
-    return docs.mapInArrow(good, docs.schema)
+    return map_batches(docs, good, docs.schema)
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import drop_staged, map_rows, staged
+from tessera.llm.common import drop_staged, map_batches, map_rows, staged
 
 LENGTH, GRAM = 400, 100
 BLOCK = 1 << 20
@@ -164,7 +164,7 @@ def context_rows(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
                     out = []
             if out:
                 yield dict(zip(names, zip(*out, strict=True), strict=True))
-            if len(seen) > 500_000:
+            if len(seen) > 200_000:
                 seen.clear()
 
     names = ("did", "th", "q", "g", "d", "hash", "ch", "ctx")
@@ -416,4 +416,4 @@ def cleaned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int
                     texts[k] = without(data, [whole_characters(data, lo, hi) for lo, hi in merged(found)]).decode()
             yield batch.drop_columns(["__spans"]).set_column(place, batch.schema.field(place), pa.array(texts, type=batch.schema.field(place).type))
 
-    return joined.mapInArrow(cut, docs.schema)
+    return map_batches(joined, cut, docs.schema)

@@ -153,6 +153,7 @@ def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id:
                     tokens = np.concatenate([own, end])
                     writer.add(doc_id, tokens)
                     n_docs, n_tokens = n_docs + 1, n_tokens + len(tokens)
+        encoder.rest()
         if store:
             writer.close()
             sink.close()

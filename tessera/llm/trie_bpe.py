@@ -127,6 +127,10 @@ class TrieBpe(PieceEncoder):
         between = [np.array([self.special[p]], dtype="<u4").tobytes() for p in parts[1::2]]
         return np.frombuffer(b"".join([x for pair in zip(self._coded(parts[::2]), [*between, b""], strict=True) for x in pair]), dtype="<u4")
 
+    def rest(self) -> None:
+        super().rest()
+        self.words.rest()
+
     def decode(self, ids: np.ndarray) -> str:
         """Text of ids; malformed UTF-8 becomes U+FFFD."""
         return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
@@ -147,5 +151,6 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
             doc_ids = batch.column("doc_id")
             for a, b, coded in bpe.encode_slices(batch.column("text")):
                 yield {"doc_id": doc_ids.slice(a, b - a), "n_tokens": list(map(len, coded)), "ids_sha256": [hashlib.sha256(c.tobytes()).hexdigest() for c in coded], "decoded_sha256": [hashlib.sha256(bpe.decode(c).encode()).hexdigest() for c in coded]}
+        bpe.rest()
 
     return map_rows(docs.select("doc_id", "text"), rows, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

@@ -83,5 +83,6 @@ def count_tokens(docs: DataFrame, path: str | None = None, limit: int = 4096) ->
             texts = [t or "" for t in batch.column("text").to_pylist()]
             n = counter.count(texts)
             yield {"doc_id": batch.column("doc_id").to_pylist(), "n_bytes": [len(t.encode()) for t in texts], "n_tokens": n, "over_limit": [x > limit for x in n]}
+        counter.memo.rest()
 
     return map_rows(docs.select("doc_id", "text"), rows, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
