@@ -65,3 +65,9 @@ def judgment_sha(judgments: DataFrame) -> DataFrame:
     """Twelve hex digits over all judgments in canonical form (sorted keys and lists)."""
     line = F.to_json(F.struct("id", "kind", "query", F.sort_array("relevant").alias("relevant")))
     return judgments.agg(F.substring(F.sha2(F.array_join(F.sort_array(F.collect_list(line)), "\n"), 256), 1, 12).alias("judgment_sha"))
+
+
+def comparison_status(current: dict[str, str], baseline: dict[str, str], strict: bool = False, keys: tuple[str, ...] = ("judgment_sha", "chunk_count", "source_sha")) -> str:
+    """"compare" if two runs judged the same questions on the same corpus; else "skip", which strict mode counts as "fail"."""
+    same = all(current.get(k) == baseline.get(k) for k in keys)
+    return "compare" if same else "fail" if strict else "skip"

@@ -98,3 +98,30 @@ def profile_edges(profile: Profile, doc: str, text: str, most: int = 280) -> lis
             row = {"source": edge.source.format(**groups), "relation": edge.relation, "target": edge.target.format(**groups), "target_kind": edge.target_kind, "evidence": m.group()[:most]}
             out.setdefault((row["source"], row["relation"], row["target"]), row)
     return list(out.values())
+
+
+def gate(profile: Profile, rel_path: str, text: str, profiles: tuple[Profile, ...] = PROFILES, least_recall: float = 0.95, most_share: float = 0.5) -> dict[str, bool]:
+    """Whether a profile is fit for a sample: recognised by it alone, nearly all marker lines found, no section swallows the
+    text, edges are verbatim, and line ends make no difference."""
+    found = headings(profile, text)
+    lines = sum(any(re.match(m.pattern, line) for m in profile.markers) for line in text.split("\n"))
+    spans = [b - a for (a, _), (b, _) in zip(found, [*found[1:], (len(text), "")], strict=True)]
+    unix = text.replace("\r\n", "\n")
+    return {
+        "claimed": classify(rel_path, text, profiles) is profile,
+        "exclusive": sum(classify(rel_path, text, (p,)) is p for p in profiles) == 1,
+        "recall": len(found) >= least_recall * lines,
+        "balanced": bool(spans) and max(spans) <= most_share * len(text),
+        "verbatim": all(e["evidence"] in text for e in profile_edges(profile, "doc", text)),
+        "line_ends": [h for _, h in headings(profile, unix)] == [h for _, h in headings(profile, unix.replace("\n", "\r\n").replace("\r\n", "\n"))],
+    }
+
+
+def triage(samples: list[tuple[str, str]], profiles: tuple[Profile, ...] = PROFILES) -> dict[str, int]:
+    """How many of (rel_path, text) each profile claims; those that none does stand under an empty name."""
+    out: dict[str, int] = {}
+    for path, text in samples:
+        claimed = classify(path, text, profiles)
+        name = claimed.name if claimed else ""
+        out[name] = out.get(name, 0) + 1
+    return out

@@ -56,6 +56,13 @@ def test_profiles():
     assert parsed["doc_type"] == "statute" and parse.parse_document("a/x.txt", "x", "plain")["doc_type"] == "markdown"
 
 
+def test_profile_gate():
+    text = STATUTE + "제3조(기타) 그 밖의 사항을 정한다.\n제4조(끝) 마지막 사항을 정한다.\n"
+    assert all(profiles.gate(profiles.STATUTE, "x.txt", text).values())
+    assert not profiles.gate(profiles.BILL, "x.txt", text)["claimed"]
+    assert profiles.triage([("a.txt", text), ("b.txt", "plain")]) == {"statute": 1, "": 1}
+
+
 def test_parse_rows(spark):
     docs = spark.createDataFrame([("d", "c/d.md", "# T\n" + "word " * 300), ("n", None, None)], "doc_id string, rel_path string, content string")
     rows = parse.chunk_rows(parse.parsed(docs)).orderBy("chunk_id").collect()
@@ -170,3 +177,9 @@ def test_stream_equals_batch_and_survives_errors(spark, tmp_path):
     run = watch.rebuild_on_change(watch.file_stream(spark, str(source)), rebuild, str(tmp_path / "cp"), errors.append, once=True)
     run.awaitTermination(60)
     assert seen == ["text 0", "text 1", "text 2"] and len(errors) == 1
+
+
+def test_partitions_make_no_difference(spark):
+    docs = spark.createDataFrame([(f"d{i}", f"c/d{i}.md", f"# H{i}\n" + f"line {i} " * 120) for i in range(12)], "doc_id string, rel_path string, content string")
+    one, many = (sorted(map(tuple, parse.chunk_rows(parse.parsed(docs.repartition(n))).collect())) for n in (1, 5))
+    assert one == many

@@ -113,6 +113,13 @@ def test_metrics_and_floors(spark):
     assert evaluate.resolvable(judged, items).first().ok is False
 
 
+def test_runs_are_compared_only_on_equal_terms():
+    meta = {"judgment_sha": "a", "chunk_count": "5"}
+    assert evaluate.comparison_status(meta, meta) == "compare"
+    assert evaluate.comparison_status(meta, {**meta, "chunk_count": "6"}) == "skip"
+    assert evaluate.comparison_status(meta, {}, strict=True) == "fail"
+
+
 def test_cache_reuses_and_prunes(spark):
     texts = spark.createDataFrame([("1", "one"), ("2", "two"), ("3", "two")], "chunk_id string, embed_text string")
     old = cache.keyed(spark.createDataFrame([("one",), ("dead",)], "embed_text string")).selectExpr("embed_key", "array(float(9)) as embedding", "'s' as signature")
