@@ -168,7 +168,8 @@ def context_rows(docs: DataFrame, runs: DataFrame, length: int) -> DataFrame:
                 seen.clear()
 
     names = ("did", "th", "q", "g", "d", "hash", "ch", "ctx")
-    joined = docs.join(lists, ["did", "th"]).select("did", "th", "text", "runs")
+    # a merge join at every size: the same plan for small and large inputs, and nothing that grows is broadcast
+    joined = docs.join(lists.hint("merge"), ["did", "th"]).select("did", "th", "text", "runs")
     return map_rows(joined, rows, "did long, th long, q long, g int, d int, hash long, ch long, ctx binary")
 
 
@@ -375,7 +376,7 @@ def without(data: bytes, runs: list[tuple[int, int]]) -> bytes:
 def report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of a table of (doc_id, text)."""
     marked = keyed(docs)
-    joined = marked.join(repeated_intervals(marked, length, gram, group), ["did", "th"], "left").select("doc_id", "text", "spans")
+    joined = marked.join(repeated_intervals(marked, length, gram, group).hint("merge"), ["did", "th"], "left").select("doc_id", "text", "spans")
 
     def rows(batches):
         for batch in batches:
@@ -404,7 +405,7 @@ def cleaned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int
     marked = docs.withColumns({"__did": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "__th": F.xxhash64(F.coalesce("text", F.lit("")))})
     spans = repeated_intervals(keyed(docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))), length, gram, group)
     spans = spans.select(F.col("did").alias("__did"), F.col("th").alias("__th"), F.col("spans").alias("__spans"))
-    joined = marked.join(spans, ["__did", "__th"], "left").select(*docs.columns, "__spans")
+    joined = marked.join(spans.hint("merge"), ["__did", "__th"], "left").select(*docs.columns, "__spans")
     place = docs.columns.index("text")
 
     def cut(batches):
