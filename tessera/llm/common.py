@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
 #: Rows and bytes handed to Python at once.
-ARROW_ROWS, ARROW_BYTES = 2000, 16 << 20
+ARROW_ROWS, ARROW_BYTES = 2000, 8 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:

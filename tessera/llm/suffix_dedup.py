@@ -33,11 +33,11 @@ from pyspark.sql import functions as F
 from tessera.llm.common import drop_staged, map_batches, map_rows, staged
 
 LENGTH, GRAM = 400, 100
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Different contexts of one anchor that are compared in one task; more are cut down first.
 GROUP = 2000
 #: Bytes of contexts refined at once.
-BATCH_BYTES = 3 << 20
+BATCH_BYTES = 1 << 20
 
 _RNG = np.random.default_rng(400)
 _TABLE = _RNG.integers(0, 1 << 63, 256, dtype="u8") * np.uint64(2) + np.uint64(1)
@@ -114,7 +114,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", "text", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("did"), F.xxhash64("text").alias("th"))
 
 
-def _packed(texts: list[bytes], most: int = 4 << 20) -> Iterator[tuple[int, int]]:
+def _packed(texts: list[bytes], most: int = 1 << 20) -> Iterator[tuple[int, int]]:
     start = size = 0
     for i, t in enumerate(texts):
         if size and size + len(t) > most:
