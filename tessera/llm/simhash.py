@@ -20,7 +20,7 @@ group unless all its ids are null (then the group's id is null).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from itertools import combinations, repeat
 
 import numpy as np
@@ -39,18 +39,29 @@ PIVOTS = np.random.default_rng(64).integers(0, 1 << 63, 24, dtype="u8") * np.uin
 _BITS = np.unpackbits(np.arange(256, dtype="u1")[:, None], axis=1, bitorder="little").astype("i8")
 
 
-def fingerprint(text: str, width: int = 3, seed: int = 42) -> int:
+def shingle_hashes(text: str, width: int = 3, seed: int = 42) -> np.ndarray:
+    """XXH64 of each word shingle of a text, repeated ones included."""
     words = text.encode().lower().split()  # of bytes: only A-Z change, only ASCII white space separates
     if not words:
-        return 0
+        return np.zeros(0, dtype="<u8")
     shingles = zip(*(words[k:] for k in range(width)), strict=False) if len(words) >= width else [tuple(words)]
-    n = max(1, len(words) - width + 1)
-    hashes = np.fromiter(map(xxhash.xxh64_intdigest, map(b" ".join, shingles), repeat(seed)), dtype="<u8", count=n)
+    return np.fromiter(map(xxhash.xxh64_intdigest, map(b" ".join, shingles), repeat(seed)), dtype="<u8", count=max(1, len(words) - width + 1))
+
+
+def voted(hashes: np.ndarray) -> int:
+    """The fingerprint of these hashes: the bits that more than half of them have."""
+    n = len(hashes)
+    if not n:
+        return 0
     columns = hashes.view("u1").reshape(n, 8)
     votes = np.concatenate([np.bincount(columns[:, k], minlength=256) @ _BITS for k in range(8)])
     return int.from_bytes(np.packbits(2 * votes > n, bitorder="little").tobytes(), "little")
 
 
+def fingerprint(text: str, width: int = 3, seed: int = 42) -> int:
+    return voted(shingle_hashes(text, width, seed))
+
+
 def fingerprints(docs: DataFrame, widths: Sequence[int] = (3,), seed: int = 42) -> DataFrame:
     """doc_id, th (hash of the text) and fp, a struct of the fingerprints f0, f1, ... (as signed longs) of (doc_id, text)."""
     names = [f"f{k}" for k in range(len(widths))]
@@ -144,21 +155,21 @@ def links(distinct: DataFrame, radii: Sequence[int] = (RADIUS,), tile: int = TIL
     shared = staged(dealt.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"), "simhash-blocks")
     rows_ = dealt.join(shared, "key")
     small = rows_.filter(F.col("n") <= tile).select("key", "fp", F.lit(0).alias("side"))
-    return _compared(small, radii).unionAll(_tiled(rows_.filter(F.col("n") > tile), radii, tile)).distinct()
+    return _compared(small, radii).unionAll(_compared(tiled(rows_.filter(F.col("n") > tile), radii[0], tile), radii)).distinct()
 
 
-def _tiled(large: DataFrame, radii: Sequence[int], tile: int) -> DataFrame:
-    """Large blocks, cut into tiles of one pivot distance and of bounded size; pairs of tiles that may hold links."""
+def tiled(large: DataFrame, radius: int, tile: int, *more: str) -> DataFrame:
+    """Large blocks, cut into tiles of one d0 and of bounded size: key (of a pair of tiles that may hold links), fp, more, side."""
     dealt = large.withColumn("tile", F.pmod(F.xxhash64("fp"), F.ceil(F.col("n") / tile).cast("long")).cast("int"))
     tiles = staged(dealt.groupBy("key", "d0", "tile").agg(F.count("*").alias("rows")), "simhash-tiles")
     left = tiles.select("key", F.col("d0").alias("d1"), F.col("tile").alias("t1"))
     right = tiles.select("key", F.col("d0").alias("d2"), F.col("tile").alias("t2"))
-    pairs = left.join(right, "key").filter((F.col("d2") - F.col("d1")).between(0, radii[0]) & ((F.col("d1") < F.col("d2")) | (F.col("t1") <= F.col("t2"))))
+    pairs = left.join(right, "key").filter((F.col("d2") - F.col("d1")).between(0, radius) & ((F.col("d1") < F.col("d2")) | (F.col("t1") <= F.col("t2"))))
     pairs = pairs.withColumn("pair", F.xxhash64("key", "d1", "t1", "d2", "t2")).withColumn("one", (F.col("d1") == F.col("d2")) & (F.col("t1") == F.col("t2")))
     sides = pairs.select("key", F.col("d1").alias("d0"), F.col("t1").alias("tile"), "pair", F.when(F.col("one"), 0).otherwise(1).alias("side")).unionAll(
         pairs.filter(~F.col("one")).select("key", F.col("d2").alias("d0"), F.col("t2").alias("tile"), "pair", F.lit(2).alias("side"))
     )
-    return _compared(dealt.join(sides, ["key", "d0", "tile"]).select(F.col("pair").alias("key"), "fp", "side"), radii)
+    return dealt.join(sides, ["key", "d0", "tile"]).select(F.col("pair").alias("key"), "fp", *more, "side")
 
 
 def _compared(dealt: DataFrame, radii: Sequence[int]) -> DataFrame:
@@ -193,9 +204,14 @@ def _compared(dealt: DataFrame, radii: Sequence[int]) -> DataFrame:
 def near_duplicates(docs: DataFrame, widths: Sequence[int] = (3,), radii: Sequence[int] = (RADIUS,), seed: int = 42, tile: int = TILE) -> DataFrame:
     """doc_id, th, fp, component_id (smallest doc_id of the group), first (th of the row that stands for the group)."""
     marked = staged(fingerprints(docs, widths, seed), "simhash-fingerprints")
+    return grouped(marked, lambda classes: links(classes.select("fp"), radii, tile))
+
+
+def grouped(marked: DataFrame, find: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The stored rows doc_id, th, fp with component_id and first of the groups that the links (a, b) between fp make."""
     lead = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
     classes = staged(marked.groupBy("fp").agg(F.min(lead).alias("lead")), "simhash-classes")
-    roots = staged(components(links(classes.select("fp"), radii, tile)), "simhash-roots")
+    roots = staged(components(find(classes)), "simhash-roots")
     group = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "lead", F.coalesce("root", "fp").alias("root"))
     least = group.groupBy("root").agg(F.min("lead").alias("lead"))
     by_fp = staged(group.select("fp", "root").join(least, "root").select("fp", F.col("lead.doc_id").alias("component_id"), F.col("lead.th").alias("first")), "simhash-groups")
@@ -204,8 +220,13 @@ def near_duplicates(docs: DataFrame, widths: Sequence[int] = (3,), radii: Sequen
 
 def keep_one(docs: DataFrame, widths: Sequence[int], radii: Sequence[int]) -> DataFrame:
     """The rows of docs, with all their columns, that stand for their group: of each group one, with the smallest doc_id."""
+    return standing(docs, lambda plain: near_duplicates(plain, widths, radii))
+
+
+def standing(docs: DataFrame, group: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The rows of docs, with all their columns, that stand for their group by group(doc_id, text)."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    found = staged(near_duplicates(docs.select(F.col("doc_id").cast("long"), text.alias("text")), widths, radii), "simhash-found")
+    found = staged(group(docs.select(F.col("doc_id").cast("long"), text.alias("text"))), "simhash-found")
     leads = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("th") == F.col("first")))
     stay = leads.groupBy("doc_id", "th").agg(F.count("*").alias("n"))
     stay = staged(stay.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("__id"), F.col("th").alias("__th"), "n"), "simhash-stay")

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from tessera.llm import embedding_dedup, simhash, suffix_dedup
+from tessera.llm import embedding_dedup, near_copies, simhash, suffix_dedup
 from tessera.llm.components import components
 
 
@@ -109,6 +109,50 @@ def test_keep_one_of_each_group(spark):
     assert simhash.keep_one(spark.createDataFrame([], "doc_id long, text string"), (1, 5), (3, 14)).count() == 0
 
 
+def shingle_set(text, width=5):
+    words = (text or "").lower().split()
+    return {tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1))} if words else set()
+
+
+def block_edits(n=60, seed=5):
+    """Texts and copies with a block of words replaced, put in or taken out, most near the similarity of 0.8."""
+    rng = random.Random(seed)
+    out = []
+    for _ in range(n):
+        words = [f"w{rng.randint(0, 3000)}" for _ in range(rng.choice([3, 30, 80, 300]))]
+        out.append(" ".join(words))
+        for _ in range(rng.randint(0, 3)):
+            at, size = rng.randrange(len(words)), rng.randint(1, max(1, len(words) // 7))
+            out.append(" ".join(words[:at] + [f"x{rng.randint(0, 99)}" for _ in range(rng.choice([0, size]))] + words[at + rng.choice([0, size]) :]))
+    return out
+
+
+@pytest.mark.parametrize("tile", [512, 3])
+def test_near_copies_lose_no_pair(spark, tile):
+    same = [" ".join(["shared"] * k + [f"w{i}" for i in range(70)]) for k in range(1, 12)]
+    rows = list(enumerate([*block_edits(), *same, "", " ", None, "Two words", "two  WORDS"])) + [(5, "other text"), (None, block_edits()[0])]
+    sets = [shingle_set(t) for _, t in rows]
+    linked = [(a, b) for b in range(len(rows)) for a in range(b) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    top = groups(range(len(rows)), linked)
+    members: dict = {}
+    for k, (i, _) in enumerate(rows):
+        members.setdefault(top[k], []).append(i)
+    want = Counter((i, min(x for x in members[top[k]] if x is not None)) for k, (i, _) in enumerate(rows))
+    df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "coalesce(text, '') as text")
+    assert Counter((r.doc_id, r.component_id) for r in near_copies.near_copies(df, tile).collect()) == want
+    assert 20 < len(members) < len(rows) - 20
+
+
+def test_near_duplicate_stage_finds_block_edits(spark):
+    import corpus_pipeline
+
+    rng = random.Random(8)
+    words = [f"w{rng.randint(0, 3000)}" for _ in range(300)]
+    rows = [(k, " ".join(words[: 10 * k] + [f"x{k}y{j}" for j in range(20)] + words[10 * k + 20 :])) for k in range(1, 20)] + [(30, " ".join(words)), (31, " ".join(words[:200]))]
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert sorted(r.doc_id for r in kept) == [1, 31]
+
+
 def brute_repeats(rows, length):
     seen = Counter()
     texts = [(i, (t or "").encode()) for i, t in rows]
