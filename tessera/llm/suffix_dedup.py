@@ -43,6 +43,7 @@ _RNG = np.random.default_rng(400)
 _TABLE = _RNG.integers(0, 1 << 63, 256, dtype="u8") * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
 _LOW = np.uint64((1 << 24) - 1)
+_GAP = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 
 
 class Powers:
@@ -354,6 +355,34 @@ def repeated_intervals(docs: DataFrame, length: int = LENGTH, gram: int = GRAM,
     return out
 
 
+def short_passages(docs: DataFrame, words: int, below: int) -> DataFrame:
+    """did, th, spans: the byte intervals of repeated passages of so many whole words that have fewer bytes than below."""
+
+    def rows(batches):
+        for batch in batches:
+            out: list[tuple] = []
+            for did, th, text in zip(*(batch.column(c).to_pylist() for c in ("did", "th", "text")), strict=True):
+                data = text.encode()
+                inside = np.r_[False, ~_GAP[np.frombuffer(data, dtype="u1")], False]
+                edge = np.flatnonzero(inside[1:] != inside[:-1])
+                lo, hi = edge[::2], edge[1::2]
+                lo, hi = lo[: max(0, len(lo) - words + 1)], hi[words - 1 :]
+                for a, b in zip(lo[hi - lo < below].tolist(), hi[hi - lo < below].tolist(), strict=True):
+                    h = hashlib.blake2b(data[a:b], digest_size=16).digest()
+                    out.append((did, th, a, b, int.from_bytes(h[:8], "little", signed=True), int.from_bytes(h[8:], "little", signed=True)))
+                if len(out) > 4000:
+                    yield dict(zip(names, zip(*out, strict=True), strict=True))
+                    out = []
+            if out:
+                yield dict(zip(names, zip(*out, strict=True), strict=True))
+
+    names = ("did", "th", "lo", "hi", "one", "two")
+    windows = staged(map_rows(docs.select("did", "th", "text"), rows, "did long, th long, lo long, hi long, one long, two long"), "suffix-short")
+    repeated = staged(windows.groupBy("one", "two").agg(F.count("*").alias("of")).filter("of > 1").select("one", "two"), "suffix-short-repeated")
+    hits = windows.join(repeated.hint("merge"), ["one", "two"])
+    return hits.groupBy("did", "th").agg(F.collect_set(F.struct("lo", "hi")).alias("spans"))
+
+
 def merged(spans: list[dict] | None) -> list[tuple[int, int]]:
     """Maximal runs covered by the intervals."""
     out: list[tuple[int, int]] = []
@@ -399,11 +428,16 @@ def whole_characters(data: bytes, lo: int, hi: int) -> tuple[int, int]:
     return lo, hi
 
 
-def cleaned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
+def cleaned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP, words: int = 0) -> DataFrame:
     """A table (doc_id, text, ...) with its repeated passages cut out of text, in whole characters; other columns and null
-    texts stay as they are, and so do rows of which nothing is left but an empty text."""
+    texts stay as they are, and so do rows of which nothing is left but an empty text. With words, repeated passages of so
+    many words go too where they are shorter than length."""
     marked = docs.withColumns({"__did": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "__th": F.xxhash64(F.coalesce("text", F.lit("")))})
-    spans = repeated_intervals(keyed(docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))), length, gram, group)
+    plain = keyed(docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")))
+    spans = repeated_intervals(plain, length, gram, group)
+    if words:
+        both = spans.unionAll(short_passages(plain, words, length))
+        spans = both.groupBy("did", "th").agg(F.flatten(F.collect_list("spans")).alias("spans"))
     spans = spans.select(F.col("did").alias("__did"), F.col("th").alias("__th"), F.col("spans").alias("__spans"))
     joined = marked.join(spans.hint("merge"), ["__did", "__th"], "left").select(*docs.columns, "__spans")
     place = docs.columns.index("text")

@@ -217,6 +217,20 @@ def test_cleaned_texts(spark):
     assert suffix_dedup.cleaned(spark.createDataFrame([], "doc_id long, text string"), 100, 30).count() == 0
 
 
+def test_passages_of_short_words(spark):
+    import corpus_pipeline
+
+    passage = " ".join(f"{chr(97 + i % 26)}{i}" for i in range(51))
+    assert len(passage) < 200
+    long, rng = "ein Absatz mit vielen langen Wörtern " * 8, random.Random(4)
+    other = [" ".join(f"word{rng.randint(0, 10**6)}" for _ in range(40)) for _ in range(4)]
+    fewer = " ".join(f"z{i}" for i in range(50))
+    rows = [(1, f"{other[0]} {passage} end one"), (2, f"two: {passage} {other[1]}"), (3, f"{other[2]} {fewer} three"), (4, f"four {fewer} {other[3]}"), (5, f"five {long}!"), (6, f"{long}six {passage}"), (7, None), (8, "short")]
+    got = {r.doc_id: r.text for r in corpus_pipeline.passages(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()}
+    assert got[1] == f"{other[0]}  end one" and got[2] == f"two:  {other[1]}" and passage not in got[6] and "Absatz" not in got[5] + got[6]
+    assert got[3] == rows[2][1] and got[4] == rows[3][1] and got[7] is None and got[8] == "short"
+
+
 def test_embedding_groups(spark):
     rng = np.random.default_rng(6)
     centres = rng.normal(size=(40, 16))
