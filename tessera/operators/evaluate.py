@@ -49,6 +49,14 @@ def related_recall(outcomes: DataFrame) -> DataFrame:
     return outcomes.agg(hit.alias("hits"), miss.alias("misses"), F.count_if(F.col("outcome") == "absorbed").alias("absorbed"), F.count_if(F.col("outcome") == "skipped").alias("skipped"), F.round(hit / F.nullif(hit + miss, F.lit(0)), 4).alias("related_recall"))
 
 
+def relevant_ranks(walked: DataFrame, relevant: DataFrame, order: list) -> DataFrame:
+    """The relevant rows of walked with their rank: the number of rows of their query up to them in a total order."""
+    place = F.struct(*[c.alias(f"o{k}") for k, c in enumerate(order)])
+    mine = walked.join(relevant, ["query_id", "node_id"]).select("query_id", "node_id", "depth", "total_weight", place.alias("mine"))
+    both = walked.select("query_id", place.alias("place")).join(F.broadcast(mine), "query_id")  # judged nodes only
+    return both.groupBy("query_id", "node_id", "depth", "total_weight").agg(F.count_if(F.col("place") <= F.col("mine")).alias("rank"))
+
+
 def graph_metrics(walked: DataFrame, relevant: DataFrame) -> DataFrame:
     """Per query: whether a relevant node is reached, stands first, its reciprocal rank, and the mean weight per step."""
     found = walked.join(relevant, ["query_id", "node_id"])

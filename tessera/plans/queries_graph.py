@@ -100,10 +100,8 @@ def edge_dedup(spark, sf_dir):
 @query(f"SELECT CAST(1 AS BIGINT) AS query_id, CAST(1.0 AS DOUBLE) AS reach, CAST(CASE WHEN rk = 1 THEN 1.0 ELSE 0.0 END AS DOUBLE) AS p1, round(1.0 / rk, 6) AS mrr, round(total_weight / depth, 4) AS path_strength FROM (SELECT *, row_number() OVER (ORDER BY depth, total_weight DESC, node_id) AS rk FROM ({walk_sql(chr(39) + 'r1' + chr(39), 'source_id', 'target_id', 3, 'relation <> ' + chr(39) + 'mentions' + chr(39))})) WHERE node_id = 'n1'")
 def path_strength(spark, sf_dir):
     rows = graph_walk_down(spark, sf_dir)
-    from tessera.operators.search import top
-
-    ranked = top(rows.withColumn("query_id", F.lit(1).cast("long")), 100000, [F.asc("depth"), F.desc("total_weight"), F.asc("node_id")], ["query_id"])
     relevant = spark.createDataFrame([(1, "n1")], "query_id long, node_id string")
+    ranked = evaluate.relevant_ranks(rows.withColumn("query_id", F.lit(1).cast("long")), relevant, [F.col("depth"), -F.col("total_weight"), F.col("node_id")])
     return evaluate.graph_metrics(ranked, relevant).withColumn("mrr", F.round("mrr", 6))
 
 

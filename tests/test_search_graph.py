@@ -17,6 +17,15 @@ def index(spark):
     return search.Index(chunks, vectors, search.postings(chunks, T.index_terms(F.col("content"))))
 
 
+def test_path_strength_ranks_all_nodes(spark, monkeypatch):
+    from tessera.plans import queries_graph
+
+    walked = spark.range(100_010).selectExpr("concat('m', id) AS node_id", "1L AS depth", "1.0D AS total_weight").union(spark.createDataFrame([("n1", 2, 1.0)], "node_id string, depth long, total_weight double"))
+    monkeypatch.setattr(queries_graph, "graph_walk_down", lambda *_: walked)
+    got = queries_graph.path_strength(spark, "").first()
+    assert (got.reach, got.p1, got.mrr, got.path_strength) == (1.0, 0.0, round(1 / 100_011, 6), 0.5)
+
+
 def test_bm25_by_hand(index):
     got = {r.chunk_id: r.score for r in search.keyword_hits(index.posts, ["apples"]).collect()}
     docs = {k: t.split() for k, t in TEXTS.items()}
