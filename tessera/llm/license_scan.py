@@ -66,7 +66,7 @@ FAMILIES = {
     "ncsa": ("ncsa|illinois", r"(?:ncsa|university of illinois ncsa open source)(?: licen[sc]e)?", ""),
     "afl": ("afl|academic", r"(?:afl|academic free licen[sc]e)", r"(?:v|version )?[123] [012]"),
     "osl": ("osl|open", r"(?:osl|open software licen[sc]e)", r"(?:v|version )?[123] [012]"),
-    "qpl": ("qpl", r"(?:qpl|q public licen[sc]e)", r"(?:v|version )?1 0"),
+    "qpl": ("qpl|q", r"(?:qpl|q public licen[sc]e)", r"(?:v|version )?1 0"),
     "vim": ("vim", r"vim licen[sc]e", ""),
     "beerware": ("beerware|beer", r"beer ?ware(?: licen[sc]e)?", ""),
     "sspl": ("sspl|server", r"(?:sspl|server side public licen[sc]e)", r"(?:v|version )?1(?: 0)?"),

@@ -140,6 +140,39 @@ def test_rules_and_suppression():
     assert license_scan.resolve([d("low", 0, 9, 1, 0.5), d("high", 2, 5, 9, 0.5)]) == [d("high", 2, 5, 9, 0.5)]
 
 
+def spelled(parsed):
+    """All strings of a pattern of literals, classes, branches and optional groups."""
+    out = [""]
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            more = [chr(arg)]
+        elif op == "IN":
+            more = [chr(c) for kind, x in arg for c in ([x] if str(kind) == "LITERAL" else range(x[0], x[1] + 1))]
+        elif op == "BRANCH":
+            more = [s for branch in arg[1] for s in spelled(branch)]
+        elif op == "SUBPATTERN":
+            more = spelled(arg[3])
+        else:
+            assert op == "MAX_REPEAT" and arg[:2] == (0, 1)
+            more = ["", *spelled(arg[2])]
+        out = [a + b for a in out for b in more]
+    return out
+
+
+def test_every_name_passes_its_gate():
+    scanner = license_scan.scanner()
+    lost = []
+    for label, (gate, name, _) in license_scan.FAMILIES.items():
+        for text in spelled(re._parser.parse(name)):
+            seen = {word for _, word in scanner.automaton.iter(f" {text} ")}
+            if seen.isdisjoint(gate.split("|")):
+                lost.append((label, text))
+    assert not lost
+    for text in ("Licensed under the Q Public License", "Q Public License 1.0"):
+        assert "qpl" in scan(text)["labels"].split(",")
+
+
 def test_scan_table(spark):
     df = spark.createDataFrame([(1, None, "x"), (None, "the MIT License", "x"), (1, None, "x"), (2, "word " * 50_000, "x")], "doc_id long, text string, labels string")
     got = license_scan.scan_documents(df).collect()
