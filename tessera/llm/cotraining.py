@@ -32,6 +32,8 @@ HASH_BITS = 18
 N_FEATURES = 512
 ROUNDS = 4
 MAX_LABELLED, MAX_POOL = 4000, 4000
+#: How much more the loss of good documents weighs than that of bad ones kept, and how many may be lost.
+GOOD_WEIGHT, MAX_FALSE_REJECTS = 5.0, 0.05
 LANG_BUCKETS, SOURCE_BUCKETS = 8, 32
 SYMBOLS = frozenset("#*$%&|<>")
 
@@ -162,6 +164,8 @@ class Model:
     mix: np.ndarray = field(default_factory=lambda: np.array([0.5, 0.5, 0.0]))
     threshold: float = 0.5
     held_out_accuracy: float = float("nan")
+    held_out_bad_rejected: float = float("nan")
+    held_out_good_kept: float = float("nan")
 
     def text_matrix(self, found: Iterable[Iterable[int]]) -> np.ndarray:
         place = {f: k for k, f in enumerate(self.features.tolist())}
@@ -197,6 +201,20 @@ def surest(odds: np.ndarray, free: np.ndarray, share: float, k: int) -> tuple[np
     return np.r_[good, bad], np.r_[np.ones(len(good)), np.zeros(len(bad))]
 
 
+def reject_limit(p: np.ndarray, y: np.ndarray) -> float:
+    """The limit, 0.5 at most, with the greatest share of bad documents rejected less GOOD_WEIGHT times that of good ones.
+
+    A wrong label costs its own share only: a good label on a bad document cannot pull the limit below the bad ones.
+    Of all good labels one in 200 is given up in any case (below 0.5), and no more than MAX_FALSE_REJECTS.
+    """
+    least = min(0.5, float(np.quantile(p[y > 0.5], 0.005)))
+    good, bad = np.sort(p[y > 0.5]), np.sort(p[y < 0.5])
+    limits = np.unique(np.r_[least, p[(p > least) & (p < 0.5)], 0.5])
+    lost, caught = np.searchsorted(good, limits) / len(good), np.searchsorted(bad, limits) / len(bad)
+    gain = np.where((lost <= MAX_FALSE_REJECTS) | (limits == least), caught - GOOD_WEIGHT * lost, -np.inf)
+    return float(limits[np.argmax(gain)])
+
+
 def cotrain(found: list[list[int]], meta: np.ndarray, y: np.ndarray, held: np.ndarray, rounds: int = ROUNDS) -> Model:
     """Fit on rows with labels (y 0 or 1; NaN: unlabelled); labelled rows marked as held take no part but for calibration."""
     labelled = ~np.isnan(y)
@@ -232,8 +250,9 @@ def cotrain(found: list[list[int]], meta: np.ndarray, y: np.ndarray, held: np.nd
     model.mix = np.r_[w[:2] / spread, w[2]]
     p = model.combined(both[:, 0], both[:, 1])
     model.held_out_accuracy = float(((p >= 0.5) == (y[check] > 0.5)).mean())
-    # the limit: no more good documents are rejected than one in 200, as the held-out ones show
-    model.threshold = float(min(0.5, np.quantile(p[y[check] > 0.5], 0.005)))
+    model.threshold = reject_limit(p, y[check])
+    model.held_out_bad_rejected = float((p[y[check] < 0.5] < model.threshold).mean())
+    model.held_out_good_kept = float((p[y[check] > 0.5] >= model.threshold).mean())
     return model
 
 

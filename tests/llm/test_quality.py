@@ -140,6 +140,19 @@ def test_rules_and_suppression():
     assert license_scan.resolve([d("low", 0, 9, 1, 0.5), d("high", 2, 5, 9, 0.5)]) == [d("high", 2, 5, 9, 0.5)]
 
 
+@pytest.mark.parametrize("wrong", [0.0, 0.01, 0.02])
+def test_limit_withstands_wrong_labels(wrong):
+    import numpy as np
+
+    rng = np.random.default_rng(7)
+    y = (np.arange(1200) < 900).astype(float)
+    p = np.where(y > 0.5, rng.beta(12, 2, 1200), rng.beta(2, 12, 1200))
+    p[: int(900 * wrong)] = rng.beta(2, 12, int(900 * wrong))  # labelled good, but bad
+    limit = cotraining.reject_limit(p, y)
+    assert limit <= 0.5 and (p[900:] < limit).mean() > 0.97 and (p[50:900] >= limit).mean() > 0.97
+    assert min(0.5, np.quantile(p[:900], 0.005)) < limit or not wrong
+
+
 def spelled(parsed):
     """All strings of a pattern of literals, classes, branches and optional groups."""
     out = [""]
