@@ -6,8 +6,9 @@ holds the document index (id, ids, first frame; compressed), and the last one is
 layout: for each frame its compressed size, its size and the low half of its XXH64, then the frame count, a descriptor and a
 magic number. A reader takes the table from the file's end and decompresses only the frames of the documents asked for.
 
-``write_shards`` orders documents by id over range partitions, each task writes one shard under a name of its own into the
-shared folder and reports it in a manifest; shards of lost or repeated attempts are in no manifest and are never read.
+``write_shards`` encodes the texts where they lie and orders only the ids, in the width they are stored in, by document over
+range partitions; each task writes one shard under a name of its own into the shared folder and reports it in a manifest;
+shards of lost or repeated attempts are in no manifest and are never read.
 
 Defined cases: a null or empty text is stored as its end id alone; null ids come first; repeated rows are stored each;
 an empty table has an empty manifest.
@@ -21,6 +22,7 @@ import zlib
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -28,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.byte_bpe import tokenizer_path, word_encoder
-from tessera.llm.common import map_rows, scratch, staged
+from tessera.llm.common import drop_staged, map_rows, scratch, staged
 
 #: Fixed values of the published zstandard frame and seekable formats.
 SKIPPABLE_INDEX, SKIPPABLE_SEEK, SEEKABLE_MAGIC, DESCRIPTOR = 0x184D2A50, 0x184D2A5E, 0x8F92EAB1, 0x80
@@ -47,10 +49,14 @@ def open_store(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def id_width(vocab_size: int) -> str:
+    """numpy type in which ids of such a vocabulary are stored."""
+    return "<u2" if vocab_size <= 1 << 16 else "<u4"
+
+
 class ShardWriter:
     def __init__(self, sink, vocab_size: int = 1 << 16, level: int = 3) -> None:
-        self.sink, self.at = sink, 0
-        self.dtype = "<u2" if vocab_size <= 1 << 16 else "<u4"
+        self.sink, self.dtype = sink, id_width(vocab_size)
         self.zstd = zstandard.ZstdCompressor(level=level, write_checksum=True, write_content_size=True)
         self.table: list[bytes] = []
         self.docs: list[tuple[int, int, int]] = []
@@ -61,9 +67,14 @@ class ShardWriter:
         self.table.append(struct.pack("<III", len(packed), len(data), xxhash.xxh64_intdigest(data) & 0xFFFFFFFF))
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        self.docs.append((NULL_ID if doc_id is None else doc_id, len(ids), len(self.table)))
-        for k in range(0, len(ids), FRAME_IDS):
-            self._frame(ids[k : k + FRAME_IDS].astype(self.dtype).tobytes())
+        self.add_packed(doc_id, ids.astype(self.dtype).tobytes())
+
+    def add_packed(self, doc_id: int | None, data: bytes) -> None:
+        """Add a document by its ids' bytes, in this shard's width."""
+        width = int(self.dtype[-1])
+        self.docs.append((NULL_ID if doc_id is None else doc_id, len(data) // width, len(self.table)))
+        for k in range(0, len(data), FRAME_IDS * width):
+            self._frame(data[k : k + FRAME_IDS * width])
 
     def close(self) -> None:
         index = struct.pack("<B", int(self.dtype[-1])) + self.zstd.compress(np.array(self.docs, dtype="<i8").reshape(-1, 3).tobytes())
@@ -131,38 +142,66 @@ class ShardReader:
         return dict(self.read(wanted.tolist()))
 
 
-def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id: int = 2) -> DataFrame:
-    """Encode (doc_id, text), write shards in ascending doc_id order, return the manifest (part, uri, n_docs, n_tokens)."""
-    path = path or tokenizer_path()
+def stored_width(path: str, end_id: int) -> str:
+    return id_width(max(word_encoder(path).tokenizer.get_vocab_size(), end_id + 1))
+
+
+def encoded(docs: DataFrame, path: str, end_id: int, dtype: str) -> DataFrame:
+    """doc_id and the ids of (doc_id, text) with the end id, as bytes of the width that a shard has; no row moves."""
 
     def rows(batches):
         encoder = word_encoder(path)
+        end = np.array([end_id], dtype="<u4")
+        for batch in batches:
+            ids = batch.column("doc_id")
+            for a, b, coded in encoder.encode_slices(batch.column("text")):
+                data = np.concatenate([x for own in coded for x in (own, end)], dtype=np.dtype(dtype), casting="unsafe")
+                offsets = np.zeros(b - a + 1, dtype="i4")
+                np.cumsum([(len(own) + 1) * np.dtype(dtype).itemsize for own in coded], out=offsets[1:])
+                yield {"doc_id": ids.slice(a, b - a), "ids": pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(offsets), pa.py_buffer(data)])}
+        encoder.rest()
+
+    return map_rows(docs.select("doc_id", "text"), rows, "doc_id long, ids binary")
+
+
+def write_encoded(ids: DataFrame, folder: str, dtype: str) -> DataFrame:
+    """Shards of a stored table (doc_id, ids) in ascending doc_id order; the manifest (part, uri, n_docs, n_tokens)."""
+    width = np.dtype(dtype).itemsize
+
+    def rows(batches):
         part = TaskContext.get().partitionId()
         uri = f"{folder}/shard-{part:06d}-{uuid.uuid4().hex}.zst"
         store = n_docs = n_tokens = 0
-        end = np.array([end_id], dtype="<u4")
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             if ids and not store:
                 store, name = open_store(uri)
                 store.create_dir(name.rsplit("/", 1)[0], recursive=True)
                 sink = store.open_output_stream(name, compression=None)
-                writer = ShardWriter(sink, encoder.tokenizer.get_vocab_size())
-            for a, b, coded in encoder.encode_slices(batch.column("text")):
-                for doc_id, own in zip(ids[a:b], coded, strict=True):
-                    tokens = np.concatenate([own, end])
-                    writer.add(doc_id, tokens)
-                    n_docs, n_tokens = n_docs + 1, n_tokens + len(tokens)
-        encoder.rest()
+                writer = ShardWriter(sink, 1 << 8 * width)
+            for doc_id, data in zip(ids, batch.column("ids"), strict=True):
+                data = data.as_buffer()
+                writer.add_packed(doc_id, data)
+                n_docs, n_tokens = n_docs + 1, n_tokens + len(data) // width
         if store:
             writer.close()
             sink.close()
             yield {"part": [part], "uri": [uri], "n_docs": [n_docs], "n_tokens": [n_tokens]}
 
-    ordered = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    ordered = ids.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
     return map_rows(ordered, rows, "part long, uri string, n_docs long, n_tokens long")
 
 
+def write_shards(docs: DataFrame, folder: str, path: str | None = None, end_id: int = 2) -> DataFrame:
+    """Encode (doc_id, text), write shards in ascending doc_id order, return the stored manifest."""
+    path = path or tokenizer_path()
+    dtype = stored_width(path, end_id)
+    ids = staged(encoded(docs, path, end_id, dtype), "token-ids")  # sampled for its ranges: it must not be encoded twice
+    manifest = staged(write_encoded(ids, folder, dtype), "token-manifest")
+    drop_staged(ids)
+    return manifest
+
+
 def read_shards(manifest: DataFrame) -> DataFrame:
     """Every document of the shards in the manifest: doc_id, start, n_tokens, ids_crc32, in blocks of documents per shard."""
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -190,4 +229,4 @@ def read_shards(manifest: DataFrame) -> DataFrame:
 def stored(docs: DataFrame, path: str | None = None, end_id: int = 2) -> DataFrame:
     """Write the ids of docs, then read every document back from the shards."""
     spark = docs.sparkSession
-    return read_shards(staged(write_shards(docs, scratch(spark, "token-shards"), path, end_id), "token-manifest"))
+    return read_shards(write_shards(docs, scratch(spark, "token-shards"), path, end_id))
