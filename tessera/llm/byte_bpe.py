@@ -2,9 +2,11 @@
 
 The file's pre-tokenizer never lets a token cross from other characters to a following white-space character, nor over a
 single line end, so in a text without two white-space characters in a row, pieces cut in front of each space and line end
-encode independently: the ids of the text are those of its pieces, one after the other. Distinct pieces are encoded once and memoised per worker in a dictionary of bounded size. Other
-texts, and texts holding a special token's string, go to the library whole. Cutting and finding the distinct pieces are
-Arrow kernels over whole columns, putting ids together is numpy; only distinct pieces are seen by Python code.
+encode independently: the ids of the text are those of its pieces, one after the other. Nor does it let a token cross from a
+letter or digit to a mark other than the apostrophe, so marks that end a piece are encoded apart from it, which leaves fewer
+distinct pieces. Those are encoded once and memoised per worker in a dictionary of bounded size. Other texts, and texts
+holding a special token's string, go to the library whole. Cutting and finding the distinct pieces are Arrow kernels over
+whole columns, putting ids together is numpy; only distinct pieces are seen by Python code.
 """
 
 from __future__ import annotations
@@ -30,6 +32,11 @@ SLICE_CHARS, ENCODE_BYTES = 2_000_000, 5_000_000
 _GAP = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
+#: Marks that may end a piece, and what must stand before them to cut there (letters and digits that no table disputes).
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_BEFORE_MARKS = r"[0-9A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}]\z"
+
+
 def tokenizer_path(name: str = BYTE_BPE) -> str:
     import public_tokenizers
 
@@ -77,12 +84,31 @@ class Memo:
             self.now = dict(islice(self.now.items(), IDLE_ENTRIES))
 
 
+def tails(strings: pa.Array, rows: np.ndarray, size: np.ndarray) -> pa.Array:
+    """The last bytes, size of them, of the given rows of a column of strings."""
+    offsets = np.frombuffer(strings.buffers()[1], dtype="i4")[strings.offset :]
+    ends = np.cumsum(size, dtype="i4")
+    place = np.repeat(offsets[rows + 1] - ends, size) + np.arange(ends[-1] if len(ends) else 0, dtype="i4")
+    data = np.frombuffer(strings.buffers()[2], dtype="u1")[place]
+    return pa.Array.from_buffers(pa.string(), len(rows), [None, pa.py_buffer(np.r_[np.int32(0), ends].astype("i4")), pa.py_buffer(data)])
+
+
+def gathered(values: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of values (of the sizes given, end to end) in the order of at, and where each ends."""
+    begin = np.cumsum(size, dtype="i4") - size
+    size_at = size[at]
+    ends = np.cumsum(size_at, dtype="i4")  # of a slice of bounded size
+    place = np.repeat(begin[at] - (ends - size_at), size_at)
+    place += np.arange(len(place), dtype="i4")
+    return values[place], ends
+
+
 class PieceEncoder:
     """Ids of whole texts from the ids of their pieces. A piece starts with the line end that stood in front of it, or else
     has lost the space that did; a text is taken as if a line end stood before it, whose id is dropped again."""
 
     def __init__(self, special: Sequence[str]) -> None:
-        self.pieces = Memo()
+        self.pieces, self.marks = Memo(), Memo(20_000)
         self.odd = "|".join([f"{_GAP}{{2}}", f"^{_GAP}", f"{_GAP}$", *map(re.escape, special)]).replace("$", r"\z").replace("^", r"\A")
 
     def piece_ids(self, pieces: list[str]) -> Iterable[bytes]:
@@ -105,20 +131,29 @@ class PieceEncoder:
             return []
         cut = pc.split_pattern(pc.binary_join_element_wise("\n", pc.replace_substring(texts, "\n", " \n"), ""), " ")
         coded = cut.flatten().dictionary_encode()
-        pieces, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        known = self.pieces.learn(pieces, self.piece_ids)
-        values = list(map(known.__getitem__, pieces))
-        size = np.fromiter(map(len, values), dtype="i4", count=len(values)) // 4
-        begin = np.cumsum(size, dtype="i4") - size
-        size_at = size[at]
-        ends = np.cumsum(size_at, dtype="i4")  # of a slice of bounded size
-        place = np.repeat(begin[at] - (ends - size_at), size_at)
-        place += np.arange(len(place), dtype="i4")
-        ids = np.frombuffer(b"".join(values), dtype="<u4")[place]
+        ids, ends = gathered(*self._distinct(coded.dictionary), coded.indices.to_numpy())
         offsets = cut.offsets.to_numpy()
         bounds = np.r_[0, ends][offsets - offsets[0]].tolist()
         return [ids[a + 1 : b] for a, b in zip(bounds, bounds[1:])]
 
+    def _distinct(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct pieces end to end, and how many each has."""
+        cores = pc.utf8_rtrim(pieces, characters=MARKS)
+        n_marks = (pc.binary_length(pieces).to_numpy() - pc.binary_length(cores).to_numpy()).astype("i4")
+        n_marks[~pc.match_substring_regex(cores, _BEFORE_MARKS).to_numpy(zero_copy_only=False)] = 0
+        marked = np.flatnonzero(n_marks)
+        words = pc.if_else(pa.array(n_marks > 0), cores, pieces).dictionary_encode()
+        marks = tails(pieces, marked, n_marks[marked]).dictionary_encode()
+        keys, ends = words.dictionary.to_pylist(), marks.dictionary.to_pylist()
+        values = [b"", *map(self.pieces.learn(keys, self.piece_ids).__getitem__, keys)]
+        values += map(self.marks.learn(ends, lambda new: [self.whole_ids(m).tobytes() for m in new]).__getitem__, ends)
+        both = np.zeros((len(pieces), 2), dtype="i4")
+        both[:, 0] = 1 + words.indices.to_numpy()
+        both[marked, 1] = 1 + len(keys) + marks.indices.to_numpy()
+        size = np.fromiter(map(len, values), dtype="i4", count=len(values)) // 4
+        ids, _ = gathered(np.frombuffer(b"".join(values), dtype="<u4"), size, both.ravel())
+        return ids, size[both].sum(axis=1, dtype="i4")
+
     def encode_slices(self, texts: pa.Array, most: int = ENCODE_BYTES) -> Iterator[tuple[int, int, list[np.ndarray]]]:
         """(first row, end row, ids) of a column in ranges of bounded size; null texts count as empty."""
         texts = pc.fill_null(texts, "")

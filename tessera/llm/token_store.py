@@ -6,7 +6,7 @@ holds the document index (id, ids, first frame; compressed), and the last one is
 layout: for each frame its compressed size, its size and the low half of its XXH64, then the frame count, a descriptor and a
 magic number. A reader takes the table from the file's end and decompresses only the frames of the documents asked for.
 
-``write_shards`` encodes the texts where they lie and orders only the ids, in the width they are stored in, by document over
+``write_shards`` encodes the texts and compresses their frames where they lie, then orders only the frames by document over
 range partitions; each task writes one shard under a name of its own into the shared folder and reports it in a manifest;
 shards of lost or repeated attempts are in no manifest and are never read.
 
@@ -22,7 +22,6 @@ import zlib
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
-import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark import TaskContext
@@ -54,34 +53,47 @@ def id_width(vocab_size: int) -> str:
     return "<u2" if vocab_size <= 1 << 16 else "<u4"
 
 
+class Frames:
+    """Compresses documents' ids, whose bytes have a shard's width, into frames."""
+
+    def __init__(self, dtype: str, level: int = 3) -> None:
+        self.most = FRAME_IDS * np.dtype(dtype).itemsize
+        self.zstd = zstandard.ZstdCompressor(level=level, write_checksum=True, write_content_size=True)
+
+    def of(self, data: memoryview | bytes) -> tuple[bytes, bytes]:
+        """A document's frames end to end, and their entries of the seek table."""
+        frames, entries = [], []
+        for k in range(0, len(data), self.most):
+            part = data[k : k + self.most]
+            frames.append(self.zstd.compress(part))
+            entries.append(struct.pack("<III", len(frames[-1]), len(part), xxhash.xxh64_intdigest(part) & 0xFFFFFFFF))
+        return b"".join(frames), b"".join(entries)
+
+
 class ShardWriter:
+    """Writes documents, compressed beforehand or not, to a binary file."""
+
     def __init__(self, sink, vocab_size: int = 1 << 16, level: int = 3) -> None:
         self.sink, self.dtype = sink, id_width(vocab_size)
-        self.zstd = zstandard.ZstdCompressor(level=level, write_checksum=True, write_content_size=True)
+        self.frames = Frames(self.dtype, level)
         self.table: list[bytes] = []
+        self.n_frames = 0
         self.docs: list[tuple[int, int, int]] = []
 
-    def _frame(self, data: bytes) -> None:
-        packed = self.zstd.compress(data)
-        self.sink.write(packed)
-        self.table.append(struct.pack("<III", len(packed), len(data), xxhash.xxh64_intdigest(data) & 0xFFFFFFFF))
-
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        self.add_packed(doc_id, ids.astype(self.dtype).tobytes())
+        self.add_frames(doc_id, len(ids), *self.frames.of(ids.astype(self.dtype).tobytes()))
 
-    def add_packed(self, doc_id: int | None, data: bytes) -> None:
-        """Add a document by its ids' bytes, in this shard's width."""
-        width = int(self.dtype[-1])
-        self.docs.append((NULL_ID if doc_id is None else doc_id, len(data) // width, len(self.table)))
-        for k in range(0, len(data), FRAME_IDS * width):
-            self._frame(data[k : k + FRAME_IDS * width])
+    def add_frames(self, doc_id: int | None, n_ids: int, frames: bytes, entries: bytes) -> None:
+        self.docs.append((NULL_ID if doc_id is None else doc_id, n_ids, self.n_frames))
+        self.sink.write(frames)
+        self.table.append(entries)
+        self.n_frames += len(entries) // 12
 
     def close(self) -> None:
-        index = struct.pack("<B", int(self.dtype[-1])) + self.zstd.compress(np.array(self.docs, dtype="<i8").reshape(-1, 3).tobytes())
+        index = struct.pack("<B", int(self.dtype[-1])) + self.frames.zstd.compress(np.array(self.docs, dtype="<i8").reshape(-1, 3).tobytes())
         self.sink.write(struct.pack("<II", SKIPPABLE_INDEX, len(index)) + index)
-        self.table.append(struct.pack("<III", len(index) + 8, 0, 0))
-        entries = b"".join(self.table)
-        self.sink.write(struct.pack("<II", SKIPPABLE_SEEK, len(entries) + 9) + entries + struct.pack("<IBI", len(self.table), DESCRIPTOR, SEEKABLE_MAGIC))
+        entries = b"".join([*self.table, struct.pack("<III", len(index) + 8, 0, 0)])
+        self.sink.write(struct.pack("<II", SKIPPABLE_SEEK, len(entries) + 9) + entries + struct.pack("<IBI", len(entries) // 12, DESCRIPTOR, SEEKABLE_MAGIC))
 
 
 class ShardReader:
@@ -147,48 +159,48 @@ def stored_width(path: str, end_id: int) -> str:
 
 
 def encoded(docs: DataFrame, path: str, end_id: int, dtype: str) -> DataFrame:
-    """doc_id and the ids of (doc_id, text) with the end id, as bytes of the width that a shard has; no row moves."""
+    """doc_id, n_ids, frames and entries of (doc_id, text) with the end id: compressed where the texts lie, no row moves."""
 
     def rows(batches):
-        encoder = word_encoder(path)
+        encoder, compress = word_encoder(path), Frames(dtype).of
+        width = np.dtype(dtype).itemsize
         end = np.array([end_id], dtype="<u4")
         for batch in batches:
-            ids = batch.column("doc_id")
+            doc_ids = batch.column("doc_id")
             for a, b, coded in encoder.encode_slices(batch.column("text")):
-                data = np.concatenate([x for own in coded for x in (own, end)], dtype=np.dtype(dtype), casting="unsafe")
-                offsets = np.zeros(b - a + 1, dtype="i4")
-                np.cumsum([(len(own) + 1) * np.dtype(dtype).itemsize for own in coded], out=offsets[1:])
-                yield {"doc_id": ids.slice(a, b - a), "ids": pa.Array.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(offsets), pa.py_buffer(data)])}
+                data = memoryview(np.concatenate([x for own in coded for x in (own, end)], dtype=np.dtype(dtype), casting="unsafe")).cast("B")
+                n_ids = [len(own) + 1 for own in coded]
+                ends = (np.cumsum(n_ids) * width).tolist()
+                frames, entries = zip(*[compress(data[x:y]) for x, y in zip([0, *ends], ends)], strict=True)
+                yield {"doc_id": doc_ids.slice(a, b - a), "n_ids": n_ids, "frames": frames, "entries": entries}
         encoder.rest()
 
-    return map_rows(docs.select("doc_id", "text"), rows, "doc_id long, ids binary")
+    return map_rows(docs.select("doc_id", "text"), rows, "doc_id long, n_ids long, frames binary, entries binary")
 
 
 def write_encoded(ids: DataFrame, folder: str, dtype: str) -> DataFrame:
-    """Shards of a stored table (doc_id, ids) in ascending doc_id order; the manifest (part, uri, n_docs, n_tokens)."""
-    width = np.dtype(dtype).itemsize
+    """Shards of a stored table of encoded() in ascending doc_id order; the manifest (part, uri, n_docs, n_tokens)."""
+    vocab_size = 1 << 8 * np.dtype(dtype).itemsize
 
     def rows(batches):
         part = TaskContext.get().partitionId()
         uri = f"{folder}/shard-{part:06d}-{uuid.uuid4().hex}.zst"
-        store = n_docs = n_tokens = 0
+        store = n_tokens = 0
         for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            if ids and not store:
+            if batch.num_rows and not store:
                 store, name = open_store(uri)
                 store.create_dir(name.rsplit("/", 1)[0], recursive=True)
                 sink = store.open_output_stream(name, compression=None)
-                writer = ShardWriter(sink, 1 << 8 * width)
-            for doc_id, data in zip(ids, batch.column("ids"), strict=True):
-                data = data.as_buffer()
-                writer.add_packed(doc_id, data)
-                n_docs, n_tokens = n_docs + 1, n_tokens + len(data) // width
+                writer = ShardWriter(sink, vocab_size)
+            for doc_id, n_ids, frames, entries in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "n_ids", "frames", "entries")), strict=True):
+                writer.add_frames(doc_id, n_ids, frames, entries)
+                n_tokens += n_ids
         if store:
             writer.close()
             sink.close()
-            yield {"part": [part], "uri": [uri], "n_docs": [n_docs], "n_tokens": [n_tokens]}
+            yield {"part": [part], "uri": [uri], "n_docs": [len(writer.docs)], "n_tokens": [n_tokens]}
 
-    ordered = ids.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "ids")
+    ordered = ids.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "n_ids", "frames")
     return map_rows(ordered, rows, "part long, uri string, n_docs long, n_tokens long")
 
 

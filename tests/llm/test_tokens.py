@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from tessera.llm import best_fit_packing, byte_bpe, token_store, trie_bpe, whole_token_counts
 
 PATH = byte_bpe.tokenizer_path()
-ALPHABET = ["a", "b", " ", "  ", "\n", "\n\n", "\t", "'s", "'ll", "é", "é", "1", "²", "½", "_", "-", "…", "\x1c", "\x85", "\xa0", "　", "日本", "😀", "<|endoftext|>", "the", "▁", "​", "٣", "\r\n", "hello world", ".", ","]
+ALPHABET = ["a", "b", " ", "  ", "\n", "\n\n", "\t", "'s", "'ll", "é", "é", "1", "²", "½", "_", "-", "…", "\x1c", "\x85", "\xa0", "　", "日本", "😀", "<|endoftext|>", "the", "▁", "​", "٣", "\r\n", "hello world", ".", ",", "$$$", "'", ".'", "ÿ", "ǅ", "×!", "(a)."]
 
 
 @pytest.fixture(scope="module")
