@@ -89,8 +89,8 @@ def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterato
     return df.mapInArrow(whole, schema)
 
 
-def map_rows(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema: str) -> DataFrame:
-    """mapInArrow for a generator of dicts of equally long column lists."""
+def map_rows(df: DataFrame, rows: Callable[[Iterator[pa.RecordBatch]], Iterator[dict]], schema) -> DataFrame:
+    """mapInArrow for a generator of dicts of equally long column lists; schema as createDataFrame takes it."""
     struct = df.sparkSession.createDataFrame([], schema).schema
     from pyspark.sql.pandas.types import to_arrow_schema
 

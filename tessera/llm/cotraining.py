@@ -2,39 +2,54 @@
 
 The text view sees which word features a document holds (a word's letters, its trailing marks, runs of a repeated word); the
 metadata view sees what is known about the page without reading it: language, source, length and layout (lines, shares of
-kinds of characters). Both are logistic models. In each round a view labels the unlabelled documents it is surest about and
-hands them to the other view's training set. At the end each view is calibrated on labelled documents that took no part in
-training, a third logistic model combines the two calibrated views, and all documents are scored.
-
-A document is good if its label says quality 1 and not toxic. Fitting uses a bounded sample (``max_labelled`` labelled and
-``max_pool`` unlabelled documents with the least hashes of their ids; their whole texts); scoring covers all documents.
+kinds of characters). Both are logistic models. One pass over all documents marks, for each, which of the candidate features it
+holds and its metadata. In each round both views score every marked document, and of the texts a view is confident about a
+bounded number, drawn evenly from the whole corpus by hash, joins the other view's training set with the guessed label; the
+text view then chooses its features again. At the end each view is calibrated on labelled documents that took no part in
+training, a third logistic model combines the two calibrated views, and all documents are scored. Accuracy is reported on
+labelled documents that took part in none of this.
+
+A document is good if its label says quality 1 and not toxic. Bounds: ``max_labelled`` labelled documents (those with the least
+hashes of their ids; others count as unlabelled), CANDIDATES features, which the labelled training documents hold and whose
+classes they tell apart best, and PER_ROUND texts handed over by a view in a round. The driver holds marks of those documents
+only. Scoring, and the search for confident documents, cover all documents.
 
 Defined cases: a null or empty text has no word features and is scored by the rest; null or missing metadata columns count
-as empty; labels without a document and documents without a label are fine; repeated rows get equal scores; with no usable
-labels (none, or one class only) every document gets score 0.5 and is kept; an empty table gives an empty result.
+as empty; labels without a document and documents without a label are fine; a label with null quality counts only if it says
+toxic; of rows that share an id the one with the least hash of its text is trained on; copies of a text are handed over once;
+repeated rows get equal scores; a null id is scored but not trained on; with no usable labels (none, or one class only) every
+document gets score 0.5 and is kept; an empty table gives an empty result; extra columns pass through whatever their names.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tessera.llm.byte_bpe import Memo, slices
-from tessera.llm.common import map_batches, map_rows
+from tessera.llm.common import drop_staged, map_rows, staged
 
 HASH_BITS = 18
-N_FEATURES = 512
+N_FEATURES, CANDIDATES = 512, 2048
 ROUNDS = 4
-MAX_LABELLED, MAX_POOL = 4000, 4000
+MAX_LABELLED = 4000
+#: Texts that a view hands over in a round at most, and the log-odds from which it is confident.
+PER_ROUND, SURE = 500, 3.0
+#: What a labelled document serves for: of 20 hash values, those for tests and those for calibration; the rest train.
+TRAIN, CALIBRATE, TEST = 0, 1, 2
+TEST_PARTS, CALIBRATE_PARTS = 3, 5
 #: How much more the loss of good documents weighs than that of bad ones kept, and how many may be lost.
 GOOD_WEIGHT, MAX_FALSE_REJECTS = 5.0, 0.05
 LANG_BUCKETS, SOURCE_BUCKETS = 8, 32
+#: Numbers of layout() behind language and source.
+LAYOUT = 10
 SYMBOLS = frozenset("#*$%&|<>")
 
 
@@ -154,37 +169,46 @@ class View:
         return self.score(x) * self.calibration[0] + self.calibration[1]
 
 
+def held_features(found: Iterable[Iterable[int]], wanted: np.ndarray) -> np.ndarray:
+    """A row for each set of features: which of the wanted ones it holds."""
+    place = {f: k for k, f in enumerate(wanted.tolist())}
+    rows = list(found)
+    x = np.zeros((len(rows), len(place)), dtype=bool)
+    for r, fs in enumerate(rows):
+        x[r, [place[f] for f in fs if f in place]] = True
+    return x
+
+
 @dataclass
 class Model:
-    """The two calibrated views and their combination; None as features means that nothing could be learned."""
+    """The two calibrated views and their combination; None as features means that nothing could be learned.
+
+    features are the text view's hashed features; chosen are their places among the candidates.
+    """
 
     features: np.ndarray | None = None
+    chosen: np.ndarray = field(default_factory=lambda: np.zeros(0, dtype="i8"))
     text: View = field(default_factory=View)
     meta: View = field(default_factory=View)
     mix: np.ndarray = field(default_factory=lambda: np.array([0.5, 0.5, 0.0]))
     threshold: float = 0.5
     held_out_accuracy: float = float("nan")
     held_out_bad_rejected: float = float("nan")
+    handed_over: int = 0
+    n_candidates: int = 0
     held_out_good_kept: float = float("nan")
 
     def text_matrix(self, found: Iterable[Iterable[int]]) -> np.ndarray:
-        place = {f: k for k, f in enumerate(self.features.tolist())}
-        rows = list(found)
-        x = np.zeros((len(rows), len(place)))
-        for r, fs in enumerate(rows):
-            x[r, [place[f] for f in fs if f in place]] = 1.0
-        return x
+        return held_features(found, self.features).astype("f8")
 
     def combined(self, t: np.ndarray, m: np.ndarray) -> np.ndarray:
         return sigmoid(self.mix[0] * np.clip(t, -12, 12) + self.mix[1] * np.clip(m, -12, 12) + self.mix[2])
 
 
-def telling_features(found: list[list[int]], y: np.ndarray, n: int) -> np.ndarray:
-    """The features that differ most between the classes by chi-square, among those held by at least five documents."""
-    good, bad = np.zeros(1 << HASH_BITS), np.zeros(1 << HASH_BITS)
-    for fs, label in zip(found, y, strict=True):
-        (good if label > 0.5 else bad)[fs] += 1
-    n1, n0 = max(1, int(y.sum())), max(1, int(len(y) - y.sum()))
+def telling(x: np.ndarray, y: np.ndarray, n: int) -> np.ndarray:
+    """The columns that differ most between the classes by chi-square, among those set in at least five rows."""
+    good, bad = x[y > 0.5].sum(axis=0), x[y < 0.5].sum(axis=0)
+    n1, n0 = max(1, int((y > 0.5).sum())), max(1, int((y < 0.5).sum()))
     p = (good + bad) / (n1 + n0)
     chi = (good / n1 - bad / n0) ** 2 / np.maximum(p * (1 - p), 1e-9) * (n1 * n0 / (n1 + n0))
     chi[(good + bad) < 5] = 0
@@ -192,15 +216,6 @@ def telling_features(found: list[list[int]], y: np.ndarray, n: int) -> np.ndarra
     return np.sort(best[chi[best] > 8])
 
 
-def surest(odds: np.ndarray, free: np.ndarray, share: float, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Unlabelled documents that a view is surest about, as many of each class as the labels' share says."""
-    order = free[np.argsort(odds[free], kind="stable")]
-    n_bad = max(1, round(k * (1 - share)))
-    bad, good = order[:n_bad], order[::-1][: max(1, k - n_bad)]
-    bad, good = bad[odds[bad] < -2], good[odds[good] > 2]
-    return np.r_[good, bad], np.r_[np.ones(len(good)), np.zeros(len(bad))]
-
-
 def reject_limit(p: np.ndarray, y: np.ndarray) -> float:
     """The limit, 0.5 at most, with the greatest share of bad documents rejected less GOOD_WEIGHT times that of good ones.
 
@@ -215,44 +230,57 @@ def reject_limit(p: np.ndarray, y: np.ndarray) -> float:
     return float(limits[np.argmax(gain)])
 
 
-def cotrain(found: list[list[int]], meta: np.ndarray, y: np.ndarray, held: np.ndarray, rounds: int = ROUNDS) -> Model:
-    """Fit on rows with labels (y 0 or 1; NaN: unlabelled); labelled rows marked as held take no part but for calibration."""
-    labelled = ~np.isnan(y)
-    train, check = np.flatnonzero(labelled & ~held), np.flatnonzero(labelled & held)
+@dataclass
+class Given:
+    """Marks of documents that a view is confident about, with the labels it guesses; keys are hashes of their texts."""
+
+    keys: np.ndarray
+    x: np.ndarray
+    meta: np.ndarray
+    labels: np.ndarray
+
+
+#: (model, turn, what each view may not be given again, good and bad ones asked for) -> what each view is given
+Draw = Callable[[Model, int, dict[str, np.ndarray], tuple[int, int]], dict[str, Given]]
+
+
+def cotrain(x: np.ndarray, meta: np.ndarray, y: np.ndarray, keys: np.ndarray, role: np.ndarray, candidates: np.ndarray, draw: Draw, rounds: int = ROUNDS) -> Model:
+    """Fit on labelled rows (x: which candidates each holds) and on what draw hands over from the unlabelled documents."""
+    train, check, test = (np.flatnonzero(role == k) for k in (TRAIN, CALIBRATE, TEST))
     if any(len(set(y[rows].tolist())) < 2 for rows in (train, check)):
         return Model()
-    model = Model(telling_features([found[i] for i in train], y[train], N_FEATURES))
-    x = model.text_matrix(found)
-    pool = np.flatnonzero(~labelled)
-    share = float(y[train].mean())
-    rows = {"text": train, "meta": train}
-    labels = {"text": y[train], "meta": y[train]}
-    given = {"text": np.zeros(len(y), bool), "meta": np.zeros(len(y), bool)}
-    views = {"text": (model.text, x, 1e-3), "meta": (model.meta, meta, 1e-2)}
+    model = Model()
+    sets = {name: Given(keys[train], x[train], meta[train], y[train]) for name in ("text", "meta")}
     for turn in range(rounds + 1):
-        for name, (view, data, ridge) in views.items():
-            view.fit(data[rows[name]], labels[name], ridge)
-        if turn == rounds or not len(pool):
+        own = sets["text"]
+        model.chosen = telling(own.x, own.labels, N_FEATURES)
+        model.features = candidates[model.chosen]
+        model.text.fit(own.x[:, model.chosen].astype("f8"), own.labels, 1e-3)
+        model.meta.fit(sets["meta"].meta, sets["meta"].labels, 1e-2)
+        model.text.calibration = platt(model.text.score(x[check][:, model.chosen]), y[check])
+        model.meta.calibration = platt(model.meta.score(meta[check]), y[check])
+        if turn == rounds:
             break
-        for name, other in (("text", "meta"), ("meta", "text")):
-            view, data, _ = views[name]
-            view.calibration = platt(view.score(data[train]), y[train])
-            free = pool[~given[other][pool]]
-            if len(free):
-                new, guess = surest(view.log_odds(data), free, share, max(20, len(pool) // (4 * rounds)))
-                given[other][new] = True
-                rows[other], labels[other] = np.r_[rows[other], new], np.r_[labels[other], guess]
-    for view, data, _ in views.values():
-        view.calibration = platt(view.score(data[check]), y[check])
-    both = np.c_[np.clip(model.text.log_odds(x[check]), -12, 12), np.clip(model.meta.log_odds(meta[check]), -12, 12)]
+        n_bad = max(1, round(PER_ROUND * (1 - float(y[train].mean()))))
+        not_again = {name: np.r_[keys, own.keys] for name, own in sets.items()}
+        for name, new in draw(model, turn, not_again, (max(1, PER_ROUND - n_bad), n_bad)).items():
+            old = sets[name]
+            sets[name] = Given(np.r_[old.keys, new.keys], np.r_[old.x, new.x], np.r_[old.meta, new.meta], np.r_[old.labels, new.labels])
+            model.handed_over += len(new.keys)
+
+    def odds(rows: np.ndarray) -> np.ndarray:
+        return np.c_[np.clip(model.text.log_odds(x[rows][:, model.chosen]), -12, 12), np.clip(model.meta.log_odds(meta[rows]), -12, 12)]
+
+    both = odds(check)
     spread = both.std(axis=0) + 1e-3
     w = logistic(both / spread, y[check], 1e-3, 400)
     model.mix = np.r_[w[:2] / spread, w[2]]
-    p = model.combined(both[:, 0], both[:, 1])
-    model.held_out_accuracy = float(((p >= 0.5) == (y[check] > 0.5)).mean())
-    model.threshold = reject_limit(p, y[check])
-    model.held_out_bad_rejected = float((p[y[check] < 0.5] < model.threshold).mean())
-    model.held_out_good_kept = float((p[y[check] > 0.5] >= model.threshold).mean())
+    model.threshold = reject_limit(model.combined(*both.T), y[check])
+    if len(test):
+        p, good = model.combined(*odds(test).T), y[test] > 0.5
+        model.held_out_accuracy = float(((p >= 0.5) == good).mean())
+        model.held_out_bad_rejected = float((p[~good] < model.threshold).mean()) if (~good).any() else float("nan")
+        model.held_out_good_kept = float((p[good] >= model.threshold).mean()) if good.any() else float("nan")
     return model
 
 
@@ -260,29 +288,147 @@ def _meta_col(docs: DataFrame, name: str):
     return (F.col(name) if name in docs.columns else F.lit(None)).cast("string").alias(name)
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, max_pool: int = MAX_POOL) -> Model:
-    """Model from the labelled and the unlabelled documents with the least hashes of their ids."""
-    marks = labels.groupBy("doc_id").agg((F.min(F.coalesce("quality", F.lit(0))) * (1 - F.max(F.coalesce("toxic", F.lit(0))))).cast("double").alias("y"))
-    ids = docs.select("doc_id").filter("doc_id is not null").distinct().join(marks, "doc_id", "left").withColumn("h", F.xxhash64("doc_id", F.lit("co")))
-    picked = ids.filter("y is not null").orderBy("h", "doc_id").limit(max_labelled).unionAll(ids.filter("y is null").orderBy("h", "doc_id").limit(max_pool))
-    rows = sorted(picked.collect(), key=lambda r: r["doc_id"])  # bounded by max_labelled + max_pool
-    if not rows:
-        return Model()
-    chosen = docs.sparkSession.createDataFrame([(r["doc_id"],) for r in rows], "doc_id long")
-    sample = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), _meta_col(docs, "lang"), _meta_col(docs, "source")).join(F.broadcast(chosen), "doc_id")
+def _plain(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"), _meta_col(docs, "lang"), _meta_col(docs, "source"))
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, max_labelled: int) -> list:
+    """doc_id, y and h of at most so many labelled documents, those with the least hashes h of their ids."""
+    quality, toxic = F.min("quality"), F.coalesce(F.max("toxic"), F.lit(0))
+    marks = labels.filter("doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.when(toxic > 0, 0.0).otherwise(quality.cast("double")).alias("y")).filter("y is not null")
+    known = marks.join(docs.select(F.col("doc_id").cast("long").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    return sorted(known.withColumn("h", F.xxhash64("doc_id", F.lit("co"))).orderBy("h", "doc_id").limit(max_labelled).collect(), key=lambda r: r["doc_id"])
+
 
-    def feature_rows(batches):
+def role_of(h: int) -> int:
+    part = h % 20
+    return TEST if part < TEST_PARTS else CALIBRATE if part < TEST_PARTS + CALIBRATE_PARTS else TRAIN
+
+
+def candidate_features(docs: DataFrame, sample: list) -> np.ndarray:
+    """The features by which the sample's training documents differ most between the classes, counted on the executors."""
+    train = [(r["doc_id"], r["y"]) for r in sample if role_of(r["h"]) == TRAIN]
+    n1 = max(1, sum(y > 0.5 for _, y in train))
+    n0 = max(1, len(train) - n1)
+    chosen = docs.sparkSession.createDataFrame(train, "doc_id long, y double")
+    texts = _plain(docs).select("doc_id", "text", F.xxhash64("text").alias("th")).join(F.broadcast(chosen), "doc_id")
+
+    def rows(batches):
         maker = TextFeatures()
         for batch in batches:
-            ids_, texts, langs, sources = (batch.column(c).to_pylist() for c in ("doc_id", "text", "lang", "source"))
-            for a, b in slices(texts):
-                yield {"doc_id": ids_[a:b], "found": [sorted(f) for f in maker.of(texts[a:b])], "meta": [layout(*r) for r in zip(texts[a:b], langs[a:b], sources[a:b], strict=True)]}
+            cols = [batch.column(c).to_pylist() for c in ("doc_id", "y", "th", "text")]
+            for a, b in slices(cols[3]):
+                yield dict(zip(("doc_id", "y", "th"), (c[a:b] for c in cols), strict=False)) | {"found": [sorted(f) for f in maker.of(cols[3][a:b])]}
+
+    found = map_rows(texts, rows, "doc_id long, y double, th long, found array<int>").groupBy("doc_id").agg(F.min_by(F.struct("y", "found"), "th").alias("d"))
+    counts = found.select("d.y", F.explode("d.found").alias("f")).groupBy("f").agg(F.sum("y").alias("good"), F.sum(1 - F.col("y")).alias("bad")).filter("good + bad >= 5")
+    p = (F.col("good") + F.col("bad")) / (n1 + n0)
+    apart = F.col("good") / n1 - F.col("bad") / n0
+    chi = apart * apart / F.greatest(p * (1 - p), F.lit(1e-9))
+    return np.sort(np.array([r["f"] for r in counts.orderBy(chi.desc(), "f").limit(CANDIDATES).collect()], dtype="i8"))
 
-    got = {r["doc_id"]: r for r in map_rows(sample, feature_rows, "doc_id long, found array<int>, meta array<double>").toLocalIterator()}
-    rows = [r for r in rows if r["doc_id"] in got]
-    y = np.array([np.nan if r["y"] is None else r["y"] for r in rows])
-    held = np.array([r["h"] % 10 < 3 for r in rows])
-    return cotrain([list(got[r["doc_id"]]["found"]) for r in rows], np.array([got[r["doc_id"]]["meta"] for r in rows]), y, held)
+
+def marked(docs: DataFrame, candidates: np.ndarray, carry: bool) -> DataFrame:
+    """doc_id, th, bits (which candidates the text holds), meta of every document; with carry its whole row too, in row."""
+
+    def marks(maker: TextFeatures, texts: list[str], langs: list, sources: list) -> tuple[list[bytes], list[list[float]]]:
+        bits, meta = [], []
+        for a, b in slices(texts):
+            bits += [r.tobytes() for r in np.packbits(held_features(maker.of(texts[a:b]), candidates), axis=1)]
+            meta += [layout(*r) for r in zip(texts[a:b], langs[a:b], sources[a:b], strict=True)]
+        return bits, meta
+
+    def rows(batches):
+        maker = TextFeatures(candidates)
+        for batch in batches:
+            if batch.num_rows:
+                whole = batch.column("row") if carry else None
+                get = (lambda c: whole.field(c).to_pylist() if whole.type.get_field_index(c) >= 0 else [None] * len(whole)) if carry else lambda c: batch.column(c).to_pylist()  # noqa: B023
+                bits, meta = marks(maker, [t or "" for t in get("text")], *([None if v is None else str(v) for v in get(c)] for c in ("lang", "source")))
+                yield {c: batch.column(c) for c in batch.schema.names if c in ("doc_id", "th", "row")} | {"bits": bits, "meta": meta}
+
+    th = F.xxhash64(F.coalesce("text", F.lit(""))).alias("th")
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), th, F.struct("*").alias("row")) if carry else _plain(docs).withColumn("th", th)
+    kind = T.StructType([*given.select(*([c for c in ("doc_id", "th", "row") if c in given.columns])).schema, T.StructField("bits", T.BinaryType()), T.StructField("meta", T.ArrayType(T.DoubleType()))])
+    return map_rows(given, rows, kind)
+
+
+def unpacked(bits: list[bytes], n: int) -> np.ndarray:
+    return np.unpackbits(np.frombuffer(b"".join(bits), dtype="u1").reshape(len(bits), -1), axis=1, count=n).astype(bool) if bits else np.zeros((0, n), dtype=bool)
+
+
+def _of_batch(batch: pa.RecordBatch, n: int) -> tuple[np.ndarray, np.ndarray]:
+    meta = batch.column("meta")
+    return unpacked(batch.column("bits").to_pylist(), n), meta.flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+
+
+def confident(table: DataFrame, n: int, model: Model, turn: int, not_again: dict[str, np.ndarray], asked: tuple[int, int]) -> dict[str, Given]:
+    """Draw from all marked documents: of the texts a view is confident about, for each label so many with the least hashes."""
+    givers = {"meta": "text", "text": "meta"}  # receiver: giver
+
+    def rows(batches):
+        best: dict[tuple[str, int], dict[int, tuple[int, int]]] = {(name, label): {} for name in givers for label in (1, 0)}
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, meta = _of_batch(batch, n)
+            th, h, ids = (batch.column(c).to_numpy() for c in ("th", "h", "doc_id"))
+            odds = {"text": model.text.log_odds(x[:, model.chosen]), "meta": model.meta.log_odds(meta)}
+            for (name, label), held in best.items():
+                sure = (odds[givers[name]] if label else -odds[givers[name]]) > SURE
+                at = np.flatnonzero(sure & ~np.isin(th, not_again[name]))
+                for t, k, i in zip(th[at].tolist(), h[at].tolist(), ids[at].tolist(), strict=True):
+                    held[t] = min(held.get(t, (k, i)), (k, i))
+                most = asked[1 - label]
+                if len(held) > 2 * most:
+                    best[name, label] = dict(sorted(held.items(), key=lambda e: e[1])[:most])
+        for (name, label), held in best.items():
+            if held:
+                top = sorted((k, t, i) for t, (k, i) in held.items())[: asked[1 - label]]
+                yield dict(zip(("h", "th", "doc_id"), zip(*top, strict=True), strict=True)) | {"receiver": [name] * len(top), "label": [label] * len(top)}
+
+    scored = table.filter("doc_id is not null").select("doc_id", "th", F.xxhash64("th", F.lit(turn)).alias("h"), "bits", "meta")
+    few = map_rows(scored, rows, "h long, th long, doc_id long, receiver string, label int").groupBy("receiver", "label", "h", "th").agg(F.min("doc_id").alias("doc_id"))
+    order = Window.partitionBy("receiver", "label").orderBy("h", "th")
+    picked = few.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= F.when(F.col("label") == 1, asked[0]).otherwise(asked[1]))
+    ids = [tuple(r) for r in picked.select("doc_id", "th", "receiver", "label").collect()]  # 2 * PER_ROUND rows at most
+    chosen = table.sparkSession.createDataFrame(ids, "doc_id long, th long, receiver string, label int")
+    got = table.select("doc_id", "th", "bits", "meta").join(F.broadcast(chosen), ["doc_id", "th"]).dropDuplicates(["th", "receiver"]).collect() if ids else []
+    out = {}
+    for name in givers:
+        own = sorted((r for r in got if r["receiver"] == name), key=lambda r: r["th"])
+        meta = np.array([r["meta"] for r in own]).reshape(len(own), LANG_BUCKETS + SOURCE_BUCKETS + LAYOUT)
+        out[name] = Given(np.array([r["th"] for r in own], dtype="i8"), unpacked([r["bits"] for r in own], n), meta, np.array([float(r["label"]) for r in own]))
+    return out
+
+
+def learned(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, rounds: int = ROUNDS, carry: bool = False) -> tuple[Model, DataFrame | None]:
+    """The model, and the stored marks of all documents that it was fitted with (None if nothing could be learned)."""
+    sample = labelled_sample(docs, labels, max_labelled)
+    candidates = candidate_features(docs, sample) if sample else np.zeros(0, dtype="i8")
+    if not len(candidates):
+        return Model(), None
+    table = staged(marked(docs, candidates, carry), "cotraining-marks")
+    wanted = docs.sparkSession.createDataFrame([(r["doc_id"],) for r in sample], "doc_id long")
+    own = table.select("doc_id", "th", "bits", "meta").join(F.broadcast(wanted), "doc_id").groupBy("doc_id").agg(F.min_by(F.struct("th", "bits", "meta"), "th").alias("d"))
+    got = {r["doc_id"]: r["d"] for r in own.collect()}  # max_labelled rows at most
+    rows = [(got[r["doc_id"]], r["y"], role_of(r["h"])) for r in sample if r["doc_id"] in got]
+    d, y, role = zip(*rows, strict=True)
+    x, meta = unpacked([r["bits"] for r in d], len(candidates)), np.array([r["meta"] for r in d])
+    model = cotrain(x, meta, np.array(y), np.array([r["th"] for r in d], dtype="i8"), np.array(role), candidates, lambda *asked: confident(table, len(candidates), *asked), rounds)
+    if model.features is None:
+        drop_staged(table)
+        return model, None
+    model.n_candidates = len(candidates)
+    return model, table
+
+
+def fit(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, rounds: int = ROUNDS) -> Model:
+    """Model from labelled documents and all others."""
+    model, table = learned(docs, labels, max_labelled, rounds)
+    if table is not None:
+        drop_staged(table)
+    return model
 
 
 class Scorer:
@@ -303,7 +449,7 @@ class Scorer:
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, p_text, p_meta, score, kept for every document."""
+    """doc_id, p_text, p_meta, score, kept for every document, by a model fitted on these or others."""
 
     def rows(batches):
         scorer = Scorer(model)
@@ -313,25 +459,38 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 t, m, p = scorer.of(texts[a:b], langs[a:b], sources[a:b])
                 yield {"doc_id": ids[a:b], "p_text": t, "p_meta": m, "score": p, "kept": p >= model.threshold}
 
-    whole = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"), _meta_col(docs, "lang"), _meta_col(docs, "source"))
-    return map_rows(whole, rows, "doc_id long, p_text double, p_meta double, score double, kept boolean")
+    return map_rows(_plain(docs), rows, SCORES)
+
+
+SCORES = "doc_id long, p_text double, p_meta double, score double, kept boolean"
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs, with all their columns, that the classifier fitted on them keeps."""
-    model = fit(docs, labels)
+    model, table = learned(docs, labels, carry=True)
+    if table is None:
+        return docs
 
-    def good(batches):
-        scorer = Scorer(model)
-        for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            lang, source = (batch.column(c).to_pylist() if c in batch.schema.names else [None] * len(texts) for c in ("lang", "source"))
-            p = [scorer.of(texts[a:b], lang[a:b], source[a:b])[2] for a, b in slices(texts)]
-            if p:
-                yield batch.filter(pa.array(np.concatenate(p) >= model.threshold))
+    @F.arrow_udf("double")
+    def combined(bits: pa.Array, meta: pa.Array) -> pa.Array:
+        x, m = unpacked(bits.to_pylist(), model.n_candidates), meta.flatten().to_numpy(zero_copy_only=False).reshape(len(meta), -1)
+        return pa.array(model.combined(model.text.log_odds(x[:, model.chosen]), model.meta.log_odds(m)))
 
-    return map_batches(docs, good, docs.schema)
+    return table.filter(combined("bits", "meta") >= model.threshold).select("row.*")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    return score(docs, fit(docs, labels))
+    """doc_id, p_text, p_meta, score, kept for every document, by a model fitted on them."""
+    model, table = learned(docs, labels)
+    if table is None:
+        return score(docs, model)
+
+    def rows(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x, meta = _of_batch(batch, model.n_candidates)
+                t, m = model.text.log_odds(x[:, model.chosen]), model.meta.log_odds(meta)
+                p = model.combined(t, m)
+                yield {"doc_id": batch.column("doc_id"), "p_text": sigmoid(t), "p_meta": sigmoid(m), "score": p, "kept": p >= model.threshold}
+
+    return map_rows(table.select("doc_id", "bits", "meta"), rows, SCORES)

@@ -43,10 +43,31 @@ def test_order_changes_no_verdict(spark):
     assert sorted(r.name for r in planned) == sorted(r.name for r in rules)
 
 
+def test_raw_rules_equal_rules_over_counts(spark):
+    rng = random.Random(5)
+    texts = TEXTS + [" ".join(rng.choice("abc") for _ in range(rng.randint(0, 60))) for _ in range(60)] + [" ".join(f"u{i}" for i in range(n)) + " one two three four five six seven eight" * k for n in (10, 50, 90) for k in (1, 2, 3, 5)]
+    texts += ["- a b\n- c d\n- e f\n- g h\n" * 3, "wait ...\nso …\nno\nhm ...\n" * 4, "{" * 30 + " word" * 25, "x" * 2000 + " a" * 30, "1 2 3 4 5 6 7 8 9 0 " * 3]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    raw, stats = quality_rules.production_rules(raw=True), quality_rules.production_rules()
+    one = quality_rules.spread(df).select("row.doc_id", *[r.rejects.alias(r.name) for r in raw]).collect()
+    two = quality_rules.statistics(df).select("doc_id", *[r.rejects.alias(r.name) for r in stats]).collect()
+    assert sorted(map(tuple, one)) == sorted(map(tuple, two))
+    assert all(sum(r[rule.name] for r in one) for rule in raw)
+    judged = {r.doc_id for r in quality_rules.judge(df).filter("kept").collect()}
+    assert {r.doc_id for r in quality_rules.keep_good(df).collect()} == judged
+
+
+def test_clashing_names_pass_through(spark):
+    good = " ".join(f"word{i}" for i in range(60))
+    df = spark.createDataFrame([(1, good, "mine", 7, "r")], "doc_id long, text string, words string, __words int, row string")
+    assert tuple(quality_rules.keep_good(df).collect()[0]) == (1, good, "mine", 7, "r")
+    assert tuple(quality_rules.judge(df).select(*df.columns).collect()[0]) == (1, good, "mine", 7, "r")
+
+
 def test_no_python_in_the_plan(spark):
     df = spark.createDataFrame([(1, "text")], "doc_id long, text string")
-    plan = quality_rules.judge(df)._jdf.queryExecution().executedPlan().toString()
-    assert not re.search("Python|Arrow|Pandas", plan)
+    for found in (quality_rules.judge(df), quality_rules.keep_good(df)):
+        assert not re.search("Python|Arrow|Pandas", found._jdf.queryExecution().executedPlan().toString())
 
 
 def test_kept_rows_keep_all_columns(spark):
@@ -103,18 +124,123 @@ def test_classifier_edges(spark, labelled):
     assert cotraining.score(docs.limit(0), model).count() == 0
 
 
-def test_views_teach_each_other():
+def two_views(n=1200, n_labelled=200, seed=0):
+    """Two views of one truth, labelled rows first: x (two telling features of 40), meta, truth."""
     import numpy as np
 
-    rng = np.random.default_rng(0)
-    n = 1200
+    rng = np.random.default_rng(seed)
     truth = rng.random(n) < 0.5
-    found = [[11 if t else 12] if rng.random() < 0.9 else [] for t in truth]
-    meta = np.c_[np.where(truth, 1.0, -1.0) + rng.normal(size=n) * 0.6, rng.normal(size=n)]
-    y = np.where(np.arange(n) < 200, truth.astype(float), np.nan)
-    model = cotraining.cotrain(found, meta, y, np.arange(n) % 10 < 3)
-    p = model.combined(model.text.log_odds(model.text_matrix(found)), model.meta.log_odds(meta))
-    assert ((p > 0.5) == truth)[200:].mean() > 0.95
+    x = rng.random((n, 40)) < 0.1
+    seen = rng.random(n) < 0.9
+    x[:, 0], x[:, 1] = truth & seen, ~truth & seen
+    meta = np.zeros((n, cotraining.LANG_BUCKETS + cotraining.SOURCE_BUCKETS + cotraining.LAYOUT))
+    meta[:, 40] = np.where(truth, 1.0, -1.0) + rng.normal(size=n) * 0.6
+    return x, meta, truth
+
+
+def local_draw(x, meta, keys, hashes):
+    """The exchange by plain loops over all rows."""
+    import numpy as np
+
+    def draw(model, turn, not_again, asked):
+        odds = {"text": model.text.log_odds(x[:, model.chosen]), "meta": model.meta.log_odds(meta)}
+        out = {}
+        for name, giver in (("meta", "text"), ("text", "meta")):
+            rows, labels = [], []
+            for label, n in ((1, asked[0]), (0, asked[1])):
+                sure = [i for i in range(len(x)) if (odds[giver][i] if label else -odds[giver][i]) > cotraining.SURE and keys[i] not in not_again[name]]
+                best = {}
+                for i in sorted(sure, key=lambda i: hashes[turn][i]):
+                    best.setdefault(keys[i], i)
+                rows += list(best.values())[:n]
+                labels += [float(label)] * min(n, len(best))
+            order = np.argsort(keys[rows], kind="stable") if rows else []
+            rows, labels = np.array(rows, dtype=int)[order], np.array(labels)[order]
+            out[name] = cotraining.Given(keys[rows], x[rows], meta[rows], labels)
+        return out
+
+    return draw
+
+
+def trained(x, meta, truth, n_labelled, rounds, hide=None):
+    import numpy as np
+
+    n = len(x)
+    keys = np.arange(n)
+    hashes = np.random.default_rng(3).permuted(np.tile(np.arange(n), (8, 1)), axis=1)
+    role = np.where(np.arange(n_labelled) % 10 < 3, cotraining.CALIBRATE, cotraining.TRAIN)
+    m = slice(0, n_labelled)
+    draw = local_draw(x[n_labelled:], meta[n_labelled:], keys[n_labelled:], hashes[:, n_labelled:])
+    model = cotraining.cotrain(x[m], meta[m], truth[m].astype(float), keys[m], role, np.arange(x.shape[1]), draw, rounds)
+    t, v = model.text.log_odds(x[:, model.chosen]), model.meta.log_odds(meta)
+    right = lambda p: ((p > 0) == truth)[n_labelled:].mean()
+    return model, right(model.mix[0] * t + model.mix[1] * v + model.mix[2]), right(t), right(v)
+
+
+def test_views_teach_each_other():
+    x, meta, truth = two_views()
+    model, both, text, layout = trained(x, meta, truth, 200, 4)
+    assert both > 0.95 and both > max(text, layout) and model.handed_over > 400
+
+
+def test_exchange_beats_no_exchange():
+    """A vocabulary of 30 weak words and few labels: pseudo-labels from the layout teach the text view which words tell."""
+    import numpy as np
+
+    gains = []
+    for seed in range(4):
+        rng = np.random.default_rng(seed)
+        x, meta, truth = two_views(4000, 60, seed)
+        x[:, :30] = rng.random((4000, 30)) < np.where(truth[:, None] ^ (np.arange(30) % 2 == 0), 0.55, 0.3)
+        gains.append(trained(x, meta, truth, 60, 4)[2] - trained(x, meta, truth, 60, 0)[2])
+    assert np.mean(gains) > 0.02
+
+
+def test_exchange_equals_brute_force(spark, labelled):
+    """Every round of the distributed exchange hands over what plain loops over all documents hand over."""
+    import numpy as np
+
+    docs, known, _ = labelled
+    docs = docs.unionAll(docs.limit(40))
+    sample = cotraining.labelled_sample(docs, known, 400)
+    candidates = cotraining.candidate_features(docs, sample)
+    table = cotraining.marked(docs, candidates, False).cache()
+    all_rows = table.withColumns({f"h{k}": F.xxhash64("th", F.lit(k)) for k in range(3)}).collect()
+    x, meta = cotraining.unpacked([r.bits for r in all_rows], len(candidates)), np.array([r.meta for r in all_rows])
+    keys, hashes = np.array([r.th for r in all_rows]), np.array([[r[f"h{k}"] for r in all_rows] for k in range(3)])
+    place = {r.doc_id: k for k, r in reversed(list(enumerate(all_rows)))}
+    at = [place[r["doc_id"]] for r in sample]
+    y, role = np.array([r["y"] for r in sample]), np.array([cotraining.role_of(r["h"]) for r in sample])
+    plain = local_draw(x, meta, keys, hashes)
+    seen = []
+
+    def both(*asked):
+        one, two = plain(*asked), cotraining.confident(table, len(candidates), *asked)
+        for name in one:
+            assert one[name].keys.tolist() == two[name].keys.tolist() and one[name].labels.tolist() == two[name].labels.tolist()
+            assert (one[name].x == two[name].x).all() and np.allclose(one[name].meta, two[name].meta)
+            seen.append(len(one[name].keys))
+        return two
+
+    cotraining.cotrain(x[at], meta[at], y, keys[at], role, candidates, both, 2)
+    table.unpersist()
+    assert len(seen) == 4 and sum(seen) > 100
+
+
+def test_long_texts_and_clashing_columns(spark, labelled):
+    docs, known, _ = labelled
+    odd = docs.withColumns({"row": F.lit(1), "bits": F.lit("mine"), "th": F.lit(2.5), "score": F.lit(None).cast("int")})
+    long = spark.createDataFrame([(10_000_000, "quite long words " * 200_000, None, None, 1, "mine", 2.5, None), (None, None, None, None, 1, "mine", 2.5, None)], odd.schema)
+    kept = cotraining.keep_good(odd.unionAll(long), known)
+    assert kept.columns == odd.columns and kept.filter("bits <> 'mine' or row <> 1 or th <> 2.5 or score is not null").count() == 0
+    assert 0 < kept.count() <= odd.count() + 2
+    assert cotraining.classify(odd.unionAll(long), known).count() == odd.count() + 2
+
+
+def test_null_quality_counts_only_if_toxic(spark):
+    docs = spark.createDataFrame([(i, "text") for i in range(4)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, None, 1), (1, None, 0), (2, 1, None), (3, 0, 0), (None, 1, 0)], "doc_id long, quality int, toxic int")
+    assert [(r["doc_id"], r["y"]) for r in cotraining.labelled_sample(docs, labels, 10)] == [(0, 0.0), (2, 1.0), (3, 0.0)]
 
 
 def scan(text):
@@ -186,6 +312,68 @@ def test_every_name_passes_its_gate():
         assert "qpl" in scan(text)["labels"].split(",")
 
 
+def plain_resolve(found):
+    kept = []
+    for d in sorted(set(found), key=lambda d: (-d.priority, d.start - d.end, d.start, d.label)):
+        if not any((k.start <= d.start and d.end <= k.end) or (k.priority > d.priority and d.start < k.end and k.start < d.end) for k in kept):
+            kept.append(d)
+    return sorted(kept, key=lambda d: (d.start, d.end, d.label))
+
+
+def test_resolve_equals_pairwise_suppression():
+    rng = random.Random(9)
+    for _ in range(300):
+        found = []
+        for _ in range(rng.randint(0, 40)):
+            start = rng.randrange(60)
+            found.append(license_scan.Detection(rng.choice("abc"), start, start + rng.randint(1, 12), rng.choice([1, 1, 2, 3]), 0.5))
+        assert license_scan.resolve(found) == plain_resolve(found)
+
+
+def test_scan_equals_all_rules_without_gates():
+    """Random texts made of words that rules use: gates and sweep lose nothing against every rule on every text."""
+    rng = random.Random(4)
+    scanner = license_scan.scanner()
+    pieces = ["the", "gnu", "general", "public", "license", "licence", "apache", "version", "2", "0", "mit", "cc", "by", "sa", "licensed under", "under the terms of", "spdx license identifier", "copyright 2020", "all rights reserved", "this software", "released into the public domain", "redistribution and use in source and binary forms with or without modification are permitted", "permission is hereby granted free of charge to any person obtaining a copy of this software", "mozilla public license", "word", "Ünï"]
+    for _ in range(400):
+        text = " ".join(rng.choice(pieces) for _ in range(rng.randint(0, 25)))
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+        joined = f" {' '.join(words)} "
+        found = [license_scan.Detection(r.label, m.start(), m.end(), r.priority, r.confidence) for r in scanner.rules for m in r.pattern.finditer(joined)]
+        kept = plain_resolve(found)
+        places = [(i, label) for p, label in license_scan.PHRASES.items() for i in range(len(words)) if words[i : i + len(p.split())] == p.split()]
+        base = {label for _, label in places}
+        got = scan(text)
+        assert (got["n_words"], got["n_base"]) == (len(words), len(places))
+        assert (got["first_word"], got["last_word"]) == (min(places, default=(None,))[0], max(places, default=(None,))[0])
+        assert got["base_labels"] == ",".join(sorted(base)) and got["labels"] == ",".join(sorted(base | {d.label for d in kept}))
+
+
+def test_every_notice_fires():
+    """Every spelling of each hand-written signature opens its gate and matches it."""
+    for label, _, _, gate, pattern in license_scan.NOTICES:
+        text = re.sub(r"\.\{[\d,]+\}\?", " x ", pattern).replace("\\S+", "x").replace("(?:\\w+ ){1,4}", "some ").replace(" ?\\d{0,2} ?", " 29 ").replace("\\d\\d", "20")
+        for one in spelled(re._parser.parse(text)):
+            one = " ".join(one.split())
+            assert set(gate.split()) <= set(one.split()), (label, gate, one)
+            assert re.search(rf"(?<!\S)(?:{pattern})(?!\S)", one), (label, pattern, one)
+
+
+def test_base_columns_equal_sql(spark):
+    """The contract's columns against DuckDB over a real table."""
+    import duckdb
+
+    path = "/root/testdata/sf0.01/documents.parquet"
+    want = duckdb.sql(rf"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(regexp_replace(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]', ' ', 'g'), '[^ ]+') AS ws FROM '{path}'),
+        p(phrase, label) AS (VALUES ('gnu general public license', 'gpl'), ('apache license', 'apache'), ('cc by', 'cc-by'), ('mit license', 'mit')),
+        hits AS (SELECT doc_id, label, list_filter(range(len(ws)), lambda i: array_to_string(ws[i + 1 : i + len(string_split(phrase, ' '))], ' ') = phrase) AS places FROM w, p),
+        h AS (SELECT doc_id, sum(len(places)) AS n, min(list_min(places)) AS a, max(list_max(places)) AS b, coalesce(string_agg(label, ',' ORDER BY label) FILTER (len(places) > 0), '') AS labels FROM hits GROUP BY doc_id)
+        SELECT doc_id, len(ws), n, a, b, labels FROM w JOIN h USING (doc_id)""").fetchall()
+    got = license_scan.scan_documents(spark.read.parquet(path).select("doc_id", "text")).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_scan_table(spark):
     df = spark.createDataFrame([(1, None, "x"), (None, "the MIT License", "x"), (1, None, "x"), (2, "word " * 50_000, "x")], "doc_id long, text string, labels string")
     got = license_scan.scan_documents(df).collect()
