@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import gc
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -27,10 +28,12 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where the cluster names none."""
+    """The folder that driver and executors share; a temporary one only where all run on one machine and none is named."""
     sc = spark.sparkContext
     named = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not named:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="tessera-"))
         named = sc.getCheckpointDir()
     return named.rstrip("/")

@@ -1,4 +1,8 @@
-"""Connected components of a table of links by alternating star contractions."""
+"""Connected components of a table of links by alternating star contractions.
+
+Defined cases: links of a node to itself, repeated links and links given in both directions change nothing; links with a null
+end are dropped; without links no node appears; nodes may be numbers or structs of numbers.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +12,7 @@ from pyspark.sql import functions as F
 from tessera.llm.common import drop_staged, staged
 
 
-def star(edges: DataFrame, large: bool) -> DataFrame:
+def star(edges: DataFrame, large: bool, scratch: list[DataFrame]) -> DataFrame:
     """One contraction: hang larger neighbours (or the smaller ones and the node itself) on the smallest neighbour.
 
     The smallest neighbours are stored before they are joined: both sides of the join are then plain exchanges, which
@@ -22,6 +26,7 @@ def star(edges: DataFrame, large: bool) -> DataFrame:
         rows = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a <> b")
         least = rows.groupBy("a").agg(F.min("b").alias("m"))
     least = staged(least, "least-neighbours")
+    scratch.append(least)
     hung = rows.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return hung if large else hung.unionAll(least.select("a", F.col("m").alias("b")))
 
@@ -35,6 +40,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         state = now.agg(mark, F.count("*").alias("n")).first()
         if state == before or not state["n"]:
             return now.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
-        before, old = state, now
-        now = staged(star(star(old, True), False).filter("a <> b").distinct(), "links")
-        drop_staged(old)
+        before, scratch = state, [now]
+        now = staged(star(star(now, True, scratch), False, scratch).filter("a <> b").distinct(), "links")
+        for done in scratch:
+            drop_staged(done)

@@ -10,6 +10,7 @@ from tessera.llm.common import documents, id_text, prepare
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's counts and verdicts of every document; a null text has no words and fails."""
     judged = quality_rules.judge(id_text(documents(spark, sf_dir)))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
@@ -42,40 +43,50 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM j
 """
 
+
 def op1_cotraining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, p_text, p_meta, score, kept of every document; null ids and texts as in ``cotraining``."""
     return cotraining.classify(documents(prepare(spark), sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def op2_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 of every document, read back from the shards; a null text is its end id alone."""
     return token_store.stored(id_text(documents(prepare(spark), sf_dir)), end_id=2)
 
 
 def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_bytes, n_tokens, over_limit of every document; a null text counts nothing."""
     return whole_token_counts.count_tokens(id_text(documents(prepare(spark), sf_dir)))
 
 
 def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """vec_id, n_links, component_id, kept of every vector; vectors without a direction link with nothing."""
     return embedding_dedup.near_duplicates(prepare(spark).read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, fingerprint, component_id of every document; texts without words have fingerprint zero."""
     found = simhash.near_duplicates(id_text(documents(prepare(spark), sf_dir)))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp.f0"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and what is left of the text of every document; null: empty."""
     return suffix_dedup.report(id_text(documents(prepare(spark), sf_dir)))
 
 
 def op8_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every document; a null text has no ids."""
     return trie_bpe.round_trip(id_text(documents(prepare(spark), sf_dir)))
 
 
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The contract's counts and labels of every document; a null text has no words and no labels."""
     return license_scan.scan_documents(id_text(documents(prepare(spark), sf_dir)))
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece; a null text is its end id alone."""
     return best_fit_packing.pack_documents(id_text(documents(prepare(spark), sf_dir)), capacity=2048, end_id=0)
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.byte_bpe import slices
-from tessera.llm.common import map_rows, staged
+from tessera.llm.common import drop_staged, map_rows, staged
 from tessera.llm.components import components
 
 RADIUS = 3
@@ -212,9 +212,12 @@ def grouped(marked: DataFrame, find: Callable[[DataFrame], DataFrame]) -> DataFr
     lead = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "th")
     classes = staged(marked.groupBy("fp").agg(F.min(lead).alias("lead")), "simhash-classes")
     roots = staged(components(find(classes)), "simhash-roots")
-    group = classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "lead", F.coalesce("root", "fp").alias("root"))
-    least = group.groupBy("root").agg(F.min("lead").alias("lead"))
+    group = staged(classes.join(roots, classes["fp"] == roots["node"], "left").select("fp", "lead", F.coalesce("root", "fp").alias("root")), "simhash-members")
+    # stored, so that the join's sides are plain exchanges, which adaptive execution can split at a very large group
+    least = staged(group.groupBy("root").agg(F.min("lead").alias("lead")), "simhash-leads")
     by_fp = staged(group.select("fp", "root").join(least, "root").select("fp", F.col("lead.doc_id").alias("component_id"), F.col("lead.th").alias("first")), "simhash-groups")
+    for done in (classes, roots, group, least):
+        drop_staged(done)
     return marked.join(by_fp, "fp").select("doc_id", "th", "fp", "component_id", "first")
 
 
@@ -224,14 +227,19 @@ def keep_one(docs: DataFrame, widths: Sequence[int], radii: Sequence[int]) -> Da
 
 
 def standing(docs: DataFrame, group: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """The rows of docs, with all their columns, that stand for their group by group(doc_id, text)."""
+    """The rows of docs, with all their columns whatever their names, that stand for their group by group(doc_id, text).
+
+    Of rows with equal id and text the one with the least hash of the whole row stands.
+    """
     text = F.coalesce(F.col("text"), F.lit(""))
-    found = staged(group(docs.select(F.col("doc_id").cast("long"), text.alias("text"))), "simhash-found")
+    none = F.lit(-(1 << 63))
+    found = staged(group(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))), "simhash-found")
     leads = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("th") == F.col("first")))
-    stay = leads.groupBy("doc_id", "th").agg(F.count("*").alias("n"))
-    stay = staged(stay.select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("__id"), F.col("th").alias("__th"), "n"), "simhash-stay")
-    marked = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "__th": F.xxhash64(text)})
-    kept = marked.join(stay.select("__id", "__th"), ["__id", "__th"], "left_semi")
-    if stay.filter("n > 1").limit(1).count():  # rows that repeat as a whole
-        kept = kept.dropDuplicates(["__id", "__th"])
-    return kept.select(*docs.columns)
+    stay = staged(leads.groupBy(F.coalesce("doc_id", none).alias("id"), "th").agg(F.count("*").alias("n")), "simhash-stay")
+    drop_staged(found)
+    marked = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), none).alias("id"), F.xxhash64(text).alias("th"))
+    kept = marked.join(stay.filter("n = 1").select("id", "th"), ["id", "th"], "left_semi").select("row")
+    if stay.filter("n > 1").limit(1).count():
+        repeated = marked.join(stay.filter("n > 1").select("id", "th"), ["id", "th"], "left_semi").withColumn("h", F.xxhash64("row"))
+        kept = kept.unionAll(repeated.groupBy("id", "th").agg(F.min_by("row", "h").alias("row")).select("row"))
+    return kept.select("row.*")

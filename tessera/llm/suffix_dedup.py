@@ -17,7 +17,8 @@ All bytes covered by a repeated window are removed, its first occurrence include
 so a false match is out of question at any realistic size.
 
 Defined cases: null or empty text loses nothing; texts shorter than ``length`` bytes lose nothing; two equal rows (same id
-and text) are two documents and so repeat each other; matches never cross documents; very long texts are handled in blocks.
+and text) are two documents and so repeat each other; matches never cross documents; very long texts are handled in blocks;
+an empty table gives an empty result. What is gathered for one document (its runs, its spans) is less than its text.
 """
 
 from __future__ import annotations
@@ -402,8 +403,20 @@ def without(data: bytes, runs: list[tuple[int, int]]) -> bytes:
     return b"".join([*kept, data[at:]])
 
 
+def whole_characters(data: bytes, lo: int, hi: int) -> tuple[int, int]:
+    """The run without parts of characters at its ends, so that what is left is UTF-8."""
+    while lo < hi and data[lo] & 0xC0 == 0x80:
+        lo += 1
+    while hi > lo and hi < len(data) and data[hi] & 0xC0 == 0x80:
+        hi -= 1
+    return lo, hi
+
+
 def report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of a table of (doc_id, text)."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and text of a table of (doc_id, text).
+
+    text is what is left, in whole characters: parts of a character at the ends of a removed run stay in it.
+    """
     marked = keyed(docs)
     joined = marked.join(repeated_intervals(marked, length, gram, group).hint("merge"), ["did", "th"], "left").select("doc_id", "text", "spans")
 
@@ -412,43 +425,38 @@ def report(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int =
             out = []
             for text, spans in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
                 data, runs = text.encode(), merged(spans)
-                out.append((len(data), sum(hi - lo for lo, hi in runs), len(runs), hashlib.sha256(without(data, runs)).hexdigest()))
+                left = without(data, [whole_characters(data, lo, hi) for lo, hi in runs]).decode() if runs else text
+                out.append((len(data), sum(hi - lo for lo, hi in runs), len(runs), hashlib.sha256(without(data, runs)).hexdigest(), left))
             if out:
-                yield {"doc_id": batch.column("doc_id").to_pylist()} | dict(zip(("n_bytes", "n_removed", "n_spans", "kept_sha256"), zip(*out, strict=True), strict=True))
-
-    return map_rows(joined, rows, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
-
+                yield {"doc_id": batch.column("doc_id")} | dict(zip(("n_bytes", "n_removed", "n_spans", "kept_sha256", "text"), zip(*out, strict=True), strict=True))
 
-def whole_characters(data: bytes, lo: int, hi: int) -> tuple[int, int]:
-    """The run without parts of characters at its ends, so that what is left is UTF-8."""
-    while lo < hi and data[lo] & 0xC0 == 0x80:
-        lo += 1
-    while hi > lo and hi < len(data) and data[hi] & 0xC0 == 0x80:
-        hi -= 1
-    return lo, hi
+    return map_rows(joined, rows, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, text string")
 
 
 def cleaned(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, group: int = GROUP, words: int = 0) -> DataFrame:
-    """A table (doc_id, text, ...) with its repeated passages cut out of text, in whole characters; other columns and null
-    texts stay as they are, and so do rows of which nothing is left but an empty text. With words, repeated passages of so
-    many words go too where they are shorter than length."""
-    marked = docs.withColumns({"__did": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), "__th": F.xxhash64(F.coalesce("text", F.lit("")))})
-    plain = keyed(docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text")))
+    """A table (doc_id, text, ...) with its repeated passages cut out of text, in whole characters; other columns, whatever
+    their names, and null texts stay as they are, and so do rows of which nothing is left but an empty text. With words,
+    repeated passages of so many words go too where they are shorter than length."""
+    row, text = F.struct("*").alias("row"), F.coalesce("text", F.lit(""))
+    marked = docs.select(row, F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("did"), F.xxhash64(text).alias("th"))
+    plain = keyed(docs.select(F.col("doc_id").cast("long"), text.alias("text")))
     spans = repeated_intervals(plain, length, gram, group)
     if words:
         both = spans.unionAll(short_passages(plain, words, length))
         spans = both.groupBy("did", "th").agg(F.flatten(F.collect_list("spans")).alias("spans"))
-    spans = spans.select(F.col("did").alias("__did"), F.col("th").alias("__th"), F.col("spans").alias("__spans"))
-    joined = marked.join(spans.hint("merge"), ["__did", "__th"], "left").select(*docs.columns, "__spans")
+    joined = marked.join(spans.hint("merge"), ["did", "th"], "left").select("row", "spans")
     place = docs.columns.index("text")
 
     def cut(batches):
         for batch in batches:
-            texts = batch.column("text").to_pylist()
-            for k, found in enumerate(batch.column("__spans").to_pylist()):
+            columns = batch.column("row").flatten()
+            texts = columns[place].to_pylist()
+            for k, found in enumerate(batch.column("spans").to_pylist()):
                 if found and texts[k] is not None:
                     data = texts[k].encode()
                     texts[k] = without(data, [whole_characters(data, lo, hi) for lo, hi in merged(found)]).decode()
-            yield batch.drop_columns(["__spans"]).set_column(place, batch.schema.field(place), pa.array(texts, type=batch.schema.field(place).type))
+            columns[place] = pa.array(texts, type=columns[place].type)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
+    names = docs.columns
     return map_batches(joined, cut, docs.schema)

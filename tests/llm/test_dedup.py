@@ -10,6 +10,8 @@ import numpy as np
 import pytest
 import xxhash
 
+from pyspark.sql import functions as F
+
 from tessera.llm import embedding_dedup, near_copies, simhash, suffix_dedup
 from tessera.llm.components import components
 
@@ -188,7 +190,7 @@ def passages(seed=3):
 def test_repeated_bytes(spark, length, gram, group):
     rows = list(enumerate(passages())) + [(0, passages()[0]), (None, "no id " * 30)]
     df = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("doc_id", "coalesce(text, '') as text", "'x' as th", "'y' as spans")
-    assert Counter(map(tuple, suffix_dedup.report(df, length, gram, group).collect())) == brute_repeats(rows, length)
+    assert Counter(map(tuple, suffix_dedup.report(df, length, gram, group).drop("text").collect())) == brute_repeats(rows, length)
 
 
 def test_blocks_do_not_matter(monkeypatch):
@@ -256,3 +258,96 @@ def test_embedding_groups(spark):
     assert Counter((r.vec_id, r.n_links, r.component_id) for r in got.collect()) == want
     assert embedding_dedup.near_duplicates(df.limit(0)).count() == 0
     assert embedding_dedup.near_duplicates(df.filter("embedding is null")).collect()[0].n_links == 0
+
+
+def brute_vectors(x, threshold=0.95):
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    near = unit @ unit.T >= threshold
+    np.fill_diagonal(near, False)
+    label = np.arange(len(x))
+    while True:
+        least = np.array([min(label[i], label[row].min(initial=len(x))) for i, row in enumerate(near)])
+        if (least == label).all():
+            return near.sum(axis=1), label
+        label = least
+
+
+@pytest.mark.parametrize("width", [8, 30, 64, 200])
+def test_tiles_of_near_unequal_vectors(width):
+    """Two clouds of mutually near vectors, and scattered ones: counts and groups of every pair of tiles equal brute force."""
+    rng = np.random.default_rng(width)
+    centre = rng.normal(size=(2, width))
+    x = np.concatenate([centre[rng.integers(0, 2, 700)] + rng.normal(size=(700, width)) * 0.2, rng.normal(size=(600, width))])
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    order = embedding_dedup.Order(x)
+    x = x[np.argsort(order.leaves(order.leading(x)), kind="stable")]
+    links, groups = brute_vectors(x)
+    halves = [np.arange(0, 650), np.arange(650, 1300)]
+    n, dim = np.ones(len(x), dtype="i8"), np.full(len(x), width)
+    tiles = [embedding_dedup.Tile(order, rows, x[rows]) for rows in halves]
+    total, joined = np.zeros(len(x), dtype="i8"), []
+    for one, two in ((tiles[0], tiles[0]), (tiles[0], tiles[1]), (tiles[1], tiles[1])):
+        found, label = embedding_dedup.tile_links(one, two, n, dim, 0.95)
+        total += found
+        joined += [(i, label[i]) for i in np.flatnonzero(found)]
+    assert (total == links).all() and links.sum() > 10_000
+    assert (embedding_dedup.roots(len(x), *np.array(joined).T) == groups).all()
+
+
+def test_dense_tile_needs_little_memory():
+    """5 000 unequal vectors that all link: their 12 million pairs are never held together."""
+    import tracemalloc
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=64) + rng.normal(size=(5000, 64)) * 0.05
+    x /= np.linalg.norm(x, axis=1)[:, None]
+    tile = embedding_dedup.Tile(embedding_dedup.Order(x), np.arange(5000), x)
+    tracemalloc.start()
+    links, label = embedding_dedup.tile_links(tile, tile, np.ones(5000, dtype="i8"), np.full(5000, 64), 0.95)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (links == 4999).all() and (label == 0).all() and peak < 300e6
+
+
+def test_embedding_table_with_many_links(spark):
+    """A table with chains, clouds, copies and short vectors, through the whole query."""
+    rng = np.random.default_rng(3)
+    centre = rng.normal(size=(40, 16))
+    x = np.concatenate([centre[rng.integers(0, 40, 900)] + rng.normal(size=(900, 16)) * rng.choice([0.1, 0.25, 0.5], size=(900, 1)), rng.normal(size=(300, 16))])
+    x[50:90] = x[50]
+    df = spark.createDataFrame([(7 * i, v.tolist(), "mine", 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, k1 string, place int")
+    links, label = brute_vectors(x)
+    want = {(7 * i, int(links[i]), 7 * int(label[i]), i == label[i]) for i in range(len(x))}
+    assert links.max() > 30
+    for tile in (None, 100):
+        assert {tuple(r) for r in embedding_dedup.near_duplicates(df, tile=tile).collect()} == want
+
+
+def test_rows_with_clashing_columns(spark):
+    text = " ".join(f"w{i}" for i in range(80))
+    schema = "doc_id long, text string, __id string, th double, row int, __spans string, __did string, id string, spans int"
+    rows = [(1, text, "a", 0.5, 1, "s", "d", "i", 9), (2, text, "b", 0.6, 2, "s", "d", "i", 9), (3, None, None, None, None, None, None, None, None), (1, text, "c", 0.7, 3, "s", "d", "i", 9)]
+    df = spark.createDataFrame(rows, schema)
+    kept = {tuple(r) for r in simhash.keep_one(df, (3,), (3,)).collect()}
+    assert len(kept) == 2 and rows[2] in kept and len(kept & {rows[0], rows[3]}) == 1
+    assert kept == {tuple(r) for r in simhash.keep_one(df.orderBy(F.desc("th")), (3,), (3,)).collect()}  # whichever comes first
+    assert {r[2:] for r in map(tuple, near_copies.keep_one(df).collect())} == {r[2:] for r in kept}
+    cut = {tuple(r) for r in suffix_dedup.cleaned(df, 100, 30).collect()}
+    assert cut == {(r[0], None if r[1] is None else "", *r[2:]) for r in rows}
+
+
+def test_report_returns_what_is_left(spark):
+    import hashlib
+
+    passage = "é" * 30 + "".join(chr(97 + i % 26) for i in range(200))
+    df = spark.createDataFrame([(1, "one " + passage + " two"), (2, passage + "é three"), (3, None), (4, "x" * 30)], "doc_id long, text string")
+    got = {r.doc_id: r for r in suffix_dedup.report(df.selectExpr("doc_id", "coalesce(text, '') text"), 100, 30).collect()}
+    assert got[1].text == "one  two" and got[2].text == "é three" and got[3].text == "" and got[4].text == "x" * 30
+    assert got[1].kept_sha256 == hashlib.sha256(b"one  two").hexdigest() and got[4].n_removed == 0
+    assert suffix_dedup.report(df.limit(0), 100, 30).count() == 0
+
+
+def test_components_ignore_loops_and_nulls(spark):
+    df = spark.createDataFrame([(1, 1), (2, None), (None, 3), (4, 5), (5, 4), (4, 5), (6, 5)], "a long, b long")
+    assert {(r.node, r.root) for r in components(df).collect()} == {(4, 4), (5, 4), (6, 4)}
+    assert components(df.limit(0)).count() == 0
