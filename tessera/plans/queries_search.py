@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from tessera import constants as C
@@ -10,6 +9,7 @@ from tessera.functions import text as T
 from tessera.functions import vectors as VF
 from tessera.operators import evaluate, layers, reports, search
 from tessera.plans import views as V
+from tessera.sources.stored import built_once
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -25,47 +25,82 @@ def query(sql: str | None = None):
     return add
 
 
+#: Chunks of one document at most, for ids: a document has fewer lines than this.
+CHUNK_IDS = 1_000_000_000
+
+
 def line_chunks(spark, sf_dir):
     """chunk_id, doc_id, collection, heading, content: four lines a chunk, a heading for each four chunks."""
-    lines = V.table(spark, sf_dir, "documents").select("doc_id", F.col("source").alias("collection"), F.posexplode(F.split("text", "\n")).alias("at", "line"))
-    part = F.floor(F.col("at") / V.CHUNK_LINES).cast("long")
-    rows = lines.groupBy("doc_id", "collection", part.alias("chunk_index")).agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("at", "line"))), lambda x: x["line"]), "\n").alias("content"))
-    return rows.select((F.col("doc_id") * 100000 + F.col("chunk_index")).alias("chunk_id"), "doc_id", "collection", "chunk_index", F.concat(F.lit("s"), F.floor(F.col("chunk_index") / V.CHUNKS_A_SECTION).cast("string")).alias("heading"), "content")
+    lines = F.split("text", "\n")
+    first = F.sequence(F.lit(1), F.size("lines"), F.lit(V.CHUNK_LINES))
+    cut = F.transform(first, lambda at: F.array_join(F.slice("lines", at, F.lit(V.CHUNK_LINES)), "\n"))
+    rows = V.table(spark, sf_dir, "documents").filter("text is not null").select("doc_id", F.col("source").alias("collection"), lines.alias("lines")).select("doc_id", "collection", F.posexplode(cut).alias("chunk_index", "content"))
+    index = F.col("chunk_index").cast("long")
+    return rows.select((F.col("doc_id") * CHUNK_IDS + index).alias("chunk_id"), "doc_id", "collection", index.alias("chunk_index"), F.concat(F.lit("s"), F.floor(index / V.CHUNKS_A_SECTION).cast("string")).alias("heading"), "content")
+
+
+def terms_sql(text: str) -> str:
+    """index_terms in DuckDB: runs of one script are set apart first, as its expressions know no set difference."""
+    cut = f"regexp_extract_all(regexp_replace(nfc_normalize({text}), '([{T.CJK}]+)', ' \\1 ', 'g'), '[A-Za-z_][A-Za-z0-9_]*|\\p{{Nd}}+|[{T.CJK}]+|[\\p{{L}}\\p{{Nl}}\\p{{No}}]+')"
+    return f"flatten(list_transform({cut}, lambda t: CASE WHEN regexp_full_match(t, '[{T.CJK}]+') AND length(t) > 2 THEN list_transform(range(1, length(t)), lambda i: substring(t, i, 2)) ELSE [lower(t)] END))"
 
 
 CHUNKS = f"""lines AS (SELECT doc_id, source AS collection, unnest(string_split(text, chr(10))) AS line, unnest(range(0, len(string_split(text, chr(10))))) AS k FROM documents),
-chunks AS (SELECT doc_id * 100000 + k // {V.CHUNK_LINES} AS chunk_id, doc_id, collection, k // {V.CHUNK_LINES} AS chunk_index, 's' || (k // {V.CHUNK_LINES} // {V.CHUNKS_A_SECTION}) AS heading,
+chunks AS (SELECT doc_id * {CHUNK_IDS} + k // {V.CHUNK_LINES} AS chunk_id, doc_id, collection, k // {V.CHUNK_LINES} AS chunk_index, 's' || (k // {V.CHUNK_LINES} // {V.CHUNKS_A_SECTION}) AS heading,
   string_agg(line, chr(10) ORDER BY k) AS content FROM lines GROUP BY ALL)"""
-POSTS = f"""{CHUNKS}, tokens AS (SELECT chunk_id, unnest(regexp_extract_all(lower(content), '[a-z0-9_]+')) AS term FROM chunks),
+POSTS = f"""{CHUNKS}, tokens AS (SELECT chunk_id, unnest({terms_sql('content')}) AS term FROM chunks),
 posts AS (SELECT term, chunk_id, count(*) AS tf FROM tokens GROUP BY 1, 2), dls AS (SELECT chunk_id, count(*) AS dl FROM tokens GROUP BY 1),
 totals AS (SELECT count(*) AS n, avg(dl) AS avgdl FROM dls), dfs AS (SELECT term, count(*) AS df FROM posts GROUP BY 1),
-qs AS (SELECT DISTINCT item_id AS query_id, unnest(regexp_extract_all(lower(text), '[a-z0-9_]+')) AS term FROM benchmark),
+asked AS (SELECT item_id AS query_id, text FROM benchmark), qs AS (SELECT DISTINCT query_id, unnest({terms_sql('text')}) AS term FROM asked),
 scored AS (SELECT query_id, chunk_id, round(sum(greatest(ln((n - df + 0.5) / (df + 0.5)), 0.000001) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / avgdl))), 6) AS score
   FROM posts JOIN dls USING (chunk_id) JOIN dfs USING (term) JOIN qs USING (term), totals GROUP BY 1, 2)"""
 
 
 def posts_of(spark, sf_dir):
-    """Postings of all chunks, kept on the executors' disks: counts, frequencies and scores read them several times."""
-    return search.postings(line_chunks(spark, sf_dir), T.simple_tokens(F.col("content"))).persist(StorageLevel.DISK_ONLY)
+    """Postings of all chunks, sorted by term; written once, read by every query."""
+    return built_once(spark, sf_dir, "postings", lambda: search.postings(line_chunks(spark, sf_dir), T.index_terms(F.col("content"))).repartitionByRange("term").sortWithinPartitions("term", "chunk_id"))
+
+
+def totals_of(spark, sf_dir):
+    return built_once(spark, sf_dir, "postings-totals", lambda: search.corpus_totals(posts_of(spark, sf_dir)))
+
+
+def chunk_vectors(spark, sf_dir):
+    """chunk_id, embedding: the vector of the chunk's document, turned by the chunk's place so that chunks differ."""
+    e, k = F.col("embedding"), F.col("chunk_index").cast("int") % F.size("embedding")
+    turned = F.concat(F.slice(e, k + 1, F.size(e) - k), F.slice(e, F.lit(1), k))
+    vectors = V.table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("doc_id"), "embedding")
+    return line_chunks(spark, sf_dir).select("chunk_id", "doc_id", "chunk_index").join(vectors, "doc_id").select("chunk_id", turned.alias("embedding"))
+
+
+def index_of(spark, sf_dir):
+    vectors = built_once(spark, sf_dir, "chunk-vectors", lambda: chunk_vectors(spark, sf_dir))
+    return search.Index(line_chunks(spark, sf_dir), vectors, posts_of(spark, sf_dir), totals_of(spark, sf_dir))
 
 
 def benchmark_terms(spark, sf_dir):
-    return V.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.explode(F.array_distinct(T.simple_tokens(F.col("text")))).alias("term"))
+    return V.table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.explode(T.query_terms(F.col("text"))).alias("term"))
+
+
+def question(spark, sf_dir):
+    """Text and terms of the first benchmark item."""
+    return V.table(spark, sf_dir, "benchmark").orderBy("item_id").limit(1).select("text", T.query_terms(F.col("text")).alias("terms")).first()
 
 
 @query(f"WITH {POSTS} SELECT chunk_id, doc_id, heading, score, row_number() OVER (ORDER BY score DESC, chunk_id) AS rank FROM (SELECT * FROM scored WHERE query_id = (SELECT min(item_id) FROM benchmark) ORDER BY score DESC, chunk_id LIMIT 10) JOIN chunks USING (chunk_id)")
 def bm25_topk(spark, sf_dir):
     """Keyword search for the first benchmark text: the ten best chunks."""
-    terms = benchmark_terms(spark, sf_dir)
-    first = V.table(spark, sf_dir, "benchmark").agg(F.min("item_id").alias("query_id"))
-    scored = search.bm25(posts_of(spark, sf_dir), terms.join(F.broadcast(first), "query_id"))
-    best = search.top(scored, 10, [F.desc("score"), F.asc("chunk_id")])
+    best = search.keyword_hits(posts_of(spark, sf_dir), question(spark, sf_dir)["terms"], 10, totals=totals_of(spark, sf_dir))
     return line_chunks(spark, sf_dir).join(F.broadcast(best), "chunk_id").select("chunk_id", "doc_id", "heading", "score", "rank")
 
 
+def batch_hits(spark, sf_dir):
+    return search.top(search.bm25(posts_of(spark, sf_dir), benchmark_terms(spark, sf_dir), totals=totals_of(spark, sf_dir)), 10, [F.desc("score"), F.asc("chunk_id")], ["query_id"])
+
+
 @query(f"WITH {POSTS} SELECT query_id, chunk_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM scored QUALIFY rank <= 10")
 def bm25_batch(spark, sf_dir):
-    return search.top(search.bm25(posts_of(spark, sf_dir), benchmark_terms(spark, sf_dir)), 10, [F.desc("score"), F.asc("chunk_id")], ["query_id"])
+    return batch_hits(spark, sf_dir)
 
 
 @query(f"WITH {POSTS} SELECT term, df FROM dfs")
@@ -73,9 +108,9 @@ def document_frequency(spark, sf_dir):
     return posts_of(spark, sf_dir).groupBy("term").agg(F.count("*").alias("df"))
 
 
-@query("SELECT doc_id, CAST(len(regexp_extract_all(lower(text), '[a-z0-9_]+')) AS BIGINT) AS n_tokens, CAST(greatest(1, length(text) // 2) AS BIGINT) AS token_estimate FROM documents")
+@query(f"SELECT doc_id, CAST(len({terms_sql('text')}) AS BIGINT) AS n_tokens, CAST(greatest(1, length(text) // 2) AS BIGINT) AS token_estimate FROM documents")
 def token_estimates(spark, sf_dir):
-    return V.table(spark, sf_dir, "documents").select("doc_id", F.size(T.simple_tokens(F.col("text"))).cast("long").alias("n_tokens"), T.token_estimate(F.col("text")).alias("token_estimate"))
+    return V.table(spark, sf_dir, "documents").select("doc_id", F.size(T.index_terms(F.col("text"))).cast("long").alias("n_tokens"), T.token_estimate(F.col("text")).alias("token_estimate"))
 
 
 def _vectors(spark, sf_dir):
@@ -89,20 +124,29 @@ def _first_vector(spark, sf_dir):
 Q0 = "q AS (SELECT embedding AS q FROM embeddings ORDER BY vec_id LIMIT 1)"
 L2 = "round(sqrt(list_sum(list_transform(list_zip({a}, {b}), lambda p: power(CAST(p[1] AS DOUBLE) - CAST(p[2] AS DOUBLE), 2)))), 6)"
 KNN = f"{Q0}, vec AS (SELECT vec_id, label, {L2.format(a='embedding', b='q')} AS distance FROM embeddings, q), v AS (SELECT vec_id, label, distance, row_number() OVER (ORDER BY distance, vec_id) AS rank FROM vec QUALIFY rank <= 40)"
-#: A second ranking to fuse with: by how far a vector's label is from 3.
-ARMS = f"{KNN}, w AS (SELECT vec_id, label, row_number() OVER (ORDER BY abs(label - 3), vec_id) AS rank FROM embeddings QUALIFY rank <= 40)"
-FUSED = ARMS + ", fused AS (SELECT coalesce(v.vec_id, w.vec_id) AS vec_id, coalesce(v.label, w.label) AS label, v.rank AS vector_rank, w.rank AS keyword_rank, round(coalesce({wv} / (60 + v.rank), 0) + coalesce({wk} / (60 + w.rank), 0), 6) AS rrf_score FROM v FULL JOIN w USING (vec_id))"
+#: Both arms over the chunks: keyword scores and vectors of the same chunks.
+TURNED = "cv AS (SELECT chunk_id, list_concat(embedding[k + 1:], embedding[1:k]) AS e FROM (SELECT chunk_id, embedding, chunk_index % len(embedding) AS k FROM chunks JOIN embeddings ON vec_id = doc_id))"
 
 
-def arms(spark, sf_dir):
-    rows = _vectors(spark, sf_dir)
-    vector = search.vector_hits(rows, _first_vector(spark, sf_dir), 40, "vec_id")
-    keyword = search.top(rows.select("vec_id", F.abs(F.col("label") - 3).alias("d")), 40, [F.asc("d"), F.asc("vec_id")])
-    return vector, keyword
+def arms_sql(depth: int = 40) -> str:
+    return f"""{POSTS}, {Q0}, {TURNED}, v AS (SELECT chunk_id, distance, row_number() OVER (ORDER BY distance, chunk_id) AS rank FROM (SELECT chunk_id, {L2.format(a='e', b='q')} AS distance FROM cv, q) QUALIFY rank <= {depth}),
+w AS (SELECT chunk_id, row_number() OVER (ORDER BY score DESC, chunk_id) AS rank FROM scored WHERE query_id = (SELECT min(item_id) FROM benchmark) QUALIFY rank <= {depth})"""
+
+
+def fused_sql(wv: float = 1.0, wk: float = 1.0, depth: int = 40) -> str:
+    return f"""{arms_sql(depth)}, fused AS (SELECT coalesce(v.chunk_id, w.chunk_id) AS chunk_id, v.rank AS vector_rank, w.rank AS keyword_rank, round(coalesce({wv} / (60 + v.rank), 0) + coalesce({wk} / (60 + w.rank), 0), 6) AS rrf_score FROM v FULL JOIN w USING (chunk_id)),
+f AS (SELECT * FROM fused JOIN chunks USING (chunk_id))"""
+
 
+def arms(spark, sf_dir, depth=40):
+    """The chunks nearest to the first vector and those that match the first benchmark text best."""
+    index = index_of(spark, sf_dir)
+    return search.vector_hits(index.vectors, _first_vector(spark, sf_dir), depth), search.keyword_hits(index.posts, question(spark, sf_dir)["terms"], depth, totals=index.totals)
 
-def fused(spark, sf_dir, **weights):
-    return search.fuse(*arms(spark, sf_dir), "vec_id", **weights).join(_vectors(spark, sf_dir).select("vec_id", "label"), "vec_id")
+
+def fused(spark, sf_dir, depth=40, **weights):
+    """Fused rows, at most twice the depth, with what is known of their chunks."""
+    return line_chunks(spark, sf_dir).join(F.broadcast(search.fuse(*arms(spark, sf_dir, depth), **weights)), "chunk_id")
 
 
 @query(f"WITH {KNN} SELECT vec_id, distance, rank FROM v WHERE rank <= 10")
@@ -121,42 +165,82 @@ def knn_batch(spark, sf_dir):
     return search.knn_batch(rows, rows.filter("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), "embedding"), 10)
 
 
-@query("WITH " + FUSED.format(wv="1.0", wk="1.0") + " SELECT vec_id, coalesce(vector_rank, 0) AS vector_rank, coalesce(keyword_rank, 0) AS keyword_rank, rrf_score FROM fused")
+@query(f"WITH {fused_sql()} SELECT chunk_id, coalesce(vector_rank, 0) AS vector_rank, coalesce(keyword_rank, 0) AS keyword_rank, rrf_score FROM fused")
 def rrf_fusion(spark, sf_dir):
     zero = lambda c: F.coalesce(F.col(c), F.lit(0).cast("long")).alias(c)
-    return search.fuse(*arms(spark, sf_dir), "vec_id").select("vec_id", zero("vector_rank"), zero("keyword_rank"), "rrf_score")
+    return search.fuse(*arms(spark, sf_dir)).select("chunk_id", zero("vector_rank"), zero("keyword_rank"), "rrf_score")
 
 
-@query("WITH " + FUSED.format(wv="0.3", wk="1.5") + " SELECT vec_id, rrf_score FROM fused")
+@query(f"WITH {fused_sql(0.3, 1.5)} SELECT chunk_id, rrf_score FROM fused")
 def weighted_rrf(spark, sf_dir):
-    return search.fuse(*arms(spark, sf_dir), "vec_id", vector_weight=0.3, keyword_weight=1.5).select("vec_id", "rrf_score")
+    return search.fuse(*arms(spark, sf_dir), vector_weight=0.3, keyword_weight=1.5).select("chunk_id", "rrf_score")
 
 
-@query("WITH " + FUSED.format(wv="1.0", wk="1.0") + " SELECT vec_id, label, rrf_score FROM fused QUALIFY row_number() OVER (PARTITION BY label ORDER BY rrf_score DESC, vec_id) <= 2")
+@query(f"WITH {fused_sql()} SELECT chunk_id, doc_id, heading, rrf_score FROM f QUALIFY row_number() OVER (PARTITION BY doc_id, heading ORDER BY rrf_score DESC, chunk_id) <= 1")
 def section_cap(spark, sf_dir):
-    return search.section_cap(fused(spark, sf_dir), 2, ["label"], "vec_id").select("vec_id", "label", "rrf_score")
+    return search.section_cap(fused(spark, sf_dir)).select("chunk_id", "doc_id", "heading", "rrf_score")
+
+
+@query(f"WITH {fused_sql()}, capped AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY doc_id, heading ORDER BY rrf_score DESC, chunk_id) <= 1) SELECT chunk_id, doc_id, heading, rrf_score, row_number() OVER (ORDER BY rrf_score DESC, chunk_id) AS position FROM capped QUALIFY position <= {C.LIMIT}")
+def hybrid_search(spark, sf_dir):
+    """One retrieval over one index: keywords and vectors of the same chunks, fused, capped by section."""
+    found = index_of(spark, sf_dir).search_once(question(spark, sf_dir)["terms"], _first_vector(spark, sf_dir))
+    return found.select("chunk_id", "doc_id", "heading", "rrf_score", "position")
 
 
-@query("WITH " + FUSED.format(wv="1.0", wk="1.0") + " SELECT vec_id, rrf_score, row_number() OVER (ORDER BY rrf_score DESC, vec_id) AS rank FROM fused WHERE label = 3 QUALIFY rank <= 5")
+@query(f"WITH {fused_sql(depth=C.SCOPED_CANDIDATES)}, scoped AS (SELECT * FROM f WHERE collection = (SELECT min(source) FROM documents) AND doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1)), capped AS (SELECT * FROM scoped QUALIFY row_number() OVER (PARTITION BY doc_id, heading ORDER BY rrf_score DESC, chunk_id) <= 1) SELECT chunk_id, collection, rrf_score, row_number() OVER (ORDER BY rrf_score DESC, chunk_id) AS position FROM capped QUALIFY position <= {C.LIMIT}")
 def collection_scoped_search(spark, sf_dir):
-    rows = search.scoped(fused(spark, sf_dir).withColumnRenamed("label", "collection"), 3)
-    return search.top(rows, 5, [F.desc("rrf_score"), F.asc("vec_id")]).select("vec_id", "rrf_score", "rank")
+    """The same within one collection, at greater depth, without the documents of a denylist."""
+    first = V.table(spark, sf_dir, "documents").agg(F.min("source").alias("c")).first()["c"]
+    denied = V.table(spark, sf_dir, "labels").filter("toxic = 1")
+    found = index_of(spark, sf_dir).search_once(question(spark, sf_dir)["terms"], _first_vector(spark, sf_dir), collection=first, denied=denied)
+    return found.select("chunk_id", "collection", "rrf_score", "position")
 
 
-@query("WITH " + FUSED.format(wv="1.0", wk="1.0") + " SELECT vec_id, rrf_score FROM fused WHERE vec_id NOT IN (SELECT doc_id FROM labels)")
+@query(f"WITH {fused_sql()} SELECT chunk_id, doc_id, rrf_score FROM f WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def fixture_denylist(spark, sf_dir):
-    return search.deny(fused(spark, sf_dir).withColumnRenamed("vec_id", "doc_id"), V.table(spark, sf_dir, "labels")).select(F.col("doc_id").alias("vec_id"), "rrf_score")
+    return search.deny(fused(spark, sf_dir), V.table(spark, sf_dir, "labels")).select("chunk_id", "doc_id", "rrf_score")
 
 
-@query("WITH " + ARMS + ", u AS (SELECT vec_id, rank FROM v UNION ALL SELECT vec_id, rank FROM w) SELECT vec_id, fused_score, row_number() OVER (ORDER BY fused_score DESC, vec_id) AS rank FROM (SELECT vec_id, round(sum(1.0 / (60 + rank)) / 2, 6) AS fused_score FROM u GROUP BY 1) QUALIFY rank <= 20")
+@query(f"WITH {arms_sql()}, u AS (SELECT chunk_id, rank FROM v UNION ALL SELECT chunk_id, rank FROM w) SELECT chunk_id, fused_score, row_number() OVER (ORDER BY fused_score DESC, chunk_id) AS rank FROM (SELECT chunk_id, round(sum(1.0 / (60 + rank)) / 2, 6) AS fused_score FROM u GROUP BY 1) QUALIFY rank <= 20")
 def variant_fusion(spark, sf_dir):
-    return search.fuse_variants([a.select("vec_id", F.col("rank").alias("position")) for a in arms(spark, sf_dir)], 20, "vec_id").select("vec_id", "fused_score", "rank")
+    return search.fuse_variants([a.select("chunk_id", F.col("rank").alias("position")) for a in arms(spark, sf_dir)], 20).select("chunk_id", "fused_score", "rank")
+
+
+SHARE = f"round(len(list_intersect({terms_sql('content')}, own.own)) / greatest(len(own.own), 1), 4)"
 
 
-@query("WITH " + KNN + ", c AS (SELECT vec_id, rank, row_number() OVER (ORDER BY round(CAST(1.0 / (1 + label) AS DOUBLE), 4) DESC, vec_id) AS ce_rank FROM v) SELECT vec_id, ce_rank, final_score, row_number() OVER (ORDER BY final_score DESC, vec_id) AS final_rank FROM (SELECT *, round(3.0 / (60 + ce_rank) + 1.0 / (60 + rank), 6) AS final_score FROM c) QUALIFY final_rank <= 16")
+@query(f"WITH {arms_sql()}, own AS (SELECT list_distinct({terms_sql('text')}) AS own FROM benchmark ORDER BY item_id LIMIT 1), c AS (SELECT chunk_id, rank, row_number() OVER (ORDER BY {SHARE} DESC, chunk_id) AS ce_rank FROM w JOIN chunks USING (chunk_id), own) SELECT chunk_id, ce_rank, final_score, row_number() OVER (ORDER BY final_score DESC, chunk_id) AS final_rank FROM (SELECT *, round(3.0 / (60 + ce_rank) + 1.0 / (60 + rank), 6) AS final_score FROM c) QUALIFY final_rank <= 16")
 def rerank_fusion(spark, sf_dir):
-    rows = arms(spark, sf_dir)[0].join(_vectors(spark, sf_dir).select("vec_id", "label"), "vec_id").withColumn("ce_score", 1.0 / (1 + F.col("label")))
-    return search.rerank(rows, C.RERANK_CANDIDATES, id_col="vec_id").select("vec_id", "ce_rank", "final_score", "final_rank")
+    """Keyword hits reranked by how many of the question's terms a chunk holds."""
+    rows = line_chunks(spark, sf_dir).join(F.broadcast(arms(spark, sf_dir)[1]), "chunk_id")
+    return search.rerank(rows, C.RERANK_CANDIDATES, search.lexical_scorer(question(spark, sf_dir)["terms"])).select("chunk_id", "ce_rank", "final_score", "final_rank")
+
+
+#: A question in two wordings, each with a vector of its own.
+WORDINGS = """SELECT 0 AS query_id, text, (SELECT embedding FROM embeddings ORDER BY vec_id LIMIT 1) AS q FROM benchmark WHERE item_id = (SELECT min(item_id) FROM benchmark)
+  UNION ALL SELECT 1, split_part(text, ' ', 1) || text, (SELECT embedding FROM embeddings ORDER BY vec_id OFFSET 1 LIMIT 1) FROM benchmark WHERE item_id = (SELECT min(item_id) FROM benchmark)"""
+HYBRID = POSTS.replace("SELECT item_id AS query_id, text FROM benchmark", WORDINGS)
+
+
+@query(f"""WITH {HYBRID}, {TURNED},
+v AS (SELECT query_id, chunk_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, chunk_id) AS rank FROM (SELECT query_id, chunk_id, {L2.format(a='e', b='q')} AS distance FROM cv, asked) QUALIFY rank <= 40),
+w AS (SELECT query_id, chunk_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM scored QUALIFY rank <= 40),
+fused AS (SELECT query_id, chunk_id, round(coalesce(1.0 / (60 + v.rank), 0) + coalesce(1.0 / (60 + w.rank), 0), 6) AS rrf_score FROM v FULL JOIN w USING (query_id, chunk_id)),
+capped AS (SELECT query_id, chunk_id, rrf_score FROM fused JOIN chunks USING (chunk_id) QUALIFY row_number() OVER (PARTITION BY query_id, doc_id, heading ORDER BY rrf_score DESC, chunk_id) <= 1),
+placed AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY rrf_score DESC, chunk_id) AS position FROM capped QUALIFY position <= 40),
+pool AS (SELECT chunk_id, row_number() OVER (ORDER BY s DESC, chunk_id) AS rank FROM (SELECT chunk_id, round(sum(1.0 / (60 + position)) / 2, 6) AS s FROM placed GROUP BY 1) QUALIFY rank <= 16),
+own AS (SELECT list_distinct({terms_sql('text')}) AS own FROM asked WHERE query_id = 0),
+c AS (SELECT chunk_id, rank, row_number() OVER (ORDER BY {SHARE} DESC, chunk_id) AS ce_rank FROM pool JOIN chunks USING (chunk_id), own)
+SELECT chunk_id, final_score, row_number() OVER (ORDER BY final_score DESC, chunk_id) AS final_rank FROM (SELECT *, round(3.0 / (60 + ce_rank) + 1.0 / (60 + rank), 6) AS final_score FROM c) QUALIFY final_rank <= 10""")
+def hybrid_variants(spark, sf_dir):
+    """A question and its alias wording, each retrieved, fused, then reranked over a fixed pool."""
+    asked = question(spark, sf_dir)
+    word = asked["text"].split(" ")[0]
+    texts = search.alias_variants(asked["text"], {"doubled": [word, word + word]})
+    terms = [r["terms"] for r in spark.createDataFrame(list(enumerate(texts)), "n int, text string").orderBy("n").select(T.query_terms(F.col("text")).alias("terms")).collect()]
+    vectors = [[float(x) for x in r["embedding"]] for r in _vectors(spark, sf_dir).orderBy("vec_id").limit(len(texts)).collect()]
+    return index_of(spark, sf_dir).search(list(zip(terms, vectors, strict=True)), limit=10, reranked=True).select("chunk_id", "final_score", "final_rank")
 
 
 JUDGED = f"""pairs AS (SELECT a.vec_id AS query_id, a.label AS kind, b.vec_id AS item, b.label, {L2.format(a='a.embedding', b='b.embedding')} AS distance FROM embeddings a, embeddings b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
@@ -194,15 +278,27 @@ def floor_compare(spark, sf_dir):
 
 @query(f"WITH {POSTS}, r AS (SELECT query_id, chunk_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM scored QUALIFY rank <= 10) SELECT query_id, count(*) - count(DISTINCT doc_id || '|' || heading) AS repeats FROM r JOIN chunks USING (chunk_id) GROUP BY 1")
 def flooding_rate(spark, sf_dir):
-    ranked = search.top(search.bm25(posts_of(spark, sf_dir), benchmark_terms(spark, sf_dir)), 10, [F.desc("score"), F.asc("chunk_id")], ["query_id"])
-    return reports.flooding(ranked.join(line_chunks(spark, sf_dir).select("chunk_id", "doc_id", "heading"), "chunk_id"))
+    return reports.flooding(batch_hits(spark, sf_dir).join(line_chunks(spark, sf_dir).select("chunk_id", "doc_id", "heading"), "chunk_id"))
 
 
 @query("SELECT item_id, doc_id FROM benchmark b JOIN documents d ON instr(d.text, b.text) > 0")
 def containment(spark, sf_dir):
-    """Which benchmark texts stand verbatim in which documents; the benchmark side is bounded by its own table."""
-    items = V.table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("needle"))
-    return V.table(spark, sf_dir, "documents").join(items, F.expr("instr(text, needle) > 0")).select("item_id", "doc_id")
+    """Which benchmark texts stand verbatim in which documents.
+
+    An equality join on a word proposes pairs: a needle's rarest inner word (one with white space on both sides, which is a
+    whole word wherever the needle stands). Needles without inner words meet every document.
+    """
+    inner = lambda c: F.array_distinct(F.regexp_extract_all(c, F.lit(r"(?<=\s)\S+(?=\s)"), F.lit(0)))
+    items = V.table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("needle"), inner(F.col("text")).alias("words"))
+    docs = V.table(spark, sf_dir, "documents").filter("text is not null").select("doc_id", "text")
+    wanted = items.select(F.explode("words").alias("word")).distinct()
+    in_docs = docs.select("doc_id", F.explode(F.array_distinct(F.split("text", r"\s+"))).alias("word")).join(wanted, "word", "left_semi")
+    n = in_docs.groupBy("word").agg(F.count("*").alias("n"))
+    rarest = items.select("item_id", F.explode("words").alias("word")).join(n, "word", "left").groupBy("item_id").agg(F.min_by("word", F.struct(F.coalesce("n", F.lit(0)), "word")).alias("word"))
+    pairs = rarest.join(in_docs, "word").select("item_id", "doc_id")
+    checked = docs.join(pairs, "doc_id").join(items.select("item_id", "needle"), "item_id").filter("instr(text, needle) > 0").select("item_id", "doc_id")
+    short = items.filter(F.size("words") == 0).select("item_id", "needle")
+    return checked.unionAll(docs.join(short, F.expr("instr(text, needle) > 0")).select("item_id", "doc_id")) if short.limit(1).count() else checked
 
 
 @query("SELECT count(*) FILTER (WHERE quality = 1) AS hits, count(*) FILTER (WHERE quality = 0) AS misses, count(*) FILTER (WHERE toxic = 2) AS absorbed, count(*) FILTER (WHERE toxic = 3) AS skipped, round(count(*) FILTER (WHERE quality = 1) / nullif(count(*), 0), 4) AS related_recall FROM labels")
