@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
@@ -49,17 +49,27 @@ def encode_with_cache(texts: DataFrame, cache: DataFrame, signature: str, encode
 
 
 def from_index(vectors: DataFrame, chunks: DataFrame, signature: str) -> DataFrame:
-    """A cache derived from an index; one key with two vectors is an error of the index."""
+    """A cache derived from an index; reading it fails on a key with two vectors, which is an error of the index."""
     rows = keyed(chunks).join(vectors, "chunk_id").groupBy("embed_key").agg(F.first("embedding").alias("embedding"), F.countDistinct("embedding").alias("variants"))
-    return rows.withColumn("signature", F.lit(signature))
+    fault = F.raise_error(F.concat(F.lit("two vectors for "), F.col("embed_key"))).cast("array<float>")
+    sound = F.when(F.col("variants") > 1, fault).otherwise(F.col("embedding"))
+    return rows.select("embed_key", sound.alias("embedding"), F.lit(signature).alias("signature"))
+
+
+def every(rows: DataFrame, key: str, step: int) -> DataFrame:
+    """Every step-th row in order of a unique key, with its place from 0: ranks inside range partitions, and the sizes of
+    those, one row a partition, before them."""
+    ordered = rows.repartitionByRange(key).sortWithinPartitions(key).withColumn("__at", F.monotonically_increasing_id())
+    part, inside = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = ordered.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
+    before = sizes.withColumn("base", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("part", "base")
+    placed = ordered.withColumn("part", part).join(F.broadcast(before), "part").withColumn("place", F.col("base") + inside)
+    return placed.filter(F.col("place") % step == 0).select(*rows.columns, "place")
 
 
 def verify_sample(cache: DataFrame, texts: DataFrame, encode: Callable[[Column], Column], step: int, least: float) -> DataFrame:
     """Every step-th key of the sorted keys, encoded again: worst cosine and whether it is good enough."""
-    from pyspark.sql import Window
-
-    place = F.row_number().over(Window.orderBy("embed_key"))
-    sample = cache.select("embed_key", "embedding").withColumn("place", place).filter((F.col("place") - 1) % step == 0)
+    sample = every(cache.select("embed_key", "embedding"), "embed_key", step)
     again = keyed(texts).dropDuplicates(["embed_key"]).join(sample, "embed_key").select(V.cosine(F.col("embedding"), encode(F.col("embed_text"))).alias("cosine"))
     return again.agg(F.min("cosine").alias("worst"), F.count("*").alias("n")).withColumn("ok", F.col("worst") >= least)
 

@@ -40,9 +40,9 @@ def walk(edges: DataFrame, starts: DataFrame, direction: str = "downstream", max
 def reached(edges: DataFrame, starts: DataFrame, direction: str = "downstream", max_depth: int = 3, relations: Sequence[str] | None = None) -> DataFrame:
     """start, node_id, depth, total_weight, via: shortest depth, greatest weight of any walk, relations of shortest walks."""
     paths = walk(edges, starts, direction, max_depth, relations)
-    best = paths.groupBy("start", "node_id").agg(F.min("depth").alias("depth"), F.max("weight").alias("total_weight"))
-    via = paths.join(best.select("start", "node_id", "depth"), ["start", "node_id", "depth"]).groupBy("start", "node_id").agg(F.array_join(F.sort_array(F.collect_set("relation")), ",").alias("via"))
-    return best.join(via, ["start", "node_id"]).select("start", "node_id", F.col("depth").cast("long").alias("depth"), F.round("total_weight", 4).alias("total_weight"), "via")
+    by_depth = paths.groupBy("start", "node_id", "depth").agg(F.max("weight").alias("weight"), F.array_join(F.sort_array(F.collect_set("relation")), ",").alias("via"))
+    best = by_depth.groupBy("start", "node_id").agg(F.min("depth").alias("depth"), F.max("weight").alias("total_weight"), F.min_by("via", "depth").alias("via"))
+    return best.select("start", "node_id", F.col("depth").cast("long").alias("depth"), F.round("total_weight", 4).alias("total_weight"), "via")
 
 
 def graph_query(edges: DataFrame, nodes: DataFrame, start: str, direction: str = "downstream", max_depth: int = 3, relations: Sequence[str] | None = None, limit: int = 50) -> DataFrame:

@@ -8,16 +8,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def upper_median(values: Column) -> Column:
-    """The element at n div 2 of the sorted values."""
-    return F.get(F.sort_array(F.collect_list(values)), F.floor(F.count(values) / 2).cast("int"))
+def upper_median(values: str) -> Column:
+    """The element at n div 2 of the sorted values: the first, from above, with half of the values up to it. Equal values are
+    counted together before the shuffle."""
+    return F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY {values} DESC)")
 
 
 def density(chunks: DataFrame, by: Sequence[str], chars: Column, tokens: Column) -> DataFrame:
     """Characters per token by slice: upper median, share of all rows."""
     rows = chunks.withColumn("__density", chars / F.nullif(tokens, F.lit(0)))
     total = rows.agg(F.count("*").alias("__all"))
-    grouped = rows.groupBy(*by).agg(F.round(upper_median(F.col("__density")), 6).alias("median"), F.count("*").alias("n"))
+    grouped = rows.groupBy(*by).agg(F.round(upper_median("__density"), 6).alias("median"), F.count("*").alias("n"))
     return grouped.join(F.broadcast(total)).withColumn("share", F.round(F.col("n") / F.col("__all"), 6)).drop("__all")
 
 

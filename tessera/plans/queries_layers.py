@@ -164,10 +164,12 @@ def audit_endpoints_resolved(spark, sf_dir):
     return audits.endpoints_resolved(rows, "s_suppkey", "p_partkey").select("l_orderkey", "l_linenumber")
 
 
-@query("SELECT conv_id AS doc_id, count(*) AS n, max(CASE WHEN role = 'system' THEN '' ELSE role END) AS heading FROM conversations GROUP BY 1 HAVING count(*) = 1 AND max(CASE WHEN role = 'system' THEN '' ELSE role END) = ''")
+@query("SELECT doc_id, n, heading FROM (SELECT doc_id, count(*) AS n, max(trim(heading)) AS heading FROM (SELECT conv_id AS doc_id, CASE conv_id % 4 WHEN 0 THEN 'bill' WHEN 1 THEN 'statute' ELSE 'markdown' END AS doc_type, CASE WHEN conv_id % 3 = 0 THEN ' ' ELSE role END AS heading, turn FROM conversations) WHERE doc_type IN ('bill', 'statute') AND (turn = 0 OR doc_id % 5 = 0) GROUP BY 1) WHERE n = 1 AND heading = ''")
 def audit_sections_survived(spark, sf_dir):
-    rows = V.table(spark, sf_dir, "conversations").select(F.col("conv_id").alias("doc_id"), F.lit("bill").alias("doc_type"), F.when(F.col("role") == "system", "").otherwise(F.col("role")).alias("heading"))
-    return audits.sections_survived(rows, ("bill", "statute"))
+    """Conversations as documents, some of a profiled type, some left with one turn, some without headings."""
+    kind = F.when(F.col("conv_id") % 4 == 0, "bill").when(F.col("conv_id") % 4 == 1, "statute").otherwise("markdown")
+    rows = V.table(spark, sf_dir, "conversations").filter("turn = 0 OR conv_id % 5 = 0").select(F.col("conv_id").alias("doc_id"), kind.alias("doc_type"), F.when(F.col("conv_id") % 3 == 0, " ").otherwise(F.col("role")).alias("heading"))
+    return audits.sections_survived(rows, ("bill", "statute")).select("doc_id", "n", "heading")
 
 
 #: Every document is a rendition of its own; its id and format come from doc_id.

@@ -270,10 +270,12 @@ def grouping_sets_eval(spark, sf_dir):
     return rows.fillna("", ["arm", "kind"])
 
 
-@query(f"WITH {JUDGED} SELECT kind, round(avg(CAST(p1 AS DOUBLE)), 4) AS value, CAST(1.0 AS DOUBLE) AS base FROM m GROUP BY 1 HAVING round(avg(CAST(p1 AS DOUBLE)), 4) < 1.0 - 0.08")
+@query(f"WITH {JUDGED}, v AS (SELECT kind, round(avg(CAST(p1 AS DOUBLE)), 4) AS value, round(avg(CAST(r10 AS DOUBLE)), 4) AS base FROM m GROUP BY 1), b AS (SELECT CAST(kind AS BIGINT) AS kind, value, base FROM v UNION ALL SELECT -1, NULL, 0.5) SELECT kind, coalesce(value, -1) AS value, base FROM b WHERE value IS NULL OR value < base - {C.KIND_TOLERANCE}")
 def floor_compare(spark, sf_dir):
-    by_kind = judged(spark, sf_dir).groupBy("kind").agg(F.round(F.avg("p1"), 4).alias("value"))
-    return evaluate.regressions(by_kind, by_kind.select("kind", F.lit(1.0).alias("value")), C.KIND_TOLERANCE, ("kind",)).select("kind", "value", "base")
+    """First hits of each kind against a stored floor (here what ten hits reach), and a kind that is missing now."""
+    by_kind = judged(spark, sf_dir).groupBy(F.col("kind").cast("long").alias("kind")).agg(F.round(F.avg("p1"), 4).alias("value"), F.round(F.avg("r10"), 4).alias("base"))
+    floors = by_kind.select("kind", F.col("base").alias("value")).unionAll(spark.createDataFrame([(-1, 0.5)], "kind long, value double"))
+    return evaluate.regressions(by_kind.select("kind", "value"), floors, C.KIND_TOLERANCE, ("kind",)).select("kind", F.coalesce("value", F.lit(-1.0)).alias("value"), "base")
 
 
 @query(f"WITH {POSTS}, r AS (SELECT query_id, chunk_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, chunk_id) AS rank FROM scored QUALIFY rank <= 10) SELECT query_id, count(*) - count(DISTINCT doc_id || '|' || heading) AS repeats FROM r JOIN chunks USING (chunk_id) GROUP BY 1")
@@ -301,11 +303,6 @@ def containment(spark, sf_dir):
     return checked.unionAll(docs.join(short, F.expr("instr(text, needle) > 0")).select("item_id", "doc_id")) if short.limit(1).count() else checked
 
 
-@query("SELECT count(*) FILTER (WHERE quality = 1) AS hits, count(*) FILTER (WHERE quality = 0) AS misses, count(*) FILTER (WHERE toxic = 2) AS absorbed, count(*) FILTER (WHERE toxic = 3) AS skipped, round(count(*) FILTER (WHERE quality = 1) / nullif(count(*), 0), 4) AS related_recall FROM labels")
-def related_recall(spark, sf_dir):
-    return evaluate.related_recall(V.table(spark, sf_dir, "labels").select(F.when(F.col("quality") == 1, "hit").otherwise("miss").alias("outcome")))
-
-
 @query("SELECT vec_id, round(sqrt(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * x))), 6) AS norm, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])), 6) AS self FROM embeddings")
 def vector_norms(spark, sf_dir):
     return _vectors(spark, sf_dir).select("vec_id", F.round(VF.norm(F.col("embedding")), 6).alias("norm"), F.round(VF.cosine(F.col("embedding"), F.col("embedding")), 6).alias("self"))

@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-#: Documents as files of several formats with revisions of an id, in three batches, some titles and texts blank.
+#: Documents as files of several formats with three revisions of an id, in three batches, some titles and texts blank.
 BRONZE_DOCS = """
-SELECT concat('d', CAST(doc_id % 900 AS STRING)) AS doc_id,
+SELECT concat('d', CAST(CAST(floor(doc_id / 3) AS BIGINT) AS STRING)) AS doc_id,
   concat(source, '/', CAST(doc_id AS STRING), '.', CASE doc_id % 9 WHEN 0 THEN 'pdf' WHEN 1 THEN 'ppt' WHEN 2 THEN 'pptx' WHEN 3 THEN 'xls' WHEN 4 THEN 'xlsx'
     WHEN 5 THEN 'doc' WHEN 6 THEN 'docx' WHEN 7 THEN 'hwpx' ELSE 'hwp' END) AS rel_path,
   'text' AS doc_type, CASE WHEN doc_id % 5 = 0 THEN '  ' ELSE concat(' Title ', CAST(doc_id AS STRING), ' ') END AS title,
@@ -24,7 +24,7 @@ FROM documents
 
 #: Edges supplier -> part and customer -> order, with case and space variants, loops and several assertions of one edge.
 BRONZE_RELATIONS = """
-SELECT substring(SHA(concat(CAST(l_orderkey AS STRING), '|', CAST(l_linenumber AS STRING))), 1, 24) AS relation_id, concat('d', CAST(l_orderkey % 900 AS STRING)) AS doc_id,
+SELECT substring(SHA(concat(CAST(l_orderkey AS STRING), '|', CAST(l_linenumber AS STRING))), 1, 24) AS relation_id, concat('d', CAST(CAST(floor(l_orderkey / 40) AS BIGINT) AS STRING)) AS doc_id,
   concat('r/', CAST(l_orderkey AS STRING)) AS rel_path, CASE WHEN l_linenumber = 1 THEN concat(' Supplier-', CAST(l_suppkey AS STRING)) ELSE concat('supplier-', CAST(l_suppkey AS STRING)) END AS source_entity,
   CASE WHEN l_linenumber = 2 THEN ' ' ELSE 'module' END AS source_kind,
   CASE l_returnflag WHEN 'R' THEN 'supersedes' WHEN 'A' THEN 'depends_on' ELSE CASE l_linestatus WHEN 'O' THEN 'mentions' ELSE 'uses' END END AS relation,

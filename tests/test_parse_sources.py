@@ -44,14 +44,19 @@ def test_markdown_relations():
     assert {(r["relation"], r["target"]) for r in parse.markdown_relations("me", text)} == {("depends_on", "other-doc"), ("references", "page"), ("references", "file"), ("mentions", "name")}
 
 
-STATUTE = "제1장 총칙\n제1조(목적) 이 법은 목적을 정한다.\n제2조(정의) 필요한 사항은 대통령령으로 정한다.\n"
+STATUTE = "제1장 총칙\n제1조(목적) 이 영은 「가나다법」에서 위임된 사항을 정한다.\n제2조(정의) 「라마법」에 따른 사항은 대통령령으로 정한다.\n"
 
 
 def test_profiles():
     assert profiles.classify("x.txt", STATUTE) is profiles.STATUTE
     assert profiles.classify("x.txt", "의안번호 1\n제안이유\n" + STATUTE) is not profiles.STATUTE
-    assert [h for _, h in profiles.headings(profiles.STATUTE, STATUTE)] == ["제1장 총칙", "제1장 총칙 · 제1조(목적)", "제1장 총칙 · 제2조(정의)"]
-    assert [e["relation"] for e in profiles.profile_edges(profiles.STATUTE, "d", STATUTE)] == ["delegates_to"]
+    assert [h for _, h in profiles.headings(profiles.STATUTE, STATUTE)] == ["제1장 총칙", "제1조(목적)", "제2조(정의)"]
+    assert [(e["relation"], e["target"]) for e in profiles.profile_edges(profiles.STATUTE, "d", STATUTE)] == [("delegates_to", "가나다법")]
+    assert profiles.classify("x.txt", "## 제1조(목적)\n" + STATUTE) is None and profiles.classify("x.txt", "갑과 을은\n" + STATUTE) is None
+    bill = "의 안\r\n번 호 7\r\n제 안 이 유\r\n「가나법률」 일부를 개정\r\n주요내용\r\n「다라법」에 따라\r\n제1장 총칙\r\n제1조(목적) 목적\r\n부 칙 (2024)\r\n제1조(시행일) 날\r\n신·구조문대비표\r\n비용추계서\r\n"
+    assert profiles.classify("x.txt", bill) is profiles.BILL and profiles.classify("x.txt", "주 문\n" + bill) is None
+    assert [h for _, h in profiles.headings(profiles.BILL, bill)] == ["제안이유", "주요내용", "본칙", "본칙 · 제1조(목적)", "부칙", "부칙 · 제1조(시행일)", "신구조문대비표", "비용추계서"]
+    assert [(e["relation"], e["target"]) for e in profiles.profile_edges(profiles.BILL, "d", bill)] == [("amends", "가나법률"), ("references", "다라법")]
     parsed = parse.parse_document("a/x.txt", "x", STATUTE)
     assert parsed["doc_type"] == "statute" and parse.parse_document("a/x.txt", "x", "plain")["doc_type"] == "markdown"
 

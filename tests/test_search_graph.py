@@ -150,7 +150,7 @@ def test_grading(spark):
 
 def test_reports(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", 9.0), ("a", 2.0)], "k string, v double")
-    assert df.agg(reports.upper_median(F.col("v"))).first()[0] == 3.0
+    assert df.agg(reports.upper_median("v")).first()[0] == 3.0
     assert reports.only_in(df.select("v"), df.select("v")).count() == 0
     files = spark.createDataFrame([("c", "f", "abcd")], "collection string, filename string, sha256 string")
     assert reports.undeclared(files, spark.createDataFrame([("c", "f", "ab")], "collection string, filename string, sha256 string")).count() == 0
