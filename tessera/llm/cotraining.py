@@ -31,7 +31,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tessera.llm.byte_bpe import Memo, slices
 from tessera.llm.common import drop_staged, map_rows, staged
@@ -328,29 +327,27 @@ def candidate_features(docs: DataFrame, sample: list) -> np.ndarray:
     return np.sort(np.array([r["f"] for r in counts.orderBy(chi.desc(), "f").limit(CANDIDATES).collect()], dtype="i8"))
 
 
-def marked(docs: DataFrame, candidates: np.ndarray, carry: bool) -> DataFrame:
-    """doc_id, th, bits (which candidates the text holds), meta of every document; with carry its whole row too, in row."""
-
-    def marks(maker: TextFeatures, texts: list[str], langs: list, sources: list) -> tuple[list[bytes], list[list[float]]]:
-        bits, meta = [], []
-        for a, b in slices(texts):
-            bits += [r.tobytes() for r in np.packbits(held_features(maker.of(texts[a:b]), candidates), axis=1)]
-            meta += [layout(*r) for r in zip(texts[a:b], langs[a:b], sources[a:b], strict=True)]
-        return bits, meta
+def marked(docs: DataFrame, candidates: np.ndarray) -> DataFrame:
+    """doc_id, th, kind (hashes of text and of metadata columns), bits (which candidates the text holds), meta of every document."""
 
     def rows(batches):
         maker = TextFeatures(candidates)
         for batch in batches:
-            if batch.num_rows:
-                whole = batch.column("row") if carry else None
-                get = (lambda c: whole.field(c).to_pylist() if whole.type.get_field_index(c) >= 0 else [None] * len(whole)) if carry else lambda c: batch.column(c).to_pylist()  # noqa: B023
-                bits, meta = marks(maker, [t or "" for t in get("text")], *([None if v is None else str(v) for v in get(c)] for c in ("lang", "source")))
-                yield {c: batch.column(c) for c in batch.schema.names if c in ("doc_id", "th", "row")} | {"bits": bits, "meta": meta}
+            texts, langs, sources = (batch.column(c).to_pylist() for c in ("text", "lang", "source"))
+            for a, b in slices(texts):
+                bits = np.packbits(held_features(maker.of(texts[a:b]), candidates), axis=1)
+                yield {c: batch.column(c).slice(a, b - a) for c in KEY} | {"bits": [r.tobytes() for r in bits], "meta": [layout(*r) for r in zip(texts[a:b], langs[a:b], sources[a:b], strict=True)]}
+
+    return map_rows(_plain(docs).withColumns(_key(_plain(docs))), rows, "doc_id long, th long, kind long, bits binary, meta array<double>")
+
+
+#: What tells apart documents that may be scored differently.
+KEY = ("doc_id", "th", "kind")
+
 
-    th = F.xxhash64(F.coalesce("text", F.lit(""))).alias("th")
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), th, F.struct("*").alias("row")) if carry else _plain(docs).withColumn("th", th)
-    kind = T.StructType([*given.select(*([c for c in ("doc_id", "th", "row") if c in given.columns])).schema, T.StructField("bits", T.BinaryType()), T.StructField("meta", T.ArrayType(T.DoubleType()))])
-    return map_rows(given, rows, kind)
+def _key(docs: DataFrame) -> dict:
+    plain = lambda c: F.coalesce(_meta_col(docs, c), F.lit("\0"))
+    return {"doc_id": F.col("doc_id").cast("long"), "th": F.xxhash64(F.coalesce("text", F.lit(""))), "kind": F.xxhash64(plain("lang"), plain("source"))}
 
 
 def unpacked(bits: list[bytes], n: int) -> np.ndarray:
@@ -390,7 +387,8 @@ def confident(table: DataFrame, n: int, model: Model, turn: int, not_again: dict
     scored = table.filter("doc_id is not null").select("doc_id", "th", F.xxhash64("th", F.lit(turn)).alias("h"), "bits", "meta")
     few = map_rows(scored, rows, "h long, th long, doc_id long, receiver string, label int").groupBy("receiver", "label", "h", "th").agg(F.min("doc_id").alias("doc_id"))
     order = Window.partitionBy("receiver", "label").orderBy("h", "th")
-    picked = few.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= F.when(F.col("label") == 1, asked[0]).otherwise(asked[1]))
+    # the constant bound lets the ranked window drop rows before its shuffle
+    picked = few.withColumn("place", F.row_number().over(order)).filter(F.col("place") <= max(asked)).filter(F.col("place") <= F.when(F.col("label") == 1, asked[0]).otherwise(asked[1]))
     ids = [tuple(r) for r in picked.select("doc_id", "th", "receiver", "label").collect()]  # 2 * PER_ROUND rows at most
     chosen = table.sparkSession.createDataFrame(ids, "doc_id long, th long, receiver string, label int")
     got = table.select("doc_id", "th", "bits", "meta").join(F.broadcast(chosen), ["doc_id", "th"]).dropDuplicates(["th", "receiver"]).collect() if ids else []
@@ -402,13 +400,13 @@ def confident(table: DataFrame, n: int, model: Model, turn: int, not_again: dict
     return out
 
 
-def learned(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, rounds: int = ROUNDS, carry: bool = False) -> tuple[Model, DataFrame | None]:
+def learned(docs: DataFrame, labels: DataFrame, max_labelled: int = MAX_LABELLED, rounds: int = ROUNDS) -> tuple[Model, DataFrame | None]:
     """The model, and the stored marks of all documents that it was fitted with (None if nothing could be learned)."""
     sample = labelled_sample(docs, labels, max_labelled)
     candidates = candidate_features(docs, sample) if sample else np.zeros(0, dtype="i8")
     if not len(candidates):
         return Model(), None
-    table = staged(marked(docs, candidates, carry), "cotraining-marks")
+    table = staged(marked(docs, candidates), "cotraining-marks")
     wanted = docs.sparkSession.createDataFrame([(r["doc_id"],) for r in sample], "doc_id long")
     own = table.select("doc_id", "th", "bits", "meta").join(F.broadcast(wanted), "doc_id").groupBy("doc_id").agg(F.min_by(F.struct("th", "bits", "meta"), "th").alias("d"))
     got = {r["doc_id"]: r["d"] for r in own.collect()}  # max_labelled rows at most
@@ -466,17 +464,27 @@ SCORES = "doc_id long, p_text double, p_meta double, score double, kept boolean"
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs, with all their columns, that the classifier fitted on them keeps."""
-    model, table = learned(docs, labels, carry=True)
+    """The rows of docs, with all their columns, that the classifier fitted on them keeps.
+
+    Texts are read for marks once; then the few rejected keys are joined away, by a merge join at every size, so that nothing
+    that grows is broadcast.
+    """
+    model, table = learned(docs, labels)
     if table is None:
         return docs
 
-    @F.arrow_udf("double")
-    def combined(bits: pa.Array, meta: pa.Array) -> pa.Array:
-        x, m = unpacked(bits.to_pylist(), model.n_candidates), meta.flatten().to_numpy(zero_copy_only=False).reshape(len(meta), -1)
-        return pa.array(model.combined(model.text.log_odds(x[:, model.chosen]), model.meta.log_odds(m)))
-
-    return table.filter(combined("bits", "meta") >= model.threshold).select("row.*")
+    def rejected(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x, meta = _of_batch(batch, model.n_candidates)
+                bad = model.combined(model.text.log_odds(x[:, model.chosen]), model.meta.log_odds(meta)) < model.threshold
+                yield {c: batch.column(c).filter(pa.array(bad)) for c in KEY}
+
+    bad = staged(map_rows(table, rejected, "doc_id long, th long, kind long").distinct(), "cotraining-rejected").alias("bad")
+    drop_staged(table)
+    rows = docs.select(F.struct("*").alias("row"), *[c.alias(n) for n, c in _key(docs).items()]).alias("doc")
+    same = [F.col(f"doc.{c}").eqNullSafe(F.col(f"bad.{c}")) for c in KEY]
+    return rows.join(bad.hint("merge"), same, "left_anti").select("row.*")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -238,8 +238,9 @@ def standing(docs: DataFrame, group: Callable[[DataFrame], DataFrame]) -> DataFr
     stay = staged(leads.groupBy(F.coalesce("doc_id", none).alias("id"), "th").agg(F.count("*").alias("n")), "simhash-stay")
     drop_staged(found)
     marked = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("doc_id").cast("long"), none).alias("id"), F.xxhash64(text).alias("th"))
-    kept = marked.join(stay.filter("n = 1").select("id", "th"), ["id", "th"], "left_semi").select("row")
+    # a merge join at every size: the same plan for small and large inputs, and nothing that grows is broadcast
+    kept = marked.join(stay.filter("n = 1").select("id", "th").hint("merge"), ["id", "th"], "left_semi").select("row")
     if stay.filter("n > 1").limit(1).count():
-        repeated = marked.join(stay.filter("n > 1").select("id", "th"), ["id", "th"], "left_semi").withColumn("h", F.xxhash64("row"))
+        repeated = marked.join(stay.filter("n > 1").select("id", "th").hint("merge"), ["id", "th"], "left_semi").withColumn("h", F.xxhash64("row"))
         kept = kept.unionAll(repeated.groupBy("id", "th").agg(F.min_by("row", "h").alias("row")).select("row"))
     return kept.select("row.*")

@@ -204,7 +204,7 @@ def test_exchange_equals_brute_force(spark, labelled):
     docs = docs.unionAll(docs.limit(40))
     sample = cotraining.labelled_sample(docs, known, 400)
     candidates = cotraining.candidate_features(docs, sample)
-    table = cotraining.marked(docs, candidates, False).cache()
+    table = cotraining.marked(docs, candidates).cache()
     all_rows = table.withColumns({f"h{k}": F.xxhash64("th", F.lit(k)) for k in range(3)}).collect()
     x, meta = cotraining.unpacked([r.bits for r in all_rows], len(candidates)), np.array([r.meta for r in all_rows])
     keys, hashes = np.array([r.th for r in all_rows]), np.array([[r[f"h{k}"] for r in all_rows] for k in range(3)])
@@ -229,8 +229,8 @@ def test_exchange_equals_brute_force(spark, labelled):
 
 def test_long_texts_and_clashing_columns(spark, labelled):
     docs, known, _ = labelled
-    odd = docs.withColumns({"row": F.lit(1), "bits": F.lit("mine"), "th": F.lit(2.5), "score": F.lit(None).cast("int")})
-    long = spark.createDataFrame([(10_000_000, "quite long words " * 200_000, None, None, 1, "mine", 2.5, None), (None, None, None, None, 1, "mine", 2.5, None)], odd.schema)
+    odd = docs.withColumns({"row": F.lit(1), "kind": F.lit(3), "bits": F.lit("mine"), "th": F.lit(2.5), "score": F.lit(None).cast("int")})
+    long = spark.createDataFrame([(10_000_000, "quite long words " * 200_000, None, None, 1, 3, "mine", 2.5, None), (None, None, None, None, 1, 3, "mine", 2.5, None)], odd.schema)
     kept = cotraining.keep_good(odd.unionAll(long), known)
     assert kept.columns == odd.columns and kept.filter("bits <> 'mine' or row <> 1 or th <> 2.5 or score is not null").count() == 0
     assert 0 < kept.count() <= odd.count() + 2
