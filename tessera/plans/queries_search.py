@@ -57,8 +57,14 @@ scored AS (SELECT query_id, chunk_id, round(sum(greatest(ln((n - df + 0.5) / (df
 
 
 def posts_of(spark, sf_dir):
-    """Postings of all chunks, sorted by term; written once, read by every query."""
-    return built_once(spark, sf_dir, "postings", lambda: search.postings(line_chunks(spark, sf_dir), T.index_terms(F.col("content"))).repartitionByRange("term").sortWithinPartitions("term", "chunk_id"))
+    """Postings of all chunks, sorted by term over all executors; written once, read by every query. They are stored before
+    they are sorted, as a range partitioning reads its input twice."""
+
+    def build():
+        plain = built_once(spark, sf_dir, "postings-unsorted", lambda: search.postings(line_chunks(spark, sf_dir), T.index_terms(F.col("content"))))
+        return plain.repartitionByRange("term", "chunk_id").sortWithinPartitions("term", "chunk_id")
+
+    return built_once(spark, sf_dir, "postings", build)
 
 
 def totals_of(spark, sf_dir):
