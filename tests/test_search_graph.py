@@ -154,3 +154,31 @@ def test_reports(spark):
     assert reports.only_in(df.select("v"), df.select("v")).count() == 0
     files = spark.createDataFrame([("c", "f", "abcd")], "collection string, filename string, sha256 string")
     assert reports.undeclared(files, spark.createDataFrame([("c", "f", "ab")], "collection string, filename string, sha256 string")).count() == 0
+
+
+@pytest.mark.parametrize("most", [10_000_000, 40, 8])
+def test_nearest_of_many_queries(spark, most):
+    """Queries held by every task, and dealt in blocks against blocks of vectors, find what brute force finds, ties by id."""
+    import numpy as np
+
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 3, size=(60, 4)).astype(float)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    asked = df.filter("vec_id % 5 = 0").select(F.col("vec_id").alias("query_id"), "embedding")
+    want = set()
+    for i in range(0, 60, 5):
+        d = [(round(float(np.sqrt(((x[i] - v) ** 2).sum())), 6), j) for j, v in enumerate(x)]
+        want |= {(i, j, dist, k) for k, (dist, j) in enumerate(sorted(d)[:7], 1)}
+    got = search.knn_batch(df.repartition(3), asked, 7, most=most).select("query_id", "vec_id", "distance", "rank").collect()
+    assert {tuple(r) for r in got} == want
+    assert search.knn_batch(df, asked.limit(0), 7, most=most).count() == 0 == search.knn_batch(df.limit(0), asked, 7, most=most).count()
+
+
+def test_strides_and_derived_cache(spark):
+    keys = spark.createDataFrame([(f"k{i:03d}", i) for i in range(100)], "embed_key string, n int").repartition(5)
+    assert sorted((r.place, r.n) for r in cache.every(keys, "embed_key", 9).collect()) == [(k, k) for k in range(0, 100, 9)]
+    chunks = spark.createDataFrame([(1, "same"), (2, "same"), (3, "other")], "chunk_id long, embed_text string")
+    vectors = lambda last: spark.createDataFrame([(1, [1.0]), (2, [last]), (3, [2.0])], "chunk_id long, embedding array<float>")
+    assert cache.from_index(vectors(1.0), chunks, "s").count() == 2
+    with pytest.raises(Exception, match="two vectors"):
+        cache.from_index(vectors(3.0), chunks, "s").collect()
