@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera import constants as C
 from tessera.functions import text as T
+from tessera.operators import search
 from tessera.operators.layers import first_by
 
 
@@ -102,8 +103,31 @@ def diagnostics(edges: DataFrame, seeds: DataFrame, documents: DataFrame, cap: i
     return one.withColumn("reason", reason)
 
 
+def connective_hits(index, related_docs: DataFrame, depth: int = C.SCOPED_CANDIDATES) -> DataFrame:
+    """chunk_id, rank of a related document's own chunks among the best chunks for its connectives."""
+    asked = related_docs.select(F.col("doc").alias("query_id"), F.explode(T.query_terms(F.array_join("connectives", "\n"))).alias("term"))
+    hits = search.top(search.bm25(index.posts, asked, totals=index.totals), depth, [F.desc("score"), F.asc("chunk_id")], ["query_id"])
+    own = index.chunks.select("chunk_id", "doc_id").join(F.broadcast(hits), "chunk_id")  # hits: at most depth for each of few documents
+    return own.filter(F.col("doc_id") == F.col("query_id")).select("chunk_id", "rank")
+
+
+def _held(rows: DataFrame) -> DataFrame:
+    """A top-k result held by the driver, so that plans that name it several times do not search again."""
+    return rows.sparkSession.createDataFrame(rows.collect(), rows.schema)
+
+
 def graph_search(index, edges: DataFrame, documents: DataFrame, variants, limit: int = C.LIMIT, seed_limit: int = C.LIMIT, depth: int = 1, **options) -> tuple[DataFrame, DataFrame]:
     """(results, related): results are those of the plain search, the related documents stay apart."""
-    found = index.search(variants, max(limit, seed_limit), **options)
-    seeds = found.filter(F.col("rank") <= seed_limit).select("doc_id").distinct()
-    return found.filter(F.col("rank") <= limit), related(edges, seeds, documents, depth)
+    found = _held(index.search(variants, max(limit, seed_limit), **options))
+    rank = F.col("final_rank" if "final_rank" in found.columns else "rank")
+    seeds = found.filter(rank <= seed_limit).select("doc_id").distinct()
+    return found.filter(rank <= limit), _held(related(edges, seeds, documents, depth))
+
+
+def ask(index, edges: DataFrame, documents: DataFrame, variants, depth: int = 1, retrieved: int = C.SCOPED_CANDIDATES, **options) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(results, related, passages) of a question: the plain search, the documents related to what it found, and the
+    passages that stand for them, for which the first wording is retrieved again to a greater depth without a section cap."""
+    results, near = graph_search(index, edges, documents, variants, depth=depth, **options)
+    terms, vector = variants[0]
+    deep = index.search_once(terms, vector, retrieved, retrieved, retrieved).select("chunk_id", F.col("position").alias("rank"))
+    return results, near, passages(near, index.chunks, deep, connective_hits(index, near), terms)

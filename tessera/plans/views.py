@@ -47,6 +47,14 @@ SELECT concat('doc', CAST(l_suppkey AS STRING)) AS source_id, concat('part', CAS
 UNION ALL SELECT concat('doc', CAST(s_suppkey AS STRING)), concat('doc', CAST(s_suppkey % 7 AS STRING)), 'references', CAST(0.5 AS DOUBLE), s_name FROM supplier WHERE s_suppkey % 11 = 0 AND s_suppkey % 7 <> s_suppkey
 """
 
+#: Documents that share a term (three to a term) or a shelf (four to a shelf, which names them), and that refer to an earlier one.
+DOCUMENT_EDGES = """
+SELECT concat('d', CAST(doc_id AS STRING)) AS source_id, concat('term', CAST(CAST(floor(doc_id / 3) AS BIGINT) AS STRING)) AS target_id, 'uses' AS relation,
+  CAST(CASE WHEN doc_id % 2 = 0 THEN 0.8 ELSE 0.5 END AS DOUBLE) AS weight, split_part(text, ' ', 3) AS evidence FROM documents
+UNION ALL SELECT concat('shelf', CAST(CAST(floor(doc_id / 4) AS BIGINT) AS STRING)), concat('d', CAST(doc_id AS STRING)), 'defines', CAST(0.8 AS DOUBLE), split_part(text, ' ', 5) FROM documents
+UNION ALL SELECT concat('d', CAST(doc_id AS STRING)), concat('d', CAST(doc_id - 7 AS STRING)), 'references', CAST(0.5 AS DOUBLE), source FROM documents
+"""
+
 #: Chunks of four lines with a heading for each four chunks.
 CHUNK_LINES, CHUNKS_A_SECTION = 4, 4
 
