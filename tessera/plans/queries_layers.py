@@ -184,9 +184,13 @@ def twin_candidates(spark, sf_dir):
     return twins.candidates(twins.prepared(V.view(spark, sf_dir, TWIN_DOCS)))
 
 
-@query()
+@query(f"""{TWINS_SQL}, sh AS (SELECT DISTINCT doc_id, substring(norm, i, 10) AS s FROM (SELECT doc_id, norm, unnest(range(1, length(norm) - 8)) AS i FROM r)), n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+c AS (SELECT a, b, c FROM p JOIN (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM sh x JOIN sh y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY 1, 2) USING (a, b)),
+j AS (SELECT a, b, c / (na.n + nb.n - c) AS jaccard FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE c / (na.n + nb.n - c) >= {C.TWIN_JACCARD}),
+w AS (SELECT CASE WHEN stays THEN b ELSE a END AS doc_id, CASE WHEN stays THEN a ELSE b END AS superseded_by, jaccard FROM (SELECT j.*, ra.priority > rb.priority AS stays FROM j JOIN r ra ON ra.doc_id = a JOIN r rb ON rb.doc_id = b))
+SELECT doc_id, superseded_by, round(jaccard, 6) AS jaccard FROM w QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY w.jaccard DESC, superseded_by) = 1""")
 def twins_superseded(spark, sf_dir):
-    """Twins among the texts of each source's documents; exact similarity, held to brute force on a small fixture."""
+    """Twins among the texts of each source's documents, by exact similarity."""
     return twins.superseded(V.view(spark, sf_dir, TWIN_DOCS)).withColumn("jaccard", F.round("jaccard", 6))
 
 

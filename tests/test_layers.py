@@ -59,6 +59,16 @@ def test_twins_by_brute_force(spark):
     assert got == expected and "swap" in got
 
 
+def test_copies_of_one_text_yield_to_the_least_id_of_a_better_format(spark):
+    text, other = "".join(sentence(k) for k in range(60)), "".join(sentence(k) for k in range(100, 160))
+    near = text.replace("item", "itym", 1)
+    rows = [("a1", "x/a1.pdf", text), ("a2", "x/a2.pdf", text), ("a3", "x/a3.docx", text), ("a4", "x/a4.docx", text), ("b1", "x/b1.hwp", near)]
+    rows += [("c1", "x/c1.aaa", other), ("c2", "x/c2.bbb", other), ("c3", "x/c3.aaa", other), ("e", "x/e.pdf", None), ("f", "x/f.hwp", "")]
+    docs = spark.createDataFrame(rows, "doc_id string, rel_path string, content string")
+    got = {r.doc_id: (r.superseded_by, r.jaccard == 1.0) for r in twins.superseded(docs).collect()}
+    assert got == {"a1": ("a3", True), "a2": ("a3", True), "a3": ("b1", False), "a4": ("b1", False), "c2": ("c1", True), "c3": ("c2", True)}
+
+
 def test_divergence(spark):
     df = spark.createDataFrame([("ab  c", "ab c"), ("abc", "abd"), ("ab", "abc")], "text_a string, text_b string")
     assert [(r.same, r.first_difference) for r in twins.divergence(df).collect()] == [(True, None), (False, 3), (False, 3)]
