@@ -32,3 +32,10 @@ def built_once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[],
         build().write.parquet(path)
         _BUILT[key] = path
     return spark.read.parquet(_BUILT[key])
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows written to the shared folder and reread: what follows in one query does not compute them again."""
+    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
