@@ -1,10 +1,11 @@
-"""Registered queries of parsing, extraction, sinks and streaming: not expressible in SQL, held to unit tests."""
+"""Registered queries of parsing, extraction, sinks and streaming; those without SQL are held to unit tests."""
 
 from __future__ import annotations
 
 import io
 import zipfile
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tessera.functions import text as T
@@ -68,22 +69,26 @@ def vector_cache_reuse(spark, sf_dir):
     return found.select("item_id", "embed_key", F.size("embedding").alias("dim"))
 
 
-@query
+@query_sql("SELECT printf('b/%04d.docx', item_id) AS rel_path, CASE WHEN item_id % 5 = 0 THEN 0 ELSE length(array_to_string(list_filter(string_split(text, chr(10)), lambda x: trim(x) <> ''), chr(10))) END AS n_chars, CASE WHEN item_id % 5 = 0 THEN 'corrupt' ELSE '' END AS error FROM benchmark")
 def extract_text(spark, sf_dir):
     """Benchmark texts packed as word-processor files and read back; every fifth file is damaged."""
 
-    def packed(n: int, text: str) -> bytes:
+    def packed(n: int, text: str | None) -> bytes:
         if n % 5 == 0:
             return b"no package"
         out = io.BytesIO()
         with zipfile.ZipFile(out, "w") as z:
-            body = "".join(f"<w:p><w:r><w:t>{line}</w:t></w:r></w:p>" for line in text.replace("&", "&amp;").replace("<", "&lt;").split("\n"))
+            body = "".join(f"<w:p><w:r><w:t>{line}</w:t></w:r></w:p>" for line in (text or "").replace("&", "&amp;").replace("<", "&lt;").split("\n"))
             z.writestr("word/document.xml", f'<w:document xmlns:w="urn:w"><w:body>{body}</w:body></w:document>')
         return out.getvalue()
 
-    pack = F.udf(packed, "binary")
-    rows = V.table(spark, sf_dir, "benchmark").select(F.format_string("b/%04d.docx", "item_id").alias("rel_path"), pack(F.col("item_id"), F.col("text")).alias("content"))
-    return extract.extracted(rows).select("rel_path", F.length("text").alias("n_chars"), "error")
+    def run(batches):
+        for batch in batches:
+            ids, texts = (c.to_pylist() for c in batch.columns)
+            yield pa.RecordBatch.from_arrays([pa.array([f"b/{n:04d}.docx" for n in ids], pa.string()), pa.array([packed(n, t) for n, t in zip(ids, texts, strict=True)], pa.binary())], names=["rel_path", "content"])
+
+    rows = V.table(spark, sf_dir, "benchmark").select("item_id", "text").mapInArrow(run, "rel_path string, content binary")
+    return extract.extracted(rows).select("rel_path", F.coalesce(F.length("text"), F.lit(0)).cast("long").alias("n_chars"), F.coalesce("error", F.lit("")).alias("error"))
 
 
 @query
