@@ -109,6 +109,21 @@ def test_passages(spark, index):
     assert got[("d0", "c1")] == "query_match" and got[("d1", "c4")] == "lexical_overlap"
 
 
+@pytest.mark.parametrize("options", [{}, {"reranked": True}])
+def test_ask_leaves_the_results_alone(spark, index, options):
+    edges = spark.createDataFrame([("d0", "term", "uses", 0.8, "pears"), ("d1", "term", "uses", 0.5, "apples")], "source_id string, target_id string, relation string, weight double, evidence string")
+    documents = spark.createDataFrame([("d0",), ("d1",)], "doc string")
+    variants = [(["nothing"], [2.0, 1.0])]
+    plain = index.search(variants, 5, **options).collect()
+    results, related, passages = graph_rag.ask(index, edges, documents, variants, **options)
+    assert results.collect() == plain and {r.doc_id for r in plain} == {"d0", "d1"}
+    assert related.count() == 0 and passages.count() == 0  # both documents are results already
+    results, related = graph_rag.graph_search(index, edges, documents, variants, limit=1, seed_limit=1, **options)
+    assert results.collect() == plain[:1]
+    other = "d1" if plain[0].doc_id == "d0" else "d0"
+    assert [(r.doc, r.score) for r in related.collect()] == [(other, 0.25)]
+
+
 def test_metrics_and_floors(spark):
     ranked = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 7)], "query_id int, item string, rank int")
     relevant = spark.createDataFrame([(1, "b"), (2, "c"), (3, "z")], "query_id int, item string")
