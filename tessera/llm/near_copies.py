@@ -1,11 +1,16 @@
-"""Near copies by the exact Jaccard similarity of their word shingles.
+"""Near copies by SimHash with pivot distance tables, decided on the exact Jaccard similarity of word shingles.
 
-A text counts as the set of its shingles. Texts of one set are merged first. Candidates share a block: BANDS keys of ROWS minima
-each of the set's hashes under fixed permutations (two sets of similarity 0.8 share none of them with a chance of 3 in a
-million, more similar ones with less), and the SimHash fingerprint of the set without any one of its four bands. Blocks
-only propose: inside a block every pair that is not yet connected is held to its exact similarity. Blocks of the same members
-are compared once. Blocks of more than TILE members are cut into tiles by size of set and compared tile by tile in separate
-tasks, leaving out tiles whose sizes alone rule the similarity out. Tasks return a spanning forest of the links they verify.
+A text counts as the set of its shingles. Texts of one set are merged first. Each set gets SEEDS SimHash fingerprints of 64 bits:
+the first votes over the XXH64 values as in ``simhash``, the others over values mixed from them. Every fingerprint deals its set
+out under its bands of 16 bits. Inside a block the distances to the pivots, as in ``simhash``, discard pairs of that fingerprint
+that differ in more than RADIUS bits (a fifth of 64), the bits themselves decide what is left, and the sets that such pairs connect
+are proposed together. Two sets of similarity 0.8 are in no proposal with a chance of 2 to 8 in a million, more similar ones
+with less. Votes of few shingles scatter more: sets of at most SMALL are dealt out under bands of 12 bits.
+
+Fingerprints only propose: every pair of a proposal that is not yet connected is held to its exact similarity. Proposals of the
+same members are compared once. Blocks of more than 4 TILE and proposals of more than TILE members are cut into tiles, by distance from the
+first pivot and by size of set, and compared tile by tile in separate tasks, leaving out tiles too far apart. Tasks return a spanning
+forest of the links they verify.
 
 Defined cases: words are as in ``simhash``; fewer words than a shingle count as one shingle; texts without words are one set;
 null ids as in ``simhash``.
@@ -26,32 +31,39 @@ from tessera.llm.common import drop_staged, map_rows, staged
 WIDTH = 5
 #: Least similarity, as a fraction of whole numbers.
 SIMILARITY = (4, 5)
-BANDS, ROWS = 24, 4
+SEEDS = 44
+#: Bits in which the fingerprints of a proposed pair differ at most.
+RADIUS = 12
+#: Up to this size sets have bands of 12 bits; from 4/5 of it on (no smaller set can be similar to a larger one) bands of 16.
+SMALL = 32
 TILE = 512
 #: Sizes of sets of one cell and the next; wider than the similarity allows.
 CELL = 1.3
+#: Rows of blocks compared at once.
+ROWS = 50_000
 _RNG = np.random.default_rng(80)
-_XOR = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype="u8")
-_TIMES = _RNG.integers(0, 1 << 63, BANDS * ROWS, dtype="u8") * np.uint64(2) + np.uint64(1)
-_MASKS = [((1 << 64) - 1) ^ (0xFFFF << 16 * k) for k in range(4)]
-
+_XOR = _RNG.integers(0, 1 << 63, SEEDS - 1, dtype="u8")
+_TIMES = _RNG.integers(0, 1 << 63, SEEDS - 1, dtype="u8") * np.uint64(2) + np.uint64(1)
+_MIX = np.uint64(0x9E3779B97F4A7C15)
 
-def digest(data: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(data, digest_size=8).digest(), "little", signed=True)
 
-
-def keys(found: np.ndarray) -> list[int]:
-    """Block keys of a set of shingle hashes."""
+def prints(found: np.ndarray) -> np.ndarray:
+    """The SimHash fingerprints of a set of shingle hashes; none of the empty set."""
     if not len(found):
-        return []
-    least = np.concatenate([((found ^ x) * m).min(axis=1) for x, m in zip(np.split(_XOR[:, None], ROWS), np.split(_TIMES[:, None], ROWS), strict=True)])
-    bands = [digest(bytes([k]) + least[k::BANDS].tobytes()) for k in range(BANDS)]
-    fp = simhash.voted(found)
-    return bands + [digest(bytes([BANDS + k]) + (fp & m).to_bytes(8, "little")) for k, m in enumerate(_MASKS)]
+        return np.zeros(0, dtype="u8")
+    votes = np.zeros(64 * SEEDS, dtype="i8")
+    for at in range(0, len(found), 255):  # as many votes as a byte counts
+        part = found[at : at + 255, None]
+        mixed = (part ^ _XOR) * _TIMES
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= _MIX
+        mixed ^= mixed >> np.uint64(29)
+        votes += np.unpackbits(np.hstack([part, mixed]).view("u1"), axis=1, bitorder="little").sum(axis=0, dtype="u1")
+    return np.packbits(2 * votes > len(found), bitorder="little").view("u8")
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, th (hash of the text), fp (a struct of two hashes of the text's set of shingles), size and keys of (doc_id, text)."""
+    """doc_id, th (hash of the text), fp (a struct of two hashes of the text's set of shingles), size and prints of (doc_id, text)."""
 
     def rows(batches):
         for batch in batches:
@@ -61,11 +73,11 @@ def sketches(docs: DataFrame) -> DataFrame:
                 for text in texts[a:b]:
                     found = np.unique(simhash.shingle_hashes(text, WIDTH))
                     whole = hashlib.blake2b(found.tobytes(), digest_size=16).digest()
-                    out.append((*np.frombuffer(whole, dtype="i8").tolist(), len(found), keys(found)))
-                yield {"doc_id": ids[a:b], "th": th.slice(a, b - a)} | dict(zip(("f0", "f1", "size", "keys"), zip(*out, strict=True), strict=True))
+                    out.append((*np.frombuffer(whole, dtype="i8").tolist(), len(found), prints(found).view("i8")))
+                yield {"doc_id": ids[a:b], "th": th.slice(a, b - a)} | dict(zip(("f0", "f1", "size", "prints"), zip(*out, strict=True), strict=True))
 
-    marked = map_rows(docs.select("doc_id", "text", F.xxhash64("text").alias("th")), rows, "doc_id long, th long, f0 long, f1 long, size int, keys array<long>")
-    return marked.select("doc_id", "th", F.struct("f0", "f1").alias("fp"), "size", "keys")
+    marked = map_rows(docs.select("doc_id", "text", F.xxhash64("text").alias("th")), rows, "doc_id long, th long, f0 long, f1 long, size int, prints array<long>")
+    return marked.select("doc_id", "th", F.struct("f0", "f1").alias("fp"), "size", "prints")
 
 
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
@@ -90,18 +102,72 @@ def block_links(sets: list[np.ndarray], side: list[int]) -> list[tuple[int, int]
     return out
 
 
+def dealt_out(classes: DataFrame) -> DataFrame:
+    """key (of a block), th, f (the fingerprint of the block's seed) of classes (th, size, prints)."""
+    wide, narrow = [[F.lit(16 * k + n) * 65536 + F.shiftrightunsigned("f", bits * k).bitwiseAND(F.lit((1 << bits) - 1)) for k in range(64 // bits)] for n, bits in ((0, 16), (8, 12))]
+    none = F.array().cast("array<long>")
+    up, down = SIMILARITY[0] * SMALL, SIMILARITY[1]
+    bands = F.concat(F.when(down * F.col("size") >= up, F.array(*wide)).otherwise(none), F.when(F.col("size") <= SMALL, F.array(*narrow)).otherwise(none))
+    seeds = classes.select("th", "size", F.posexplode("prints").alias("seed", "f"))
+    return seeds.select("seed", "th", "f", F.explode(bands).alias("band")).select((F.col("seed") * F.lit(1 << 24) + F.col("band")).alias("key"), "th", "f")
+
+
+def proposals(classes: DataFrame, tile: int = TILE) -> DataFrame:
+    """key, th: the sets that fingerprints within the radius connect inside one block."""
+    dealt = dealt_out(classes)
+    # at most one of tile rows is such a key, of which a row is 16 bytes
+    crowded = staged(dealt.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > tile), "copies-crowded")
+    small = dealt.join(F.broadcast(crowded), "key", "left_anti").select("key", "th", "f", F.lit(0).alias("side"))
+    large = dealt.join(F.broadcast(crowded), "key").withColumn("d0", F.bit_count(F.col("f").bitwiseXOR(F.lit(int(simhash.PIVOTS[:1].view("i8")[0])))))
+    large = simhash.tiled(large.withColumn("fp", F.col("th")), RADIUS, tile, "th", "f").select("key", "th", "f", "side")
+    found = staged(_proposed(small).unionAll(_proposed(large)), "copies-proposals")
+    drop_staged(crowded)
+    return found
+
+
+def _proposed(dealt: DataFrame) -> DataFrame:
+    def rows(batches):
+        held, n = [], 0
+        for batch in batches:
+            held.append(np.stack([batch.column(c).to_numpy().astype("i8") for c in ("key", "side", "th", "f")]))
+            n += batch.num_rows
+            if n >= ROWS:
+                block = np.concatenate(held, axis=1)
+                last = np.searchsorted(block[0], block[0, -1], "left")  # the last block may go on in the next batch
+                yield from propose(block[:, :last])
+                held, n = [block[:, last:]], 0
+        if held:
+            yield from propose(np.concatenate(held, axis=1))
+
+    def propose(block: np.ndarray):
+        key, side, th, f = block
+        pairs = simhash.block_links(f.view("u8")[None, :], key, side, (RADIUS,)) if len(key) > 1 else ()
+        if len(pairs):
+            members = np.unique(pairs)
+            at = {m: k for k, m in enumerate(members.tolist())}
+            forest = simhash.Forest(len(members))
+            for i, j in pairs.tolist():
+                forest.join(at[i], at[j])
+            root = members[[forest.find(k) for k in range(len(members))]]
+            yield {"key": key[members], "root": th[root], "th": th[members]}
+
+    found = map_rows(dealt.repartition("key").sortWithinPartitions("key"), rows, "key long, root long, th long")
+    return found.select(F.xxhash64("key", "root").alias("key"), "th")
+
+
 def links(docs: DataFrame, classes: DataFrame, tile: int = TILE) -> DataFrame:
-    """Links (a, b) between the fp of classes (fp, th, size, keys); connected as all links are. docs has the texts."""
-    dealt = classes.select("fp", "th", F.floor(F.log("size") / float(np.log(CELL))).cast("int").alias("d0"), F.explode("keys").alias("key"))
-    blocks = dealt.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor("fp.f0").alias("x0"), F.bit_xor("fp.f1").alias("x1")).filter("n > 1")
+    """Links (a, b) between the fp of classes (fp, th, size, prints); connected as all links are. docs has the texts."""
+    proposed = proposals(classes, 4 * tile)  # fingerprints are compared faster than texts
+    blocks = proposed.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor("th").alias("x0"), F.bit_xor(F.xxhash64("th")).alias("x1"))
     shared = staged(blocks.groupBy("n", "x0", "x1").agg(F.min("key").alias("key")).select("key", "n"), "copies-blocks")
-    members = staged(dealt.join(shared, "key"), "copies-members")
+    sets = classes.select("fp", "th", F.floor(F.log("size") / float(np.log(CELL))).cast("int").alias("d0"))
+    members = staged(proposed.join(shared.hint("merge"), "key").join(sets.hint("merge"), "th"), "copies-members")
     texts = docs.withColumn("th", F.xxhash64("text")).join(members.select("th").distinct().hint("merge"), "th", "left_semi")
     texts = staged(texts.groupBy("th").agg(F.first("text").alias("text")), "copies-texts")
     small = members.filter(F.col("n") <= tile).select("key", "fp", "th", F.lit(0).alias("side"))
     large = simhash.tiled(members.filter(F.col("n") > tile), 1, tile, "th")
     found = staged(_compared(small.unionAll(large).join(texts.hint("merge"), "th")).distinct(), "copies-links")
-    for done in (shared, members, texts):
+    for done in (proposed, shared, members, texts):
         drop_staged(done)
     return found
 
@@ -132,7 +198,7 @@ def _compared(rows_: DataFrame) -> DataFrame:
 def near_copies(docs: DataFrame, tile: int = TILE) -> DataFrame:
     """doc_id, th, fp, component_id, first of (doc_id, text), as ``simhash.near_duplicates`` has them."""
     marked = staged(sketches(docs), "copies-sketches")
-    classes = staged(marked.groupBy("fp").agg(F.min("th").alias("th"), F.first("size").alias("size"), F.first("keys").alias("keys")), "copies-classes")
+    classes = staged(marked.groupBy("fp").agg(F.min("th").alias("th"), F.first("size").alias("size"), F.first("prints").alias("prints")), "copies-classes")
     return simhash.grouped(marked.select("doc_id", "th", "fp"), lambda _: links(docs.select("text"), classes, tile))
 
 

@@ -145,6 +145,47 @@ def test_near_copies_lose_no_pair(spark, tile):
     assert 20 < len(members) < len(rows) - 20
 
 
+def test_fingerprints_of_a_set_of_shingles():
+    for text in ["One", "One two three four five six", "a b c d e f " * 3, " ".join(f"w{i}" for i in range(900))]:
+        found = np.unique(simhash.shingle_hashes(text, 5))
+        got = near_copies.prints(found)
+        assert len(got) == near_copies.SEEDS and got[0] == simhash.voted(found)
+        for k in (0, near_copies.SEEDS - 2):
+            mixed = [(int(h) ^ int(near_copies._XOR[k])) * int(near_copies._TIMES[k]) % 2**64 for h in found]
+            mixed = [(h ^ h >> 32) * int(near_copies._MIX) % 2**64 for h in mixed]
+            assert got[k + 1] == simhash.voted(np.array([h ^ h >> 29 for h in mixed], dtype="u8"))
+    assert not len(near_copies.prints(np.zeros(0, "u8")))
+
+
+@pytest.mark.parametrize("tile", [512, 3])
+def test_fingerprints_propose(spark, tile):
+    """Proposed together: what shares a band of some fingerprint and is connected by pairs within its radius."""
+    same = [" ".join(["shared"] * k + [f"w{i}" for i in range(70)]) for k in range(1, 9)]
+    sets = {k: np.unique(simhash.shingle_hashes(t, 5)) for k, t in enumerate(dict.fromkeys([*block_edits(20), *same, ""]))}
+    fps = {k: near_copies.prints(s).tolist() for k, s in sets.items()}
+    blocks: dict = {}
+    for k, s in sets.items():
+        for bits in [16] * (5 * len(s) >= 4 * near_copies.SMALL) + [12] * (len(s) <= near_copies.SMALL):
+            for seed, f in enumerate(fps[k]):
+                for band in range(64 // bits):
+                    blocks.setdefault((bits, seed, band, f >> bits * band & (1 << bits) - 1), []).append(k)
+    want, linked = set(), set()
+    for (_, seed, *_), ids in blocks.items():
+        near = [(a, b) for b in ids for a in ids if a < b and (fps[a][seed] ^ fps[b][seed]).bit_count() <= near_copies.RADIUS]
+        top = groups(ids, near)
+        linked.update(near)
+        want.update(tuple(k for k in ids if top[k] == root) for root in set(top.values()))
+    rows = [(k, len(s), np.array(fps[k], "u8").view("i8").tolist()) for k, s in sets.items()]
+    got: dict = {}
+    for r in near_copies.proposals(spark.createDataFrame(rows, "th long, size int, prints array<long>"), tile).collect():
+        got.setdefault(r.key, []).append(r.th)
+    assert linked and len(linked) < len(rows) ** 2 / 10
+    if tile == 512:
+        assert {tuple(sorted(g)) for g in got.values()} == {w for w in want if len(w) > 1}
+    top = groups(sets, [(g[0], x) for g in got.values() for x in g])
+    assert all(top[a] == top[b] for a, b in linked)
+
+
 def test_near_duplicate_stage_finds_block_edits(spark):
     import corpus_pipeline
 
