@@ -7,10 +7,13 @@ that differ in more than RADIUS bits (a fifth of 64), the bits themselves decide
 are proposed together. Two sets of similarity 0.8 are in no proposal with a chance of 2 to 8 in a million, more similar ones
 with less. Votes of few shingles scatter more: sets of at most SMALL are dealt out under bands of 12 bits.
 
-Fingerprints only propose: every pair of a proposal that is not yet connected is held to its exact similarity. Proposals of the
-same members are compared once. Blocks of more than 4 TILE and proposals of more than TILE members are cut into tiles, by distance from the
-first pivot and by size of set, and compared tile by tile in separate tasks, leaving out tiles too far apart. Tasks return a spanning
-forest of the links they verify.
+Fingerprints only propose. Sets that proposals connect form a family, which is compared as a whole: each set is read once, not once
+for each of its up to 176 proposals. Of a family every pair that is not yet connected is held to its exact similarity, unless the
+fingerprints of all seeds together differ in more than FAR bits; at a similarity of 0.8 they do with a chance of about one in a
+billion. Families of more than TILE members (or SHINGLES shingles) are cut into tiles by size of set and compared tile by tile in
+separate tasks, leaving out tiles too far apart. A family so wide that its tiles would repeat its sets more often than its proposals do
+is compared proposal by proposal. Blocks of more than TILE members are cut likewise, by distance from the first pivot. Tasks return
+a spanning forest of the links they verify.
 
 Defined cases: words are as in ``simhash``; fewer words than a shingle count as one shingle; texts without words are one set;
 null ids as in ``simhash``.
@@ -27,6 +30,7 @@ from pyspark.sql import functions as F
 from tessera.llm import simhash
 from tessera.llm.byte_bpe import slices
 from tessera.llm.common import drop_staged, map_rows, staged
+from tessera.llm.components import components
 
 WIDTH = 5
 #: Least similarity, as a fraction of whole numbers.
@@ -36,7 +40,13 @@ SEEDS = 44
 RADIUS = 12
 #: Up to this size sets have bands of 12 bits; from 4/5 of it on (no smaller set can be similar to a larger one) bands of 16.
 SMALL = 32
-TILE = 512
+TILE = 2048
+#: Shingles of the sets of one tile.
+SHINGLES = 4_000_000
+#: Bits of all fingerprints in which similar sets differ at most: 0.161 of them are expected at 0.8 (0.1515 in large sets), and six deviations.
+FAR = 575
+#: Smaller sets are compared without that limit: their votes scatter more.
+TINY = 12
 #: Sizes of sets of one cell and the next; wider than the similarity allows.
 CELL = 1.3
 #: Rows of blocks compared at once.
@@ -91,14 +101,20 @@ def similar(a: np.ndarray, b: np.ndarray) -> bool:
     return down * both >= up * (len(a) + len(b) - both)
 
 
-def block_links(sets: list[np.ndarray], side: list[int]) -> list[tuple[int, int]]:
-    """Spanning links of one block's sets; of two tiles (sides 1, 2) only across."""
-    forest, out = simhash.Forest(len(sets)), []
-    for j in range(len(sets)):
-        for i in range(j):
-            if (side[i] != side[j] or not side[i]) and forest.find(i) != forest.find(j) and similar(sets[i], sets[j]):
-                forest.join(i, j)
-                out.append((i, j))
+def block_links(sets: list[np.ndarray], side: np.ndarray, prints_: np.ndarray) -> list[tuple[int, int]]:
+    """Spanning links of one family's sets, whose fingerprints are the rows of prints_; of two tiles (sides 1, 2) only across."""
+    up, down = SIMILARITY
+    size = np.array([len(s) for s in sets])
+    top, out = np.arange(len(sets)), []
+    for j in range(1, len(sets)):
+        fits = (down * np.minimum(size[:j], size[j]) >= up * np.maximum(size[:j], size[j])) & (top[:j] != top[j]) & ((side[:j] != side[j]) | (side[j] == 0))
+        i = np.flatnonzero(fits)
+        far = np.bitwise_count(prints_[i] ^ prints_[j]).sum(axis=1, dtype="i4")
+        far[np.minimum(size[i], size[j]) < TINY] = 0
+        for k in i[np.argsort(far, kind="stable")[: (far <= FAR).sum()]].tolist():
+            if top[k] != top[j] and similar(sets[k], sets[j]):
+                top[top == top[k]] = top[j]
+                out.append((k, j))
     return out
 
 
@@ -113,7 +129,7 @@ def dealt_out(classes: DataFrame) -> DataFrame:
 
 
 def proposals(classes: DataFrame, tile: int = TILE) -> DataFrame:
-    """key, th: the sets that fingerprints within the radius connect inside one block."""
+    """key, root (the least member), th: the sets that fingerprints within the radius connect inside one block."""
     dealt = dealt_out(classes)
     # at most one of tile rows is such a key, of which a row is 16 bytes
     crowded = staged(dealt.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > tile), "copies-crowded")
@@ -148,49 +164,82 @@ def _proposed(dealt: DataFrame) -> DataFrame:
             forest = simhash.Forest(len(members))
             for i, j in pairs.tolist():
                 forest.join(at[i], at[j])
-            root = members[[forest.find(k) for k in range(len(members))]]
-            yield {"key": key[members], "root": th[root], "th": th[members]}
+            top = np.array([forest.find(k) for k in range(len(members))])
+            least = np.full(len(members), np.iinfo("i8").max)
+            np.minimum.at(least, top, th[members])
+            yield {"key": key[members], "root": least[top], "th": th[members]}
 
     found = map_rows(dealt.repartition("key").sortWithinPartitions("key"), rows, "key long, root long, th long")
-    return found.select(F.xxhash64("key", "root").alias("key"), "th")
+    return found.select(F.xxhash64("key", "root").alias("key"), "root", "th")
+
+
+def families(proposed: DataFrame) -> DataFrame:
+    """node (a set), root (the least set that proposals connect it with) of all sets of proposals."""
+    # a set's roots, at most one for each of its blocks, hang on their least: far fewer edges than rows of proposals
+    roots = proposed.groupBy("th").agg(F.collect_set("root").alias("roots")).withColumn("least", F.array_min("roots"))
+    edges = roots.select(F.explode(F.array_union(F.array("th"), F.col("roots"))).alias("a"), F.col("least").alias("b"))
+    return components(edges.filter("a <> b").distinct())
 
 
 def links(docs: DataFrame, classes: DataFrame, tile: int = TILE) -> DataFrame:
     """Links (a, b) between the fp of classes (fp, th, size, prints); connected as all links are. docs has the texts."""
-    proposed = proposals(classes, 4 * tile)  # fingerprints are compared faster than texts
-    blocks = proposed.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor("th").alias("x0"), F.bit_xor(F.xxhash64("th")).alias("x1"))
-    shared = staged(blocks.groupBy("n", "x0", "x1").agg(F.min("key").alias("key")).select("key", "n"), "copies-blocks")
-    sets = classes.select("fp", "th", F.floor(F.log("size") / float(np.log(CELL))).cast("int").alias("d0"))
-    members = staged(proposed.join(shared.hint("merge"), "key").join(sets.hint("merge"), "th"), "copies-members")
-    texts = docs.withColumn("th", F.xxhash64("text")).join(members.select("th").distinct().hint("merge"), "th", "left_semi")
+    proposed = proposals(classes, tile)
+    together = staged(families(proposed), "copies-families")
+    sets = classes.select("fp", "th", "size", "prints", F.floor(F.log("size") / float(np.log(CELL))).cast("int").alias("d0"))
+    members = staged(together.select(F.col("node").alias("th"), "root").join(sets.hint("merge"), "th"), "copies-members")
+    texts = docs.withColumn("th", F.xxhash64("text")).join(members.select("th").hint("merge"), "th", "left_semi")
     texts = staged(texts.groupBy("th").agg(F.first("text").alias("text")), "copies-texts")
-    small = members.filter(F.col("n") <= tile).select("key", "fp", "th", F.lit(0).alias("side"))
-    large = simhash.tiled(members.filter(F.col("n") > tile), 1, tile, "th")
-    found = staged(_compared(small.unionAll(large).join(texts.hint("merge"), "th")).distinct(), "copies-links")
-    for done in (proposed, shared, members, texts):
-        drop_staged(done)
+    rows_ = proposed.groupBy(F.col("root").alias("node")).agg(F.count("*").alias("rows")).join(together.hint("merge"), "node").groupBy(F.col("root").alias("key")).agg(F.sum("rows").alias("rows"))
+    # a set is in as many pairs of tiles as its cell and a neighbour have tiles
+    whole = (F.col("n") <= tile) | (2 * F.col("members") * F.ceil(F.col("n") / tile) <= F.col("rows"))
+    by_family = members.withColumnRenamed("root", "key")
+    counted = staged(weighed(by_family, tile).join(rows_.hint("merge"), "key").select("key", "n", whole.alias("whole")), "copies-counted")
+    cut = by_family.join(counted.filter("whole").drop("whole").hint("merge"), "key")
+    wide, done = counted.filter("not whole").select("key"), [proposed, together, members, texts, counted]
+    if wide.limit(1).count():
+        apart = proposed.join(together.withColumnRenamed("root", "key").join(wide.hint("merge"), "key", "left_semi").select(F.col("node").alias("root")).hint("merge"), "root", "left_semi")
+        apart = staged(distinct_proposals(apart).join(members.drop("root").hint("merge"), "th"), "copies-apart")
+        cut = cut.unionByName(apart.join(weighed(apart, tile).drop("members").hint("merge"), "key"))
+        done.append(apart)
+    small = cut.filter(F.col("n") <= tile).select("key", "fp", "th", "prints", F.lit(0).alias("side"))
+    large = simhash.tiled(cut.filter(F.col("n") > tile), 1, tile, "th", "prints")
+    found = staged(_compared(small.unionByName(large).join(texts.hint("merge"), "th")).distinct(), "copies-links")
+    for table in done:
+        drop_staged(table)
     return found
 
 
+def weighed(sets: DataFrame, tile: int) -> DataFrame:
+    """key, members, n (members, or more where their shingles fill more tiles) of the sets (key, size) compared together."""
+    return sets.groupBy("key").agg(F.count("*").alias("members"), F.greatest(F.count("*"), F.ceil(F.sum("size") * tile / SHINGLES)).alias("n"))
+
+
+def distinct_proposals(proposed: DataFrame) -> DataFrame:
+    """key, th of proposals; those of the same members once."""
+    blocks = proposed.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor("th").alias("x0"), F.bit_xor(F.xxhash64("th")).alias("x1"))
+    return proposed.select("key", "th").join(blocks.groupBy("n", "x0", "x1").agg(F.min("key").alias("key")).select("key").hint("merge"), "key")
+
+
 def _compared(rows_: DataFrame) -> DataFrame:
     def rows(batches):
         key, held = None, []
         for batch in batches:
-            for k, *row in zip(*(batch.column(c).to_pylist() for c in ("key", "side", "f0", "f1", "text")), strict=True):
+            voted = batch.column("prints").flatten().to_numpy().view("u8").reshape(-1, SEEDS)
+            for k, *row, fps in zip(*(batch.column(c).to_pylist() for c in ("key", "side", "f0", "f1", "text")), voted, strict=True):
                 if k != key and held:
                     yield from compare(held)
                     held = []
                 key = k
-                held.append((*row[:3], np.unique(simhash.shingle_hashes(row[3], WIDTH))))
+                held.append((*row[:3], np.unique(simhash.shingle_hashes(row[3], WIDTH)), fps.copy()))
         if held:
             yield from compare(held)
 
     def compare(held):
-        found = block_links([r[3] for r in held], [r[0] for r in held])
+        found = block_links([r[3] for r in held], np.array([r[0] for r in held]), np.stack([r[4] for r in held]))
         if found:
             yield {f"{name}{k}": [held[pair[at]][1 + k] for pair in found] for at, name in enumerate("ab") for k in range(2)}
 
-    flat = rows_.select("key", "side", F.col("fp.f0").alias("f0"), F.col("fp.f1").alias("f1"), "text")
+    flat = rows_.select("key", "side", F.col("fp.f0").alias("f0"), F.col("fp.f1").alias("f1"), "prints", "text")
     found = map_rows(flat.repartition("key").sortWithinPartitions("key"), rows, "a0 long, a1 long, b0 long, b1 long")
     return found.select(*[F.struct(F.col(f"{s}0").alias("f0"), F.col(f"{s}1").alias("f1")).alias(s) for s in "ab"])
 

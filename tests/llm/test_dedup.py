@@ -186,6 +186,31 @@ def test_fingerprints_propose(spark, tile):
     assert all(top[a] == top[b] for a, b in linked)
 
 
+def test_near_copies_read_a_set_once(spark, monkeypatch):
+    """A family is compared as a whole, its sets not once more for each proposal."""
+    family = [" ".join(f"x{k}y{j}" if j // 4 == k else f"w{j}" for j in range(200)) for k in range(40)]
+    far = [" ".join(f"v{k}z{j}" if j % 9 == k % 9 else f"w{j}" for j in range(200)) for k in range(3)]
+    plain, seen = near_copies._compared, []
+    monkeypatch.setattr(near_copies, "_compared", lambda rows: seen.append(rows.count()) or plain(rows))
+    df = spark.createDataFrame(list(enumerate([*family, *far])), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_copies.near_copies(df).collect()}
+    assert got == {k: 0 if k < 40 else k for k in range(43)}
+    assert len(seen) == 1 and 40 <= seen[0] <= 43
+
+
+def test_near_copies_of_a_wide_family(spark, monkeypatch):
+    """A family whose tiles would repeat its sets more often than its proposals do is compared by proposals."""
+    chain = [" ".join(f"x{j}" if j < 16 * k else f"w{j}" for j in range(200)) for k in range(5)]
+    assert not near_copies.similar(*(np.unique(simhash.shingle_hashes(chain[k], 5)) for k in (0, 2)))
+    plain, seen = near_copies.distinct_proposals, []
+    monkeypatch.setattr(near_copies, "distinct_proposals", lambda rows: seen.append(rows.count()) or plain(rows))
+    monkeypatch.setattr(near_copies, "SHINGLES", 50)
+    df = spark.createDataFrame(list(enumerate([*chain, "w0 w1 w2", "other words"])), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_copies.near_copies(df).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 0, 4: 0, 5: 5, 6: 6}
+    assert len(seen) == 1 and seen[0] > 5
+
+
 def test_near_duplicate_stage_finds_block_edits(spark):
     import corpus_pipeline
 
