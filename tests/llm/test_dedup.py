@@ -259,6 +259,14 @@ def test_repeated_bytes(spark, length, gram, group):
     assert Counter(map(tuple, suffix_dedup.report(df, length, gram, group).drop("text").collect())) == brute_repeats(rows, length)
 
 
+def test_contexts_are_dealt_after_a_join(spark):
+    """The repartition stays above a join on hash: adaptive execution may read that join's own shuffles locally."""
+    left = spark.range(10).selectExpr("id hash", "0 d", "id ch", "2L n", "cast('x' as binary) ctx")
+    joined = left.join(spark.range(10).selectExpr("id hash").hint("merge"), "hash")
+    plan = suffix_dedup.repeated_ranges(joined, 40, 10)._jdf.queryExecution().executedPlan().toString()
+    assert "REPARTITION_BY_COL" in plan
+
+
 def test_blocks_do_not_matter(monkeypatch):
     rng = np.random.default_rng(4)
     data = rng.integers(0, 3, 5000).astype("u1")
