@@ -162,7 +162,7 @@ def jaccard(a: Column, b: Column) -> Column:
 
 def strip_tags(html: Column) -> Column:
     """Lines of text of a page: scripts, styles and comments go, each tag ends a line, blank lines fall away."""
-    bare = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", "\n")
+    bare = F.regexp_replace(html, r"(?is)<(script|style)(?![a-z0-9_]).*?</\1\s*>|<!--.*?-->", "\n")
     lines = F.split(F.regexp_replace(bare, r"<[^>]+>", "\n"), "\n")
     return F.array_join(F.filter(F.transform(lines, lambda x: F.trim(x)), lambda x: x != ""), "\n")
 

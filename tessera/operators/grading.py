@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NEGATION = r"(?i)\b(no|not|never|without|must not|cannot|prohibited|forbidden)\b|않|금지|없"
+#: Word ends by ASCII letters only, spelled out because engines differ in what their boundary takes for a letter (noñ).
+NEGATION = r"(?i)(?<![A-Za-z0-9_])(no|not|never|without|must not|cannot|prohibited|forbidden)(?![A-Za-z0-9_])|않|금지|없"
 
 
 def banned_hits(text: Column, phrase: str, around: int = 60) -> Column:

@@ -163,6 +163,12 @@ def test_grading(spark):
     assert got == {("o", "fine"): True, ("p", "fine"): False, ("o", "tone"): True, ("p", "tone"): None}
 
 
+def test_a_negation_ends_at_any_letter_that_is_not_ascii(spark):
+    texts = [("a", "noñ the way"), ("b", "éno the way"), ("c", "no_x the way"), ("d", "No. the way"), ("e", "nota the way")]
+    out = spark.createDataFrame(texts, "k string, t string").select("k", F.size(grading.banned_hits(F.col("t"), "the way")))
+    assert dict(map(tuple, out.collect())) == {"a": 0, "b": 0, "c": 1, "d": 0, "e": 1}
+
+
 def test_reports(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("a", 9.0), ("a", 2.0)], "k string, v double")
     assert df.agg(reports.upper_median("v")).first()[0] == 3.0
