@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import difflib
+import functools
 import hashlib
 import math
 import re
@@ -29,9 +30,25 @@ def _nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: x if x is None else unicodedata.normalize("NFC", x))
 
 
+#: Blocks without a character that composition may change; tested first, as most texts hold nothing else.
+SETTLED = ((0x0, 0x2FF), (0x400, 0x482), (0x48A, 0x590), (0x2010, 0x20CF), (0x3001, 0x3029), (0x3030, 0x3098), (0x309B, 0x9FFF), (0xAC00, 0xD7A3))
+
+
+@functools.cache
+def unsettled() -> str:
+    """Class of the characters without which a text is in canonical composition: marks, what is decomposed or composed anew."""
+    seconds = {int(d[1], 16) for c in range(0x80, 0x30000) if len(d := unicodedata.decomposition(chr(c)).split()) == 2 and not d[0].startswith("<")}
+    jamo = {*range(0x1161, 0x1176), *range(0x11A8, 0x11C3)}
+    odd = [c for c in range(0x80, 0x30000) if not 0xD800 <= c < 0xE000 and (c in seconds or c in jamo or unicodedata.combining(chr(c)) or not unicodedata.is_normalized("NFC", chr(c)))]
+    starts = [c for c, before in zip(odd, [None, *odd]) if before is None or c != before + 1]
+    ends = [c for c, after in zip(odd, [*odd[1:], None]) if after is None or after != c + 1]
+    spans = lambda pairs: "".join(rf"\x{{{a:x}}}-\x{{{b:x}}}" for a, b in pairs)
+    return f"[[^{spans(SETTLED[:1])}]&&[^{spans(SETTLED[1:])}]&&[{spans(zip(starts, ends))}]]"
+
+
 def nfc(text: Column) -> Column:
-    """Canonical composition; pure ASCII never leaves the JVM's value."""
-    return F.when(F.rlike(text, F.lit(r"[^\x00-\x7F]")), _nfc(text)).otherwise(text)
+    """Canonical composition; only texts that it may change leave the JVM."""
+    return F.coalesce(_nfc(F.when(F.rlike(text, F.lit(unsettled())), text)), text)
 
 
 def strip_ascii_space(text: Column) -> Column:
@@ -155,6 +172,13 @@ def shingle_keys(s: pd.Series) -> pd.Series:
     return s.map(keys)
 
 
+@F.pandas_udf(S.LongType())
+def shingle_count(s: pd.Series) -> pd.Series:
+    """How many distinct pieces of SHINGLE characters a text has; they stand in memory for one text at a time."""
+    w = C.SHINGLE
+    return s.map(lambda t: len({t[i : i + w] for i in range(len(t) - w + 1)}) if t else 0)
+
+
 def jaccard(a: Column, b: Column) -> Column:
     both = F.size(F.array_intersect(a, b))
     return both / F.nullif(F.size(a) + F.size(b) - both, F.lit(0))

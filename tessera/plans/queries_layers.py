@@ -197,7 +197,7 @@ def twins_superseded(spark, sf_dir):
 @query("SELECT doc_id, CAST(length(text) AS BIGINT) AS n_chars, CAST(len(list_distinct(CASE WHEN length(n) >= 10 THEN list_transform(range(1, length(n) - 8), lambda i: substring(n, i, 10)) ELSE [] END)) AS BIGINT) AS n_shingles FROM (SELECT doc_id, text, regexp_replace(text, '[\\t\\n\\f\\r ]', '', 'g') AS n FROM documents)")
 def char_shingles(spark, sf_dir):
     rows = V.table(spark, sf_dir, "documents")
-    return rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.size(T.shingle_keys(T.strip_ascii_space(F.col("text")))).cast("long").alias("n_shingles"))
+    return rows.select("doc_id", F.length("text").cast("long").alias("n_chars"), T.shingle_count(T.strip_ascii_space(F.col("text"))).alias("n_shingles"))
 
 
 @query("SELECT lang, source, round(list_sort(list(d))[count(d) // 2 + 1], 6) AS median, count(*) AS n, round(count(*) / (SELECT count(*) FROM documents), 6) AS share FROM (SELECT lang, source, length(text) / nullif(len(regexp_extract_all(lower(text), '[a-z0-9_]+')), 0) AS d FROM documents) GROUP BY 1, 2")
