@@ -9,6 +9,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.functions import batches
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 #: Documents as files of several formats with three revisions of an id, in three batches, some titles and texts blank.
@@ -74,7 +76,7 @@ def sql_for(sql: str, spark: bool) -> str:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table; text in a file that cannot be split is dealt over the cores once, larger tables are read as they lie."""
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = batches.small(spark).read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
     return df.repartition(cores) if name in ("documents", "pages") and df.rdd.getNumPartitions() < cores else df
 

@@ -16,6 +16,35 @@ def test_nfc_and_spaces(spark):
     assert values(spark, ["a\r\nb\rc"], T.unix_lines(x)) == ["a\nb\nc"]
 
 
+def test_nfc_composes_whatever_python_composes(spark):
+    import unicodedata
+
+    odd = ["e\u0301", "\u1100\u1161\u11a8", "\uac00\u11a8", "\u212b", "\uf900", "\ufb2a", "\U0001d15e", "a\u0323\u0307", "a\u0307\u0323", "\u0958", "\u30ab\u3099", "\u2000", "\u1e0b\u0323", "\u0374"]
+    rows = [f"x{c} 가 漢 \U0001f600{c}" for c in odd]
+    assert values(spark, rows, T.nfc(F.col("x"))) == [unicodedata.normalize("NFC", x) for x in rows] != rows
+    assert values(spark, rows, F.rlike(F.col("x"), F.lit(T.unsettled()))) == [True] * len(rows)
+    assert values(spark, ["ñandú 가나 漢字かな \U0001f600 Ω", "plain"], F.rlike(F.col("x"), F.lit(T.unsettled()))) == [False, False]
+
+
+def test_shingles_are_counted_one_text_at_a_time(spark):
+    assert values(spark, ["abcdefghijk", "abc", "", None, "a" * 30, "가나다라마바사아자차카" * 2], T.shingle_count(F.col("x"))) == [2, 0, 0, 0, 1, 11]
+
+
+def test_python_gets_bounded_batches(spark, tmp_path):
+    import pyarrow as pa
+
+    from tessera.functions import batches
+    from tessera.plans import views
+
+    batch = pa.RecordBatch.from_pydict({"t": ["a" * 10, None, "b" * 10, "c" * 50, "d"]})
+    assert [p.num_rows for p in batches.pieces(batch, "t", 3, 20)] == [3, 1, 1]
+    assert [p.num_rows for p in batches.pieces(batch, "t", 2, 1000)] == [2, 2, 1] and not list(batches.pieces(batch.slice(0, 0), "t"))
+    spark.createDataFrame([(k, "x" * 100_000) for k in range(300)], "doc_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/labels.parquet")
+    spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    sizes = views.table(spark, str(tmp_path), "labels").mapInArrow(lambda bs: (pa.RecordBatch.from_pydict({"n": [b.nbytes]}) for b in bs), "n long").collect()
+    assert len(sizes) > 2 and max(r.n for r in sizes) < 2 * batches.ARROW_BYTES
+
+
 def test_ids(spark):
     x = F.col("x")
     assert values(spark, ["a/My File.md", "b/x y.HWP", "plain"], T.document_id(x)) == ["my-file", "x-y-hwp", "plain"]
