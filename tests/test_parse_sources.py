@@ -74,6 +74,16 @@ def test_parse_rows(spark):
     assert [r.chunk_id for r in rows] == ["d#0000", "d#0001", "d#0002"] and rows[0].title == "T"
 
 
+def test_a_batch_is_parsed_by_pieces(spark):
+    import pyarrow as pa
+    from pyspark.sql.pandas.types import to_arrow_schema
+
+    arrow = to_arrow_schema(spark.createDataFrame([], parse.PARSED).schema)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [f"d{k}" for k in range(500)], "rel_path": ["x/d.md"] * 500, "content": ["# h\n" + "word " * 20] * 499 + [None]})
+    out = list(parse.parsed_batches([batch], arrow))
+    assert max(b.num_rows for b in out) <= 128 and [d for b in out for d in b.column("doc_id").to_pylist()] == batch.column("doc_id").to_pylist()
+
+
 def test_assemble():
     text = parse.assemble([("# A\n```\n# code\n```", 1), ("{{X}}", 0)], {"X": "y"})
     assert text == "## A\n```\n# code\n```\n\ny\n"
