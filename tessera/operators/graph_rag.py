@@ -105,10 +105,12 @@ def diagnostics(edges: DataFrame, seeds: DataFrame, documents: DataFrame, cap: i
 
 def connective_hits(index, related_docs: DataFrame, depth: int = C.SCOPED_CANDIDATES) -> DataFrame:
     """chunk_id, rank of a related document's own chunks among the best chunks for its connectives."""
-    asked = related_docs.select(F.col("doc").alias("query_id"), F.explode(T.query_terms(F.array_join("connectives", "\n"))).alias("term"))
-    hits = search.top(search.bm25(index.posts, asked, totals=index.totals), depth, [F.desc("score"), F.asc("chunk_id")], ["query_id"])
+    number = F.row_number().over(Window.orderBy("doc"))  # of the few related documents
+    docs = related_docs.select("doc", "connectives", number.alias("query_id"))
+    asked = docs.select("query_id", F.explode(T.query_terms(F.array_join("connectives", "\n"))).alias("term"))
+    hits = index.keyword(asked, depth).join(F.broadcast(docs.select("query_id", "doc")), "query_id")
     own = index.chunks.select("chunk_id", "doc_id").join(F.broadcast(hits), "chunk_id")  # hits: at most depth for each of few documents
-    return own.filter(F.col("doc_id") == F.col("query_id")).select("chunk_id", "rank")
+    return own.filter(F.col("doc_id") == F.col("doc")).select("chunk_id", "rank")
 
 
 def _held(rows: DataFrame) -> DataFrame:

@@ -45,7 +45,7 @@ related AS (SELECT doc, score, coalesce(connectives, []) AS connectives, (SELECT
 def question(spark, sf_dir):
     """The index with documents named as the graph names them, the edges, the documents, and a question's terms and vector."""
     plain = QS.index_of(spark, sf_dir)
-    index = search.Index(plain.chunks.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string"))), plain.vectors, plain.posts, plain.totals)
+    index = search.Index(plain.chunks.withColumn("doc_id", F.concat(F.lit("d"), F.col("doc_id").cast("string"))), plain.vectors, plain.posts, plain.totals, plain.lists)
     docs = V.table(spark, sf_dir, "documents").select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("doc"))
     return index, V.view(spark, sf_dir, V.DOCUMENT_EDGES), docs, [(QS.question(spark, sf_dir)["terms"], QS._first_vector(spark, sf_dir))]
 

@@ -35,6 +35,21 @@ def test_bm25_by_hand(index):
     assert got == want
 
 
+@pytest.mark.parametrize("most", [1000, 4])
+def test_many_questions_are_scored_where_the_lists_lie(spark, most):
+    chunks = spark.createDataFrame([(k, " ".join(f"w{k % n}" for n in (1, 2, 3, 5, 7)) + " w0" * (k % 4)) for k in range(300)] + [(999, "")], "chunk_id long, content string").repartition(7)
+    lists = search.term_lists(chunks, T.index_terms(F.col("content"))).persist()
+    asked = spark.createDataFrame([(q, f"w{t}") for q in range(6) for t in (0, q, q + 1, 77)], "query_id long, term string").distinct()
+    best = search.bm25_top(lists, asked, 10, most=most)
+    posts = search.postings(chunks, T.index_terms(F.col("content")))
+    plain = search.top(search.bm25(posts, asked), 10, [F.desc("score"), F.asc("chunk_id")], ["query_id"])
+    rows = lambda df: sorted(map(tuple, df.select("query_id", "chunk_id", "score", "rank").collect()))
+    assert rows(best) == rows(plain) and len(rows(best)) == 60
+    plan = lists.select("*")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "hashpartitioning" not in search.term_lists(chunks, T.index_terms(F.col("content")))._jdf.queryExecution().executedPlan().toString()
+    assert not search.bm25_top(lists, asked.filter("term = 'w77'"), 10).count()
+
+
 def test_vector_hits_and_zero_query(index):
     assert [r.chunk_id for r in search.vector_hits(index.vectors, [3.0, 1.0], 2).collect()] == ["c4", "c3"]
     assert search.vector_hits(index.vectors, [0.0, 0.0]).count() == 0
