@@ -46,12 +46,13 @@ def not_blank(column: str) -> Column:
 
 def silver_documents(bronze_docs: DataFrame, twins: DataFrame | None = None) -> DataFrame:
     """Latest batch, newest revision of an id, best rendition of a text, without superseded twins and blank texts."""
-    newest = first_by(latest_batch(bronze_docs), ["doc_id"], [F.desc("ingested_at"), F.asc_nulls_last("content_sha256")])
-    long_enough = F.length(F.trim("content")) >= C.FINGERPRINT_FLOOR
-    key = F.when(long_enough, F.concat(F.lit("fp:"), F.col("content_fingerprint"))).otherwise(F.concat(F.lit("id:"), F.col("doc_id")))
+    # what is asked of a text is asked before the shuffles, which then carry it only for callers that read it
+    rows = latest_batch(bronze_docs).withColumns({"__long": F.length(F.trim("content")) >= C.FINGERPRINT_FLOOR, "__full": not_blank("content")})
+    newest = first_by(rows, ["doc_id"], [F.desc("ingested_at"), F.asc_nulls_last("content_sha256")])
+    key = F.when(F.col("__long"), F.concat(F.lit("fp:"), F.col("content_fingerprint"))).otherwise(F.concat(F.lit("id:"), F.col("doc_id")))
     one = first_by(newest.withColumn("__key", key), ["__key"], [F.desc(format_priority(F.col("rel_path"))), F.desc("ingested_at"), F.asc_nulls_last("content_sha256"), F.asc("doc_id")]).drop("__key")
     served = one.join(twins.select("doc_id"), "doc_id", "left_anti") if twins is not None else one
-    return served.filter(not_blank("content")).withColumn("title", T.blank_to_null(F.col("title")))
+    return served.filter("__full").drop("__long", "__full").withColumn("title", T.blank_to_null(F.col("title")))
 
 
 def silver_chunks(bronze_chunks: DataFrame, documents: DataFrame) -> DataFrame:

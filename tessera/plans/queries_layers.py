@@ -8,6 +8,7 @@ from tessera import constants as C
 from tessera.functions import text as T
 from tessera.operators import audits, grading, layers, reports, twins
 from tessera.plans import views as V
+from tessera.sources.stored import built_once
 
 QUERIES: dict = {}
 SQL: dict = {}
@@ -51,12 +52,22 @@ def served(spark, sf_dir):
     return layers.silver_documents(bronze(spark, sf_dir))
 
 
+def served_names(spark, sf_dir):
+    """Ids, paths and titles of the served documents; written once, as edges and nodes read them several times."""
+    return built_once(spark, sf_dir, "served-names", lambda: served(spark, sf_dir).select("doc_id", "rel_path", "title"))
+
+
+#: Columns of edges that the queries read.
+EDGE_COLUMNS = ("relation_id", "doc_id", "rel_path", "source_entity", "source_kind", "relation", "target_entity", "target_kind")
+
+
 def relations(spark, sf_dir):
-    return layers.silver_relations(V.view(spark, sf_dir, V.BRONZE_RELATIONS), served(spark, sf_dir))
+    """The edges, chosen and written once: nodes, degrees and ends read them again and again."""
+    return built_once(spark, sf_dir, "silver-relations", lambda: layers.silver_relations(V.view(spark, sf_dir, V.BRONZE_RELATIONS), served_names(spark, sf_dir)).select(*EDGE_COLUMNS))
 
 
 def entities(spark, sf_dir):
-    return layers.gold_entities(served(spark, sf_dir), relations(spark, sf_dir))
+    return layers.gold_entities(served_names(spark, sf_dir), relations(spark, sf_dir))
 
 
 @query(f"{WITH_DOCS} SELECT doc_id, rel_path FROM latest")

@@ -15,6 +15,16 @@ def test_served_documents(spark):
     assert set(got) == {"b", "r"} and got["b"].title is None and got["r"].content == "two"
 
 
+def test_texts_are_shuffled_only_for_those_who_read_them(spark):
+    rows = [("a", "c/a.pdf", "t", "x" * 250, "1", "fp", 2)]
+    node, seen = layers.silver_documents(spark.createDataFrame(rows, DOCS)).select("doc_id", "rel_path")._jdf.queryExecution().optimizedPlan(), []
+    while not node.children().isEmpty():
+        if node.nodeName() == "Window":
+            seen.append(node.output().toString())
+        node = node.children().apply(0)
+    assert len(seen) == 2 and not any("content#" in x for x in seen)
+
+
 def test_edge_is_chosen_before_the_join(spark):
     rel = lambda i, doc: (i, doc, "p", "A ", "k", "uses", "b", " ", "e", 1)
     rows = spark.createDataFrame([rel("1", "gone"), rel("2", "here")], RELS)
