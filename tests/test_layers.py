@@ -25,6 +25,18 @@ def test_texts_are_shuffled_only_for_those_who_read_them(spark):
     assert len(seen) == 2 and not any("content#" in x for x in seen)
 
 
+def test_edges_are_chosen_once_for_all_that_reads_them(spark):
+    import os
+
+    from tessera.plans import queries_layers as QL
+
+    here = "/root/testdata/sf0.001"
+    if not os.path.isdir(here):
+        pytest.skip("no test tables here")
+    files = {f for f in QL.entities(spark, here).inputFiles()}
+    assert files and all("silver-relations" in f or "served-names" in f for f in files) and files >= set(QL.relations(spark, here).inputFiles())
+
+
 def test_edge_is_chosen_before_the_join(spark):
     rel = lambda i, doc: (i, doc, "p", "A ", "k", "uses", "b", " ", "e", 1)
     rows = spark.createDataFrame([rel("1", "gone"), rel("2", "here")], RELS)
