@@ -27,9 +27,9 @@ def promotion(state: DataFrame, batch: DataFrame) -> DataFrame:
     """
     from tessera.sources.readers import SUPPORTED
 
-    known = state.select("rel_path", F.col("sha256").alias("old"), F.col("revision").alias("old_revision"))
+    known = state.select("rel_path", F.col("sha256").alias("old"), F.col("revision").alias("old_revision"), F.lit(True).alias("known"))
     rows = first_by(batch, ["rel_path"], [F.desc("modified"), F.asc("sha256")]).join(known, "rel_path", "left")
-    outcome = F.when(~T.extension(F.col("rel_path")).isin(*SUPPORTED), "skipped").when(F.col("byte_size") == 0, "rejected").when(F.col("old").isNull(), "promoted").when(F.col("old") == F.col("sha256"), "unchanged").otherwise("revised")
+    outcome = F.when(~T.extension(F.col("rel_path")).isin(*SUPPORTED), "skipped").when(F.col("byte_size") == 0, "rejected").when(F.col("known").isNull(), "promoted").when(F.col("old").eqNullSafe(F.col("sha256")), "unchanged").otherwise("revised")
     rows = rows.withColumn("outcome", outcome)
     revision = F.coalesce(F.col("old_revision"), F.lit(0)) + F.when(F.col("outcome") == "revised", 1).otherwise(0)
     return rows.select("rel_path", "sha256", revision.alias("revision"), "outcome")

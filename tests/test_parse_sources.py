@@ -177,6 +177,19 @@ def test_promotion(spark):
     assert [r.rel_path for r in seeds.collect()] == ["x/a.hwp"]
 
 
+def test_promotion_query_equals_its_sql_on_empty_texts(spark, tmp_path):
+    import duckdb
+
+    from tessera.plans import catalog
+
+    texts = {0: "", 1: "", 2: "", 4: None, 5: "x", 6: "", 7: "y", 10: "", 11: "", 13: None}
+    spark.createDataFrame([(k, t, "src") for k, t in texts.items()], "doc_id long, text string, source string").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(map(tuple, catalog.QUERIES["stream_promotion"](spark, str(tmp_path)).collect()))
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    assert got == sorted(db.sql(catalog.SQL["stream_promotion"]).fetchall())
+
+
 def test_stream_equals_batch_and_survives_errors(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
