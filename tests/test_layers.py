@@ -91,6 +91,14 @@ def test_copies_of_one_text_yield_to_the_least_id_of_a_better_format(spark):
     assert got == {"a1": ("a3", True), "a2": ("a3", True), "a3": ("b1", False), "a4": ("b1", False), "c2": ("c1", True), "c3": ("c2", True)}
 
 
+def test_candidates_of_one_length_are_dealt_over_tasks(spark):
+    rows = [(k, ("pdf", "hwp", "docx")[k % 3], 1000 + k % 400) for k in range(120)]
+    found = twins.candidates(spark.createDataFrame(rows, "doc_id long, fmt string, len long"))
+    want = {(a, b) for a, f, m in rows for b, g, n in rows if a < b and f != g and abs(m - n) / max(m, n) < 0.15}
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+    assert "salt" in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_divergence(spark):
     df = spark.createDataFrame([("ab  c", "ab c"), ("abc", "abd"), ("ab", "abc")], "text_a string, text_b string")
     assert [(r.same, r.first_difference) for r in twins.divergence(df).collect()] == [(True, None), (False, 3), (False, 3)]
